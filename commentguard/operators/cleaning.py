@@ -165,7 +165,8 @@ def clean_comments(
     )
     facts = word_facts(stopwords, compounds)
     if facts is not None:
-        toks = toks.join(maybe_broadcast(facts, broadcast_rows), "__w", "left")
+        inputs = [x for x in (stopwords, compounds) if x is not None]
+        toks = toks.join(maybe_broadcast(facts, broadcast_rows, bound_by=inputs), "__w", "left")
     else:
         toks = toks.withColumn("__stop", F.lit(False)).withColumn("__cands", F.lit(None).cast(_CAND_TYPE))
 

@@ -6,9 +6,10 @@ with Spark, so every registered query grows with its input tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import vocab as V
 from ..sources import lexicon as LX
 
 
@@ -33,3 +34,88 @@ def fixture_lexicons(spark: SparkSession):
         LX.compounds(spark, FIXTURE_COMPOUNDS),
         LX.stopwords(spark, FIXTURE_STOPWORDS),
     )
+
+
+def _scaled(start: int, n: int, scale: float, shift: float = 0.0):
+    arr = F.slice(F.col("embedding"), start, n)
+    if shift:
+        return F.transform(arr, lambda x: x.cast("double") * scale - shift)
+    return F.transform(arr, lambda x: x.cast("double") * scale)
+
+
+def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fx_logits: severity heads, 19 type logits and 19 truth bits sliced from embeddings.
+
+    Severity truth per head for single-label metrics: (label + h) % 4 for heads h = 0, 1, 2.
+    """
+    e = table(spark, sf_dir, "embeddings")
+    truth = F.transform(F.slice(F.col("embedding"), 33, 19), lambda x: F.when(x.cast("double") > 0.1, 1).otherwise(0))
+    return e.select(
+        F.col("vec_id").alias("id"),
+        _scaled(1, 4, 10).alias("ind"), _scaled(5, 4, 10).alias("grp"), _scaled(9, 4, 10).alias("soc"),
+        _scaled(13, 19, 10, 2.5).alias("typ"),
+        truth.alias("truth"),
+        (F.col("label") % 4).alias("y_ind"), ((F.col("label") + 1) % 4).alias("y_grp"),
+        ((F.col("label") + 2) % 4).alias("y_soc"),
+    )
+
+
+def flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fx_flags(id, timestamp, is_hate): error events are the toxic ones."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select(F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("timestamp"),
+                     (F.col("event_type") == "error").alias("is_hate"))
+
+
+def monitor_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fx_monitor: the J2 record of every fx_logits row, with its document text and event time."""
+    from ..functions.text import online_text
+    from ..operators.scoring import cascade
+
+    log = cascade(logits(spark, sf_dir), keep=["id"]).drop("targets", "type_bits")
+    docs = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"), F.col("text").alias("cmt"), online_text("text").alias("cmt_processed"))
+    ev = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("timestamp"))
+    return log.join(docs, "id").join(ev, "id").select(
+        "id", "cmt", "cmt_processed", "Individual", "Group", "Societal", "type_attack", "is_hate", "timestamp")
+
+
+def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fx_tags(id, attack_type): names of set truth bits joined by ", ", plus an unknown name every 7th id."""
+    from ..functions.scores import from_one_hot
+
+    lg = logits(spark, sf_dir)
+    names = from_one_hot("truth")
+    names = F.when(F.col("id") % 7 == 0, F.concat(names, F.array(F.lit("Unknown Label")))).otherwise(names)
+    return lg.select("id", F.array_join(names, ", ").alias("attack_type"))
+
+
+def threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fx_threads(url, pos, cmt) from conversations."""
+    c = table(spark, sf_dir, "conversations")
+    return c.select(F.concat(F.lit("conv/"), F.col("conv_id").cast("string")).alias("url"),
+                    F.col("turn").alias("pos"), F.col("text").alias("cmt"))
+
+
+# Inline 4-row tag table for the sub-word fixture (tag_idx = pos % 4).
+FIXTURE_TAGS = [(0, "-"), (1, "e-é"), (2, "a-à"), (3, "ou-où")]
+
+
+def subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fx_subwords(id, pos, token, tag_idx): whitespace tokens of documents cut into
+    3-character pieces, the first piece of each token prefixed with the word marker."""
+    d = table(spark, sf_dir, "documents")
+    toks = d.select(F.col("doc_id").alias("id"),
+                    F.posexplode(F.split(F.col("text"), V.WHITESPACE_RUN)).alias("tpos", "tok")).filter(F.col("tok") != "")
+    pieces = toks.select("id", "tpos", F.posexplode(F.expr("regexp_extract_all(tok, '(?s).{1,3}', 0)")).alias("k", "piece"))
+    w = F.row_number().over(Window.partitionBy("id").orderBy("tpos", "k")) - 1
+    out = pieces.select("id", w.alias("pos"),
+                        F.when(F.col("k") == 0, F.concat(F.lit("▁"), F.col("piece"))).otherwise(F.col("piece")).alias("token"))
+    return out.withColumn("tag_idx", (F.col("pos") % 4).cast("int"))
+
+
+def fixture_tag_table(spark: SparkSession) -> DataFrame:
+    from ..sources.lexicon import local_table, tag_table_from
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("tag_idx", T.IntegerType()), T.StructField("name", T.StringType())])
+    return tag_table_from(local_table(spark, FIXTURE_TAGS, schema))

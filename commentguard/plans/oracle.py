@@ -14,6 +14,14 @@ def _values(rows) -> str:
     return ", ".join("(" + ", ".join(_q(x) if isinstance(x, str) else str(x) for x in r) + ")" for r in rows)
 
 
+def _table(name: str, cols: list[str], rows) -> str:
+    """CTE of literal rows; an empty list gives an empty VARCHAR table."""
+    if not rows:
+        sel = ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in cols)
+        return f"{name} AS (SELECT {sel} WHERE false)"
+    return f"{name} AS (SELECT * FROM (VALUES {_values(rows)}) v({', '.join(cols)}))"
+
+
 def online_text_sql(c: str) -> str:
     x = f"regexp_replace(coalesce(CAST({c} AS VARCHAR), ''), {_q(V.AUTHOR_LINE_PATTERN)}, '')"
     x = f"regexp_replace({x}, {_q(V.NOISE_PATTERN)}, ' ', 'g')"
@@ -36,13 +44,13 @@ def clean_sql(source: str, text_sql: str, abbreviations, stopwords, compounds, i
     """
     max_n = max([len([s for s in p.replace("_", " ").split(" ") if s]) for p in compounds] + [2])
     leads = " ".join(
-        f"WHEN lead(i, {k}) OVER w >= i + n THEN lead(i, {k}) OVER w" for k in range(1, max_n + 1))
+        f"WHEN lead(i, {k}) OVER w >= i + n THEN lead(i, {k}) OVER w" for k in range(1, max_n + 1)) or "WHEN false THEN 0"
     return f"""
 WITH RECURSIVE
-abbr(abbr, full_form) AS (VALUES {_values(abbreviations)}),
-stop(word) AS (VALUES {_values([(w,) for w in stopwords])}),
-comp0 AS (SELECT list_filter(string_split(replace(phrase, '_', ' '), ' '), lambda x: x <> '') AS syl
-          FROM (VALUES {_values([(p,) for p in compounds])}) v(phrase)),
+{_table("abbr", ["abbr", "full_form"], abbreviations)},
+{_table("stop", ["word"], [(w,) for w in stopwords])},
+{_table("comp_in", ["phrase"], [(p,) for p in compounds])},
+comp0 AS (SELECT list_filter(string_split(replace(phrase, '_', ' '), ' '), lambda x: x <> '') AS syl FROM comp_in),
 compc AS (SELECT DISTINCT syl[1] AS first, len(syl) AS n, array_to_string(syl, ' ') AS key,
                  array_to_string(syl, '_') AS joined FROM comp0 WHERE len(syl) >= 2),
 base AS (SELECT {id_col} AS id, {text_col} AS cmt, {text_sql} AS t FROM ({source}) src),
@@ -86,3 +94,72 @@ def q_clean_online() -> str:
 def q_clean_offline() -> str:
     return clean_sql("SELECT doc_id AS id, text AS cmt FROM documents", offline_text_sql("cmt"),
                      FX.FIXTURE_ABBREVIATIONS, FX.FIXTURE_STOPWORDS, FX.FIXTURE_COMPOUNDS)
+
+
+NAMES_SQL = "[" + ", ".join(_q(n) for n in V.TYPE_ATTACK_LABELS) + "]"
+
+
+def _scaled(a: int, b: int, shift: str = "") -> str:
+    return f"list_transform(embedding[{a}:{b}], lambda x: CAST(x AS DOUBLE) * 10{shift})"
+
+
+def level_name_sql(e: str) -> str:
+    whens = " ".join(f"WHEN {e} = {k} THEN {_q(n)}" for k, n in V.LEVEL_NAMES.items())
+    return f"CASE {whens} ELSE {_q(V.UNKNOWN_LEVEL)} END"
+
+
+def argmax_sql(c: str) -> str:
+    return f"CAST(list_position({c}, list_max({c})) - 1 AS INTEGER)"
+
+
+def sigmoid_sql(c: str) -> str:
+    return f"list_transform({c}, lambda x: 1.0::DOUBLE / (1.0::DOUBLE + exp(-x)))"
+
+
+def bits_sql(probs: str, op: str = ">", t: str = "0.3") -> str:
+    return (f"rpad(left(array_to_string(list_transform({probs}, lambda p: CASE WHEN p {op} {t}::DOUBLE "
+            f"THEN '1' ELSE '0' END), ''), 19), 19, '0')")
+
+
+def decode_sql(bits: str) -> str:
+    return f"list_filter({NAMES_SQL}, lambda n, i: substr({bits}, i, 1) = '1')"
+
+
+FX_SQL = {
+    "fx_logits": f"""fx_logits AS (SELECT vec_id AS id, {_scaled(1, 4)} AS ind, {_scaled(5, 8)} AS grp,
+        {_scaled(9, 12)} AS soc, {_scaled(13, 31, ' - 2.5')} AS typ,
+        list_transform(embedding[33:51], lambda x: CASE WHEN CAST(x AS DOUBLE) > 0.1 THEN 1 ELSE 0 END) AS truth,
+        label % 4 AS y_ind, (label + 1) % 4 AS y_grp, (label + 2) % 4 AS y_soc FROM embeddings)""",
+    "fx_scored": f"""fx_scored AS (SELECT *, [{argmax_sql('ind')}, {argmax_sql('grp')}, {argmax_sql('soc')}] AS targets
+        FROM fx_logits)""",
+    "fx_cascade": f"""fx_cascade AS (SELECT *, CASE WHEN list_contains(targets, 3) THEN {bits_sql(sigmoid_sql('typ'))}
+        ELSE '' END AS type_bits FROM fx_scored)""",
+    "fx_log": f"""fx_log AS (SELECT id, targets, type_bits,
+        {level_name_sql('targets[1]')} AS Individual, {level_name_sql('targets[2]')} AS "Group",
+        {level_name_sql('targets[3]')} AS Societal,
+        CASE WHEN list_max(targets) >= 2 AND type_bits <> '' THEN {decode_sql('type_bits')}
+             ELSE CAST([] AS VARCHAR[]) END AS type_attack,
+        list_max(targets) >= 2 AS is_hate FROM fx_cascade)""",
+    "fx_monitor": f"""fx_monitor AS (SELECT l.id, d.text AS cmt, {online_text_sql('d.text')} AS cmt_processed,
+        l.Individual, l."Group", l.Societal, l.type_attack, l.is_hate, CAST(e.ts AS TIMESTAMP) AS timestamp
+        FROM fx_log l JOIN documents d ON d.doc_id = l.id JOIN events e ON e.event_id = l.id)""",
+    "fx_flags": """fx_flags AS (SELECT event_id AS id, CAST(ts AS TIMESTAMP) AS timestamp,
+        event_type = 'error' AS is_hate FROM events)""",
+    "fx_threads": """fx_threads AS (SELECT 'conv/' || CAST(conv_id AS VARCHAR) AS url, turn AS pos, text AS cmt
+        FROM conversations)""",
+}
+_DEPS = {"fx_scored": ["fx_logits"], "fx_cascade": ["fx_scored"], "fx_log": ["fx_cascade"], "fx_monitor": ["fx_log"]}
+
+
+def with_fx(*names: str) -> str:
+    """WITH clause defining the named fixtures and their dependencies, in order."""
+    order: list[str] = []
+
+    def add(n):
+        for d in _DEPS.get(n, []):
+            add(d)
+        if n not in order:
+            order.append(n)
+    for n in names:
+        add(n)
+    return "WITH " + ",\n".join(FX_SQL[n] for n in order) + "\n"

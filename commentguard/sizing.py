@@ -16,6 +16,19 @@ def row_bound(df: DataFrame, max_rows: int) -> int | None:
     return n if n <= max_rows else None
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark df for broadcast if its row count is within max_rows, else return it as is."""
-    return F.broadcast(df) if row_bound(df, max_rows) is not None else df
+def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                    bound_by: list[DataFrame] | None = None) -> DataFrame:
+    """Mark df for broadcast if its row count is proven to be within max_rows.
+
+    ``bound_by`` lists inputs whose row counts add up to an upper bound of
+    df's rows (e.g. the raw lexicons a lookup table is derived from); counting
+    those is cheaper than running df's own plan.
+    """
+    sources = bound_by or [df]
+    total = 0
+    for s in sources:
+        n = row_bound(s, max_rows - total)
+        if n is None:
+            return df
+        total += n
+    return F.broadcast(df)

@@ -22,11 +22,25 @@ TAG_SCHEMA = T.StructType([
 ])
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A small in-memory table as a literal JVM plan (no Python worker involved).
+
+    Meant for lexicons and vocabularies given inline; large lexicons are read
+    from files with the loaders below.
+    """
+    if not rows:
+        return spark.createDataFrame([], schema)
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)])
+        for r in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def abbreviations(spark: SparkSession, pairs: list[tuple[str, str]]) -> DataFrame:
     """M10 from in-memory pairs; later duplicates of a key win."""
-    rows = [(str(a), str(b), i) for i, (a, b) in enumerate(pairs)]
-    df = spark.createDataFrame(rows, "abbr string, full string, ord long")
-    return keep_last(df, "abbr", "ord")
+    last = {str(a): str(b) for a, b in pairs}
+    return local_table(spark, list(last.items()), ABBREV_SCHEMA)
 
 
 def keep_last(df: DataFrame, key: str, order: str) -> DataFrame:
@@ -65,12 +79,12 @@ def load_lexicon(spark: SparkSession, path: str | None = None, header: bool = Tr
 def stopwords(spark: SparkSession, words: list[str] | None = None) -> DataFrame:
     """Stopword set as DataFrame(word); defaults to the built-in 74 words."""
     ws = V.DEFAULT_STOPWORDS if words is None else words
-    return spark.createDataFrame([(w,) for w in dict.fromkeys(ws)], WORD_SCHEMA)
+    return local_table(spark, [(w,) for w in dict.fromkeys(ws)], WORD_SCHEMA)
 
 
 def compounds(spark: SparkSession, phrases: list[str]) -> DataFrame:
     """Compound lexicon as DataFrame(phrase); '_' and spaces both separate syllables."""
-    return spark.createDataFrame([(p,) for p in dict.fromkeys(phrases)], PHRASE_SCHEMA)
+    return local_table(spark, [(p,) for p in dict.fromkeys(phrases)], PHRASE_SCHEMA)
 
 
 def read_lines(spark: SparkSession, path: str, column: str = "word") -> DataFrame:
@@ -108,7 +122,8 @@ def tag_table_from(df: DataFrame) -> DataFrame:
 def label_vocab(spark: SparkSession, labels: list[str] | None = None) -> DataFrame:
     """M8: ordered label vocabulary as (idx, name)."""
     names = V.TYPE_ATTACK_LABELS if labels is None else labels
-    return spark.createDataFrame(list(enumerate(names)), "idx int, name string")
+    schema = T.StructType([T.StructField("idx", T.IntegerType()), T.StructField("name", T.StringType())])
+    return local_table(spark, list(enumerate(names)), schema)
 
 
 def write_label_vocab(spark: SparkSession, path: str, labels: list[str] | None = None) -> None:
