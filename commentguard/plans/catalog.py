@@ -667,3 +667,58 @@ def q_to_payload(spark, sf):
     return ev.select("event_id", PL.to_payload([F.col("event_id").cast("string").alias("id"),
                                                  F.col("event_type").alias("cmt"), F.col("user_id").alias("user")])
                      .alias("payload"))
+
+
+# ----------------------------------------------------------------- streaming
+from ..streaming import monitor as SM  # noqa: E402
+from ..streaming import sinks as SK  # noqa: E402
+from . import streams as ST  # noqa: E402
+
+
+@query("q_stream_trend", O.with_fx("fx_flags") + f"""SELECT {_bucket_sql(3600 * 10**6)} AS time_block,
+    CAST(sum(CAST(is_hate AS INTEGER)) AS BIGINT) AS toxic_count FROM fx_flags GROUP BY 1
+    HAVING {_bucket_sql(3600 * 10**6)} + INTERVAL 1 HOUR <= (SELECT max(timestamp) FROM fx_flags)""")
+def q_stream_trend(spark, sf):
+    """I4: tumbling 1-hour toxic counts from a stream = the batch trend of every block the
+    watermark (max event time, no delay) has closed."""
+    return ST.replay(spark, FX.flags(spark, sf), lambda s: SM.trend_stream(s, ts="timestamp", block="1 hour"),
+                     "trend", "timestamp")
+
+
+@query("q_stream_dedup", O.with_fx("fx_flags") + "SELECT id, timestamp, is_hate FROM fx_flags")
+def q_stream_dedup(spark, sf):
+    """Every event delivered twice; first arrival per id within a 31-day watermark."""
+    f = FX.flags(spark, sf)
+    twice = f.unionByName(f)
+    return ST.replay(spark, twice, lambda s: SM.dedup_ids(s, ts="timestamp", delay="31 days"), "dedup", "timestamp")
+
+
+def _stream_log_source(spark, sf):
+    lg = FX.logits(spark, sf).select("id", "ind", "grp", "soc", "typ")
+    docs = FX.comments(spark, sf)
+    ev = FX.table(spark, sf, "events").select(F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("timestamp"))
+    return docs.join(lg.select("id"), "id", "left_semi").join(ev, "id"), lg
+
+
+@query("q_stream_log", O.with_fx("fx_log") + ", cl AS (" + O.clean_sql(
+    "SELECT doc_id AS id, text AS cmt FROM documents WHERE doc_id IN (SELECT vec_id FROM embeddings)",
+    O.online_text_sql("cmt"), FX.FIXTURE_ABBREVIATIONS, FX.FIXTURE_STOPWORDS, FX.FIXTURE_COMPOUNDS
+).replace("WITH RECURSIVE", "WITH RECURSIVE", 1) + """)
+    SELECT cl.id, cl.cmt, cl.cmt_processed, l.Individual, l."Group", l.Societal, l.type_attack, l.is_hate
+    FROM cl JOIN fx_log l ON l.id = cl.id""")
+def q_stream_log(spark, sf):
+    """Messages (each delivered twice) -> clean -> score -> assemble ->
+    idempotent append, micro-batch by micro-batch."""
+    msgs, lg = _stream_log_source(spark, sf)
+    ab, co, sw = FX.fixture_lexicons(spark)
+    twice = msgs.unionByName(msgs)
+
+    def per_batch(df):
+        cleaned = clean_comments(df, ab, co, sw)
+        scored = SC.cascade(cleaned.join(lg, "id"), keep=["id", "cmt", "cmt_processed"])
+        return scored.drop("targets", "type_bits")
+
+    def sink(stream, out, ckpt):
+        return SK.start_log_sink(stream, out, ckpt, transform=per_batch, trigger={"availableNow": True})
+
+    return ST.replay(spark, twice, lambda s: s, "log", "timestamp", sink_fn=sink)
