@@ -722,3 +722,60 @@ def q_stream_log(spark, sf):
         return SK.start_log_sink(stream, out, ckpt, transform=per_batch, trigger={"availableNow": True})
 
     return ST.replay(spark, twice, lambda s: s, "log", "timestamp", sink_fn=sink)
+
+
+# ------------------------------------------------------------------ Spark ML
+from ..operators import models as ML  # noqa: E402
+
+
+def _text_corpus(spark, sf):
+    lg = FX.logits(spark, sf)
+    docs = FX.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    return SP.split(docs.join(lg, "id"), "id")
+
+
+@query("q_fit_levels")
+def q_fit_levels(spark, sf):
+    """Three severity heads on TF-IDF, evaluated on the hash test split."""
+    c = _text_corpus(spark, sf)
+    return ML.fit_levels(c.filter("split = 'train'"), c.filter("split = 'test'"),
+                         {"p_ind": "y_ind", "p_grp": "y_grp", "p_soc": "y_soc"}, max_iter=20, num_features=1 << 16)
+
+
+@query("q_fit_types")
+def q_fit_types(spark, sf):
+    """19 binary label classifiers on TF-IDF."""
+    c = _text_corpus(spark, sf)
+    return ML.fit_types(c.filter("split = 'train'"), c.filter("split = 'test'"), len(V.TYPE_ATTACK_LABELS),
+                        max_iter=20, num_features=1 << 16)
+
+
+@query("q_fit_head")
+def q_fit_head(spark, sf):
+    """10-class head over the fixed embeddings."""
+    e = SP.split(FX.table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding", "label"), "id")
+    return ML.fit_head(e.filter("split = 'train'"), e.filter("split = 'test'"))
+
+
+@query("q_fit_svm")
+def q_fit_svm(spark, sf):
+    """TF-IDF + linear SVM on labels.toxic."""
+    c = FX.table(spark, sf, "documents").join(FX.table(spark, sf, "labels"), "doc_id") \
+        .select(F.col("doc_id").alias("id"), "text", "toxic")
+    c = SP.split(c, "id")
+    return ML.fit_svm(c.filter("split = 'train'"), c.filter("split = 'test'"))
+
+
+def _mean_logit_scorer(pdf):
+    """A stand-in per-chunk scorer for J1: mean of the type logits per row."""
+    import pandas as pd
+    return pd.DataFrame({"id": pdf["id"], "score": [float(sum(x) / len(x)) for x in pdf["typ"]],
+                         "chunk_rows": len(pdf)})
+
+
+@query("q_score_with", O.with_fx("fx_logits") + """SELECT id, round(list_avg(typ), 6) AS score FROM fx_logits""")
+def q_score_with(spark, sf):
+    """Python scoring per chunk of 128 rows through mapInPandas (Arrow batches)."""
+    lg = FX.logits(spark, sf).select("id", "typ")
+    out = SC.score_with(lg, _mean_logit_scorer, "id long, score double, chunk_rows long", chunk=128)
+    return out.select("id", r6("score").alias("score"))
