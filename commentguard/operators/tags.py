@@ -115,8 +115,10 @@ def restore_accents(docs: DataFrame, id_col: str = "id", text_col: str = "text",
 
     base = docs.repartition(id_col).select(F.col(id_col), offline_text(text_col).alias("__t"))
     toks = base.select(id_col, F.posexplode(F.split("__t", " ")).alias("pos", "w")).filter(F.col("w") != "")
-    dic = dictionary if dictionary is not None else accent_dictionary(toks)
-    dic = dic.select(F.col("folded").alias("w"), "restored")
+    if dictionary is None:
+        # derived from the corpus: materialise once, then broadcast only if its size is proven small
+        dictionary = accent_dictionary(toks).cache()
+    dic = dictionary.select(F.col("folded").alias("w"), "restored")
     looked = toks.join(maybe_broadcast(dic, broadcast_rows), "w", "left") \
         .select(id_col, "pos", F.coalesce("restored", "w").alias("w"))
     out = looked.groupBy(id_col).agg(

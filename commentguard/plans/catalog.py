@@ -715,13 +715,15 @@ def q_stream_log(spark, sf):
 
     def per_batch(df):
         cleaned = clean_comments(df, ab, co, sw)
-        scored = SC.cascade(cleaned.join(lg, "id"), keep=["id", "cmt", "cmt_processed"])
-        return scored.drop("targets", "type_bits")
+        scored = SC.cascade(cleaned.join(lg, "id"), keep=["id", "cmt", "cmt_processed", "timestamp"])
+        return scored.drop("targets", "type_bits").withColumn("log_date", F.to_date("timestamp"))
 
     def sink(stream, out, ckpt):
-        return SK.start_log_sink(stream, out, ckpt, transform=per_batch, trigger={"availableNow": True})
+        return SK.start_log_sink(stream, out, ckpt, transform=per_batch, trigger={"availableNow": True},
+                                 partition_col="log_date", horizon=31)
 
-    return ST.replay(spark, twice, lambda s: s, "log", "timestamp", sink_fn=sink)
+    out = ST.replay(spark, twice, lambda s: s, "log", "timestamp", sink_fn=sink)
+    return out.drop("timestamp", "log_date")
 
 
 # ------------------------------------------------------------------ Spark ML

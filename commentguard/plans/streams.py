@@ -39,7 +39,9 @@ def replay(spark: SparkSession, source: DataFrame, build, name: str, ts: str, ch
     base = run_dir(spark, name)
     src, ckpt, out = f"{base}/source", f"{base}/checkpoint", f"{base}/sink"
     write_in_time_order(source, src, ts, chunks)
-    stream = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    n_files = len(spark.read.parquet(src).inputFiles())
+    per_trigger = max(1, -(-n_files // chunks))  # about one time chunk per micro-batch
+    stream = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", per_trigger).parquet(src)
     result = build(stream)
     if sink_fn is not None:
         q = sink_fn(result, out, ckpt)

@@ -10,9 +10,20 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
+# Counted sides, keyed by object identity (the DataFrame is kept alive with its count so
+# the key is not reused). Lexicons passed to every micro-batch are counted once.
+_COUNTED: dict[int, tuple[DataFrame, int, int]] = {}
+
+
 def row_bound(df: DataFrame, max_rows: int) -> int | None:
     """Rows of df if at most max_rows, else None. Reads at most max_rows + 1 rows."""
-    n = df.limit(max_rows + 1).count()
+    hit = _COUNTED.get(id(df))
+    if hit is not None and hit[0] is df and hit[2] >= max_rows:
+        n = hit[1]
+    else:
+        n = df.limit(max_rows + 1).count()
+        if len(_COUNTED) < 10_000:
+            _COUNTED[id(df)] = (df, n, max_rows)
     return n if n <= max_rows else None
 
 
