@@ -710,6 +710,7 @@ def q_stream_log(spark, sf):
     """Messages (each delivered twice) -> clean -> score -> assemble ->
     idempotent append, micro-batch by micro-batch."""
     msgs, lg = _stream_log_source(spark, sf)
+    lg = lg.cache()  # static side of the stream-static join, reused by every micro-batch
     ab, co, sw = FX.fixture_lexicons(spark)
     twice = msgs.unionByName(msgs)
 

@@ -43,6 +43,16 @@ def idempotent_append(batch: DataFrame, batch_id: int, table_path: str, id_col:
     ledger = _read_or_none(spark, ledger_path)
     if ledger is not None and ledger.filter(F.col("batch_id") == batch_id).limit(1).count() > 0:
         return 0  # replay of a committed batch
+    batch = batch.persist()  # read by the bounds query and by the write: compute once
+    try:
+        return _append_new(spark, batch, batch_id, table_path, ledger_path, id_col, order_col, count_rows,
+                           partition_col, horizon)
+    finally:
+        batch.unpersist()
+
+
+def _append_new(spark, batch, batch_id, table_path, ledger_path, id_col, order_col, count_rows,
+                partition_col, horizon) -> int:
     others = [c for c in batch.columns if c != id_col]
     key = F.struct(F.col(order_col)) if order_col else F.struct(*others)
     firsts = batch.groupBy(id_col).agg(F.min_by(F.struct(*others), key).alias("__r")) \
@@ -68,7 +78,7 @@ def idempotent_append(batch: DataFrame, batch_id: int, table_path: str, id_col:
     else:
         n = -1
         _write(firsts, table_path, partition_col)
-    spark.createDataFrame([(int(batch_id), n)], "batch_id long, rows long") \
+    spark.range(1).select(F.lit(int(batch_id)).cast("long").alias("batch_id"), F.lit(n).cast("long").alias("rows")) \
         .write.mode("append").parquet(ledger_path)
     return n
 
