@@ -48,12 +48,25 @@ def flatten_threads(threads: DataFrame, url_col: str = "url", items_col: str = "
     return ex.select("url", "pos", F.col("c.text").alias("cmt")).filter(F.coalesce(F.col("cmt") != "", F.lit(False)))
 
 
-def first_k(comments: DataFrame, k: int | None, url_col: str = "url", pos_col: str = "pos") -> DataFrame:
-    """first k comments per URL by position (None = all)."""
+def first_k(comments: DataFrame, k: int | None, url_col: str = "url", pos_col: str = "pos",
+            salt: int = 64) -> DataFrame:
+    """first k comments per URL by position (None = all).
+
+    Two phases so a hot URL is never ranked in one task: the first k per
+    (URL, salt bucket) -- buckets split each URL's rows by a hash -- then the
+    first k among those <= salt * k survivors per URL. Ties on position are
+    broken by the remaining columns, so the result is deterministic.
+    """
     if k is None:
         return comments
-    w = Window.partitionBy(url_col).orderBy(pos_col)
-    return comments.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k).drop("__rn")
+    others = [F.col(c) for c in comments.columns if c not in (url_col, pos_col)]
+    order = [F.col(pos_col)] + others
+    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in comments.columns]), F.lit(salt))
+    w1 = Window.partitionBy(url_col, "__salt").orderBy(*order)
+    survivors = comments.withColumn("__salt", bucket) \
+        .withColumn("__rn", F.row_number().over(w1)).filter(F.col("__rn") <= k).drop("__rn", "__salt")
+    w2 = Window.partitionBy(url_col).orderBy(*order)
+    return survivors.withColumn("__rn", F.row_number().over(w2)).filter(F.col("__rn") <= k).drop("__rn")
 
 
 def distinct_per_url(comments: DataFrame, url_col: str = "url", text_col: str = "cmt") -> DataFrame:

@@ -542,7 +542,13 @@ def q_stratified_split(spark, sf):
     return SP.stratified_split(FX.logits(spark, sf).select("id", "truth")).select("id", "stratum", "split")
 
 
-@query("q_split_drift")
+@query("q_split_drift", REGISTRY["q_stratified_split"][1].replace(
+    """SELECT id, stratum, CASE WHEN pos < 0.8 THEN 'train' WHEN pos < 0.9 THEN 'dev' ELSE 'test' END AS split
+    FROM ranked""", """, splits AS (SELECT r.id, CASE WHEN pos < 0.8 THEN 'train' WHEN pos < 0.9 THEN 'dev' ELSE 'test' END AS split
+        FROM ranked r),
+    sl AS (SELECT s.split, unnest(x.truth) AS y, generate_subscripts(x.truth, 1) - 1 AS idx
+        FROM splits s JOIN fx_logits x ON x.id = s.id)
+    SELECT split, CAST(idx AS INTEGER) AS idx, round(avg(CAST(y AS DOUBLE)), 6) AS share FROM sl GROUP BY split, idx"""))
 def q_split_drift(spark, sf):
     s = SP.stratified_split(FX.logits(spark, sf).select("id", "truth"))
     return _rnd(SP.split_drift(s), ["share"])
@@ -580,7 +586,7 @@ def q_flatten_threads(spark, sf):
 
 
 @query("q_first_k", O.with_fx("fx_threads") + """SELECT url, pos, cmt FROM fx_threads
-    QUALIFY row_number() OVER (PARTITION BY url ORDER BY pos) <= 3""")
+    QUALIFY row_number() OVER (PARTITION BY url ORDER BY pos, cmt) <= 3""")
 def q_first_k(spark, sf):
     return CL.first_k(FX.threads(spark, sf), 3)
 
