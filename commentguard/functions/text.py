@@ -27,8 +27,13 @@ def strip_author(c: str | Column) -> Column:
 
 
 def denoise(c: str | Column) -> Column:
-    """B2: URLs, @mentions, e-mails and any non-word non-space char become one space."""
-    return F.regexp_replace(col_of(c), V.NOISE_PATTERN, " ")
+    """B2: URLs, @mentions, e-mails and any non-word non-space char become one space.
+
+    Texts without "@" take the reduced pattern (identical result, cheaper scan).
+    """
+    x = col_of(c)
+    return F.when(F.instr(x, "@") > 0, F.regexp_replace(x, V.NOISE_PATTERN, " ")) \
+        .otherwise(F.regexp_replace(x, V.NOISE_PATTERN_NO_AT, " "))
 
 
 def strip_edges(c: str | Column) -> Column:
