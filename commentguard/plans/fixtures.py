@@ -28,12 +28,18 @@ FIXTURE_STOPWORDS = ["the", "to", "a", "la", "der", "is", "le", "be", "of_the"]
 FIXTURE_COMPOUNDS = ["of the", "the and the", "de de"]
 
 
+_LEXICONS: dict[int, tuple] = {}
+
+
 def fixture_lexicons(spark: SparkSession):
-    return (
-        LX.abbreviations(spark, FIXTURE_ABBREVIATIONS),
-        LX.compounds(spark, FIXTURE_COMPOUNDS),
-        LX.stopwords(spark, FIXTURE_STOPWORDS),
-    )
+    """(abbreviations, compounds, stopwords), built once per session like an application
+    loads its lexicons once, so their size checks and derived lookup table are reused."""
+    hit = _LEXICONS.get(id(spark))
+    if hit is None or hit[0] is not spark:
+        hit = (spark, LX.abbreviations(spark, FIXTURE_ABBREVIATIONS), LX.compounds(spark, FIXTURE_COMPOUNDS),
+               LX.stopwords(spark, FIXTURE_STOPWORDS))
+        _LEXICONS[id(spark)] = hit
+    return hit[1:]
 
 
 def _scaled(start: int, n: int, scale: float, shift: float = 0.0):
