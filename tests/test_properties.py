@@ -41,3 +41,22 @@ def test_micro_f1_in_range(spark):
     import __spark_entry__ as E
     r = E.queries()["q_multilabel_metrics"](spark, SF).first()
     assert 0 <= r["f1_micro"] <= 1 and 0 <= r["hamming_loss"] <= 1
+
+
+def test_burst_alert_hot_instant(spark):
+    from commentguard.operators import monitor as MO
+    rows = [(i, "2024-01-01 00:00:10", True) for i in range(30)] + [(100, "2024-01-01 00:00:12", False),
+                                                                     (101, "2024-01-01 00:00:20", True)]
+    df = spark.createDataFrame(rows, "id long, ts string, is_hate boolean").selectExpr(
+        "id", "cast(ts as timestamp) as timestamp", "is_hate")
+    got = {str(r["ts"])[-8:]: (r["toxic_in_window"], r["is_alert"]) for r in MO.burst_alert(df).collect()}
+    # 30 toxic at 00:00:10 -> rate 10/s > 5; at :12 the window [9, 12] still holds them; at :20 only one
+    assert got == {"00:00:10": (30, True), "00:00:12": (30, True), "00:00:20": (1, False)}
+
+
+def test_first_k_hot_url(spark):
+    from commentguard.operators.collect import first_k
+    rows = [("hot", i, f"c{i}") for i in range(500)] + [("cold", i, f"d{i}") for i in range(2)]
+    df = spark.createDataFrame(rows, "url string, pos long, cmt string")
+    got = sorted((r["url"], r["pos"]) for r in first_k(df, 3, salt=16).collect())
+    assert got == [("cold", 0), ("cold", 1), ("hot", 0), ("hot", 1), ("hot", 2)]
