@@ -93,11 +93,11 @@ def _let(value: str, var: str, body: str) -> str:
 
 
 # Array-space assembly over the ordered tokens of one comment: ``t`` is the
-# sorted array of struct(pos, sub, w, stop, cands), ``ws`` the words, ``best``
-# the longest compound starting at each position (n = 1 when none).
+# sorted array of struct(pos, sub, w, stop, cands), ``ws`` the words, ``wst``
+# (word, stop) per position, ``best`` the longest compound starting at each
+# position (n = 1 when none).
 _BEST = """transform(t, (x, i) -> named_struct(
     'p', i + 1,
-    'stop1', x.__stop,
     'm', coalesce(
         array_max(filter(
             transform(x.__cands, c -> if(array_join(slice(ws, i + 1, c.n), ' ') = c.key,
@@ -114,12 +114,18 @@ _CHOSEN = """aggregate(
                               'acc', concat(s.acc, array(named_struct('p', b.p, 'n', b.m.n, 'stop', b.m.stop)))),
                  s),
     s -> s.acc)"""
-# Uncovered single words plus chosen compounds, in position order, minus stopwords.
-_OUT = """array_join(transform(array_sort(filter(concat(
-        transform(array_except(sequence(1, size(ws)), flatten(transform(chosen, c -> sequence(c.p, c.p + c.n - 1)))),
-                  k -> named_struct('p', k, 'word', element_at(ws, k), 'stop', element_at(best, k).stop1)),
-        transform(chosen, c -> named_struct('p', c.p, 'word', array_join(slice(ws, c.p, c.n), '_'), 'stop', c.stop))),
-    u -> not u.stop and u.word != '')), u -> u.word), ' ')"""
+# Output in position order without sorting: chosen compounds are sorted and do
+# not overlap, so the result is, per compound, the words since the previous one
+# followed by the compound itself, then the words after the last one. Each
+# element of ``wst`` is struct(word, stop) for one position.
+_OUT = """array_join(transform(filter(flatten(concat(
+        transform(chosen, (c, k) -> concat(
+            slice(wst, if(k = 0, 1, element_at(chosen, k).p + element_at(chosen, k).n),
+                  c.p - if(k = 0, 1, element_at(chosen, k).p + element_at(chosen, k).n)),
+            array(named_struct('word', array_join(slice(ws, c.p, c.n), '_'), 'stop', c.stop)))),
+        array(slice(wst, if(size(chosen) = 0, 1, element_at(chosen, -1).p + element_at(chosen, -1).n),
+                    size(wst) + 1 - if(size(chosen) = 0, 1, element_at(chosen, -1).p + element_at(chosen, -1).n))))),
+    u -> not u.stop and u.word != ''), u -> u.word), ' ')"""
 
 
 def assemble_sql(tokens: str) -> str:
@@ -129,8 +135,9 @@ def assemble_sql(tokens: str) -> str:
              " or x.__sub != element_at(t0, i).__sub)")
     return _let(f"array_sort({tokens})", "t0", _let(dedup, "t",
                 _let("transform(t, x -> x.__w)", "ws",
-                     _let(_BEST, "best",
-                          _let(_CHOSEN, "chosen", _OUT)))))
+                     _let("transform(t, x -> named_struct('word', x.__w, 'stop', x.__stop))", "wst",
+                          _let(_BEST, "best",
+                               _let(_CHOSEN, "chosen", _OUT))))))
 
 
 def clean_comments(
@@ -177,14 +184,18 @@ def clean_comments(
     else:
         value = F.col("__tok")
     # B4 values may hold several words; B6 gives a trailing "." its own token.
+    # Only tokens with a lexicon hit or a trailing "." take the general path.
+    rare = F.col("__tok").endswith(".") | (F.col("__full").isNotNull() if abbreviations is not None else F.lit(False))
+    general = F.flatten(F.transform(
+        F.filter(F.split(value, V.WHITESPACE_RUN), lambda x: x != ""),
+        lambda x: F.when((F.length(x) > 1) & x.endswith("."),
+                         F.array(x.substr(F.lit(1), F.length(x) - 1), F.lit(".")))
+                   .otherwise(F.array(x)),
+    ))
     toks = toks.select(
         "__id", "__h", "__pos",
-        F.posexplode(F.flatten(F.transform(
-            F.filter(F.split(value, V.WHITESPACE_RUN), lambda x: x != ""),
-            lambda x: F.when((F.length(x) > 1) & x.endswith("."),
-                             F.array(x.substr(F.lit(1), F.length(x) - 1), F.lit(".")))
-                       .otherwise(F.array(x)),
-        ))).alias("__sub", "__w"),
+        F.posexplode(F.when(rare, general).when(F.col("__tok") != "", F.array("__tok"))
+                      .otherwise(F.array().cast("array<string>"))).alias("__sub", "__w"),
     )
     facts = word_facts(stopwords, compounds)
     if facts is not None:
@@ -195,6 +206,7 @@ def clean_comments(
 
     tokens = "collect_list(struct(__pos, __sub, __w, coalesce(__stop, false) AS __stop, __cands))"
     per_id = toks.groupBy(F.col("__id").alias(id_col), "__h").agg(F.expr(assemble_sql(tokens)).alias(out_col))
-    out = base.join(per_id, [id_col, "__h"], "left").withColumn(out_col, F.coalesce(F.col(out_col), F.lit("")))
+    # build the hash table on the per-comment results: no sort of the documents
+    out = base.join(per_id.hint("shuffle_hash"), [id_col, "__h"], "left").withColumn(out_col, F.coalesce(F.col(out_col), F.lit("")))
     out = out.select(*df.columns, out_col)
     return out.filter(F.col(out_col) != "") if drop_blank else out
