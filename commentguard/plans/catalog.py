@@ -699,6 +699,23 @@ def q_stream_dedup(spark, sf):
     return ST.replay(spark, twice, lambda s: SM.dedup_ids(s, ts="timestamp", delay="31 days"), "dedup", "timestamp")
 
 
+@query("q_stream_sliding_alert", O.with_fx("fx_flags") + """, starts AS (SELECT f.*,
+        (floor(epoch_us(timestamp) / 900000000) - k) * 900000000 AS s FROM fx_flags f, range(0, 4) r(k)),
+    agg AS (SELECT s, sum(CAST(is_hate AS BIGINT)) AS toxic FROM starts
+        WHERE epoch_us(timestamp) < s + 3600000000 GROUP BY s)
+    SELECT make_timestamp(CAST(s AS BIGINT)) AS window_start, make_timestamp(CAST(s + 3600000000 AS BIGINT)) AS window_end,
+        CAST(toxic AS BIGINT) AS toxic, round(toxic / 1.0::DOUBLE, 6) AS rate FROM agg WHERE toxic / 1.0::DOUBLE > 5.0
+        AND make_timestamp(CAST(s + 3600000000 AS BIGINT)) <= (SELECT max(timestamp) FROM fx_flags)""")
+def q_stream_sliding_alert(spark, sf):
+    """Sliding 1-hour windows every 15 minutes from a stream = the batch alert rows
+    of every window the watermark has closed."""
+    def build(s):
+        out = SM.sliding_alert_stream(s, ts="timestamp", window="1 hour", slide="15 minutes", window_seconds=3600,
+                                      rate_unit_seconds=3600, threshold=V.ALERT_THRESHOLD)
+        return out.withColumn("rate", r6("rate"))
+    return ST.replay(spark, FX.flags(spark, sf), build, "sliding", "timestamp")
+
+
 def _stream_log_source(spark, sf):
     lg = FX.logits(spark, sf).select("id", "ind", "grp", "soc", "typ")
     docs = FX.comments(spark, sf)

@@ -39,6 +39,8 @@ def sliding_alert_stream(stream: DataFrame, ts: str = "event_time", flag: str =
 
 
 def dropped_by_watermark(query) -> int:
-    """Rows dropped as late, summed over the state operators of the last progress."""
-    prog = query.lastProgress or {}
-    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for op in prog.get("stateOperators", []))
+    """Rows dropped as late, summed over the state operators of the retained progress reports."""
+    total = 0
+    for prog in query.recentProgress or []:
+        total += sum(int(op.get("numRowsDroppedByWatermark", 0)) for op in prog.get("stateOperators", []))
+    return total

@@ -36,3 +36,29 @@ def test_stream_dedup_equals_batch(spark):
     want = FX.flags(spark, sf)
     assert got.count() == want.count() == got.select("id").distinct().count()
     assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_late_rows_are_dropped_and_counted(spark):
+    from commentguard.streaming import monitor as SM
+    base = scratch_path(spark, f"tests/late-{uuid.uuid4().hex[:8]}")
+    src = f"{base}/src"
+    mk = lambda rows: spark.createDataFrame(rows, "id long, ts string, is_hate boolean") \
+        .selectExpr("id", "cast(ts as timestamp) as timestamp", "is_hate")
+    mk([(1, "2024-01-01 10:00:00", True), (2, "2024-01-01 10:30:00", True)]).coalesce(1).write.parquet(src)
+    mk([(3, "2024-01-01 08:00:00", True), (4, "2024-01-01 12:10:00", False)]).coalesce(1) \
+        .write.mode("append").parquet(src)
+    mk([(5, "2024-01-01 07:00:00", True), (6, "2024-01-01 12:20:00", False)]).coalesce(1) \
+        .write.mode("append").parquet(src)
+    stream = spark.readStream.schema(mk([]).schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (SM.trend_stream(stream, ts="timestamp", block="1 hour", delay="1 hour").writeStream
+         .format("memory").queryName("late_trend").outputMode("append")
+         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {str(r["time_block"])[11:16]: r["toxic_count"] for r in spark.table("late_trend").collect()}
+    # Late input is filtered against the previous batch's watermark: the 08:00 row
+    # (batch 1, previous watermark = none) is still counted, the 07:00 row (batch 2,
+    # previous watermark 09:30) is dropped and reported.
+    assert got.get("08:00") == 1
+    assert "07:00" not in got
+    assert got.get("10:00") == 2
+    assert SM.dropped_by_watermark(q) == 1
