@@ -110,10 +110,12 @@ def recent(log: DataFrame, n: int = V.RECENT_ROWS, ts: str = "timestamp", id_col
 
 
 def keep_last(df: DataFrame, key: str = "id", order: list[str] | None = None) -> DataFrame:
-    """one row per key, the last by ``order`` (default: timestamp, then arrival columns)."""
-    order_cols = [F.col(c).desc() for c in (order or ["timestamp"])]
-    w = Window.partitionBy(key).orderBy(*order_cols)
-    return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+    """one row per key, the last by ``order`` (default: timestamp).
+
+    Computed as an aggregate (``keep_last_agg``), not a window: a key holding a
+    large share of the rows is reduced map-side instead of sorted in one task.
+    """
+    return keep_last_agg(df, key, order or ["timestamp"])
 
 
 def keep_last_agg(df: DataFrame, key: str, order: list[str]) -> DataFrame:
