@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 
+# Progress reports of the last replayed query (for benchmarks): list of dicts.
+LAST_PROGRESS: list[dict] = []
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"streams/{name}-{uuid.uuid4().hex[:12]}")
 
@@ -49,4 +53,5 @@ def replay(spark: SparkSession, source: DataFrame, build, name: str, ts: str, ch
         q = (result.writeStream.format("parquet").outputMode(output_mode)
              .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
     q.awaitTermination()
+    LAST_PROGRESS[:] = list(q.recentProgress or [])
     return spark.read.parquet(out)
