@@ -100,13 +100,17 @@ def sliding_alert(log: DataFrame, ts: str = "timestamp", flag: str = "is_hate",
                       "toxic", rate.alias("rate")).filter(F.col("rate") > threshold)
 
 
+def select_existing(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Project the listed columns that exist, in the given order."""
+    return df.select(*[c for c in columns if c in df.columns])
+
+
 def recent(log: DataFrame, n: int = V.RECENT_ROWS, ts: str = "timestamp", id_col: str = "id",
            columns: list[str] | None = None) -> DataFrame:
     """F1 + C6: the n most recent rows (ties by id), only the columns that exist."""
     cols = columns or ["timestamp", "cmt", "cmt_processed", "type_attack", "Individual", "Group", "Societal"]
-    keep = [c for c in cols if c in log.columns]
-    extra = [id_col] if id_col not in keep else []
-    return log.orderBy(F.col(ts).desc(), F.col(id_col)).limit(n).select(*extra, *keep)
+    extra = [id_col] if id_col not in cols else []
+    return select_existing(log.orderBy(F.col(ts).desc(), F.col(id_col)).limit(n), extra + cols)
 
 
 def keep_last(df: DataFrame, key: str = "id", order: list[str] | None = None) -> DataFrame:

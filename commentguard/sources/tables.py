@@ -15,12 +15,14 @@ def read_labelled(spark: SparkSession, path: str, schema: T.StructType | str, fm
     return df.select(*columns) if columns else df
 
 
-def profile(df: DataFrame) -> DataFrame:
-    """A4: non-null count per column plus the row count, in one scan."""
+def profile(df: DataFrame, with_types: bool = False) -> DataFrame:
+    """A4: non-null count per column plus the row count, in one scan; optionally the
+    Spark type of each column (taken from the schema, no data read)."""
     wide = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count(F.col(c)).alias(c) for c in df.columns])
-    return wide.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("non_null"), F.col("__n").alias("n_rows"))
-        for c in df.columns])).alias("r")).select("r.*")
+    types = dict(df.dtypes)
+    fields = lambda c: [F.lit(c).alias("column_name"), F.col(c).alias("non_null"), F.col("__n").alias("n_rows")] + (
+        [F.lit(types[c]).alias("dtype")] if with_types else [])
+    return wide.select(F.explode(F.array(*[F.struct(*fields(c)) for c in df.columns])).alias("r")).select("r.*")
 
 
 def read_urls(spark: SparkSession, path: str) -> DataFrame:

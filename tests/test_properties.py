@@ -60,3 +60,21 @@ def test_first_k_hot_url(spark):
     df = spark.createDataFrame(rows, "url string, pos long, cmt string")
     got = sorted((r["url"], r["pos"]) for r in first_k(df, 3, salt=16).collect())
     assert got == [("cold", 0), ("cold", 1), ("hot", 0), ("hot", 1), ("hot", 2)]
+
+
+def test_cleaning_independent_of_partitioning(spark):
+    from commentguard.operators.cleaning import clean_comments
+    ab, co, sw = FX.fixture_lexicons(spark)
+    docs = FX.comments(spark, SF)
+    a = {r["id"]: r["cmt_processed"] for r in clean_comments(docs, ab, co, sw).collect()}
+    b = {r["id"]: r["cmt_processed"] for r in clean_comments(docs.repartition(5).union(docs.limit(0)), ab, co, sw).collect()}
+    assert a == b and len(a) > 0
+
+
+def test_profile_types_and_tolerant_projection(spark):
+    from commentguard.sources.tables import profile
+    from commentguard.operators.monitor import select_existing
+    d = FX.table(spark, SF, "documents")
+    types = {r["column_name"]: r["dtype"] for r in profile(d, with_types=True).collect()}
+    assert types["doc_id"] == "bigint" and types["text"] == "string"
+    assert select_existing(d, ["text", "nope", "doc_id"]).columns == ["text", "doc_id"]
