@@ -2,13 +2,15 @@
 
 Plan (one exchange in total):
 
-1. ``repartition(id, hash(text))`` once; everything below keeps that partitioning.
+1. ``repartition(id, hash(text), salt)`` once; everything below keeps that
+   partitioning. Copies of a comment are spread by the salt and collapsed to
+   one text per task by a hash ``distinct`` before tokenising.
 2. Row-local native text steps (B1-B3 online, lower + whitespace offline).
 3. ``posexplode`` the tokens, broadcast-join the abbreviation lexicon (B4),
    split multi-word expansions and a trailing "." into their own tokens,
    broadcast-join one "word facts" table (stopword flag + compound
    candidates keyed by first syllable).
-4. ``groupBy(id, hash)`` -- already partitioned by it, so no second exchange --
+4. ``groupBy(id, hash, salt)`` -- already partitioned by it, no second exchange --
    collects the ordered tokens; the greedy longest-match compound pick (B6)
    and the stopword filter (B5) run as array expressions.
 5. The result is joined back to the (same, reused) partitioned input.
@@ -153,6 +155,7 @@ def clean_comments(
     strip_author: bool = True,
     drop_blank: bool = True,
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    copies_salt: int = 64,
 ) -> DataFrame:
     """B7 (mode="online") / B8 (mode="offline") cleaner; adds ``out_col``.
 
@@ -169,12 +172,17 @@ def clean_comments(
     else:
         raise ValueError(f"mode must be 'online' or 'offline', not {mode!r}")
 
-    # Rows are keyed by (id, hash of text): the cleaner is row-wise even when ids
-    # repeat (replays, collisions of short ids); exact duplicate rows share a group
-    # and their tokens are de-duplicated in the assembly.
-    base = df.withColumn("__h", F.xxhash64(F.col(text_col))).repartition(id_col, "__h")
-    toks = base.select(
-        F.col(id_col).alias("__id"), "__h",
+    # Rows are keyed by (id, hash of text, salt): the cleaner is row-wise even when
+    # ids repeat, and copies of one comment -- however many -- are spread over up
+    # to ``copies_salt`` tasks (salt = input partition) and reduced to one text per
+    # task by a hash aggregate before tokenising.
+    keys = [id_col, "__h", "__s"]
+    base = df.withColumn("__h", F.xxhash64(F.col(text_col))) \
+        .withColumn("__s", F.pmod(F.spark_partition_id(), F.lit(copies_salt))) \
+        .repartition(*keys)
+    uniq = base.select(*keys, text_col).distinct()  # already partitioned by its keys: no exchange
+    toks = uniq.select(
+        F.col(id_col).alias("__id"), "__h", "__s",
         F.posexplode(F.split(text, " ")).alias("__pos", "__tok"),
     )
     if abbreviations is not None:
@@ -193,7 +201,7 @@ def clean_comments(
                    .otherwise(F.array(x)),
     ))
     toks = toks.select(
-        "__id", "__h", "__pos",
+        "__id", "__h", "__s", "__pos",
         F.posexplode(F.when(rare, general).when(F.col("__tok") != "", F.array("__tok"))
                       .otherwise(F.array().cast("array<string>"))).alias("__sub", "__w"),
     )
@@ -205,8 +213,8 @@ def clean_comments(
         toks = toks.withColumn("__stop", F.lit(False)).withColumn("__cands", F.lit(None).cast(_CAND_TYPE))
 
     tokens = "collect_list(struct(__pos, __sub, __w, coalesce(__stop, false) AS __stop, __cands))"
-    per_id = toks.groupBy(F.col("__id").alias(id_col), "__h").agg(F.expr(assemble_sql(tokens)).alias(out_col))
+    per_id = toks.groupBy(F.col("__id").alias(id_col), "__h", "__s").agg(F.expr(assemble_sql(tokens)).alias(out_col))
     # build the hash table on the per-comment results: no sort of the documents
-    out = base.join(per_id.hint("shuffle_hash"), [id_col, "__h"], "left").withColumn(out_col, F.coalesce(F.col(out_col), F.lit("")))
+    out = base.join(per_id.hint("shuffle_hash"), keys, "left").withColumn(out_col, F.coalesce(F.col(out_col), F.lit("")))
     out = out.select(*df.columns, out_col)
     return out.filter(F.col(out_col) != "") if drop_blank else out

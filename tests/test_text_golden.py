@@ -89,3 +89,14 @@ def test_greedy_overlap(spark):
 def test_missing_lexicon_is_empty(spark):
     assert LX.load_lexicon(spark, "/nonexistent/teencode.csv").count() == 0
     assert LX.load_lexicon(spark, None).count() == 0
+
+
+def test_many_copies_of_one_comment(spark):
+    from pyspark.sql import functions as F
+    hot = spark.range(3000).select(F.lit(7).cast("long").alias("id"),
+                                   F.lit("h" + NL + "Hello  the World").alias("cmt")).repartition(6)
+    other = spark.createDataFrame([(8, "h" + NL + "x")], "id long, cmt string")
+    sw = LX.stopwords(spark, ["the"])
+    out = clean_comments(hot.unionByName(other), stopwords=sw)
+    got = out.groupBy("id", "cmt_processed").count().collect()
+    assert sorted((r["id"], r["cmt_processed"], r["count"]) for r in got) == [(7, "hello world", 3000), (8, "x", 1)]
