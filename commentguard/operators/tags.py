@@ -106,22 +106,33 @@ def accent_dictionary(tokens: DataFrame, word_col: str = "w") -> DataFrame:
 
 def restore_accents(docs: DataFrame, id_col: str = "id", text_col: str = "text",
                     dictionary: DataFrame | None = None,
-                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS, copies_salt: int = 64) -> DataFrame:
     """(id, text) -> (id, restored): every unaccented token whose spelling has an
     accented form in the corpus takes the most frequent one; tokens are split on
     single spaces of the lower-cased, whitespace-collapsed text.
+
+    Statistics count every row. Restoration is keyed by (id, text hash, salt) like
+    the cleaner: copies of a document spread over ``copies_salt`` tasks and are
+    reduced to one text per task before tokenising, then joined back.
     """
     from ..functions.text import offline_text
 
-    base = docs.repartition(id_col).select(F.col(id_col), offline_text(text_col).alias("__t"))
-    toks = base.select(id_col, F.posexplode(F.split("__t", " ")).alias("pos", "w")).filter(F.col("w") != "")
+    keys = [id_col, "__h", "__s"]
+    base = docs.select(id_col, offline_text(text_col).alias("__t")) \
+        .withColumn("__h", F.xxhash64("__t")) \
+        .withColumn("__s", F.pmod(F.spark_partition_id(), F.lit(copies_salt))) \
+        .repartition(*keys)
     if dictionary is None:
+        all_toks = base.select(F.explode(F.split("__t", " ")).alias("w")).filter(F.col("w") != "")
         # derived from the corpus: materialise once, then broadcast only if its size is proven small
-        dictionary = accent_dictionary(toks).cache()
+        dictionary = accent_dictionary(all_toks).cache()
     dic = dictionary.select(F.col("folded").alias("w"), "restored")
+    uniq = base.select(*keys, "__t").distinct()  # already partitioned by its keys: no exchange
+    toks = uniq.select(*keys, F.posexplode(F.split("__t", " ")).alias("pos", "w")).filter(F.col("w") != "")
     looked = toks.join(maybe_broadcast(dic, broadcast_rows), "w", "left") \
-        .select(id_col, "pos", F.coalesce("restored", "w").alias("w"))
-    out = looked.groupBy(id_col).agg(
+        .select(*keys, "pos", F.coalesce("restored", "w").alias("w"))
+    out = looked.groupBy(*keys).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "w"))), lambda x: x.w), " ")
         .alias("restored"))
-    return base.select(id_col).join(out, id_col, "left").select(id_col, F.coalesce("restored", F.lit("")).alias("restored"))
+    return base.join(out.hint("shuffle_hash"), keys, "left") \
+        .select(id_col, F.coalesce("restored", F.lit("")).alias("restored"))
