@@ -1,10 +1,15 @@
 """Idempotent log sink.
 
 A micro-batch is appended at most once per batch id (a ledger of committed
-batch ids lives next to the table), ids are unique in the table (first
-write wins, duplicates inside a batch collapse to one), and a failed batch
-simply fails: Structured Streaming replays it from the checkpoint, and the
-ledger plus the anti-join make the replay a no-op for what was written.
+batch ids lives next to the table: one marker file per batch, checked with a
+single existence test), ids are unique in the table (first write wins,
+duplicates inside a batch collapse to one), and a failed batch simply fails:
+Structured Streaming replays it from the checkpoint, and the ledger plus the
+anti-join make the replay a no-op for what was written.
+
+Per-batch cost does not grow with the age of the stream: the ledger is never
+listed, and with a partition column only the stored partitions within the
+horizon of the batch are listed and read.
 """
 
 from __future__ import annotations
@@ -23,6 +28,51 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def _mark(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.writeBytes(text)
+    finally:
+        out.close()
+
+
+def _partition_values(lo, hi, horizon: int):
+    """Partition values from lo - horizon to hi + horizon (dates by day, integers by one)."""
+    import datetime as dt
+    if isinstance(lo, dt.date):
+        start, end = lo - dt.timedelta(days=horizon), hi + dt.timedelta(days=horizon)
+        return [(start + dt.timedelta(days=i)).isoformat() for i in range((end - start).days + 1)]
+    return [str(v) for v in range(int(lo) - horizon, int(hi) + horizon + 1)]
+
+
+def _recent_ids(spark: SparkSession, batch: DataFrame, table_path: str, id_col: str,
+                partition_col: str | None, horizon: int | None) -> DataFrame | None:
+    """Stored ids a duplicate of this batch could collide with."""
+    if partition_col is None:
+        return _read_or_none(spark, table_path)
+    b = batch.agg(F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi")).first()
+    if b["lo"] is None:
+        return None
+    root = table_path.rstrip("/")
+    paths = [f"{root}/{partition_col}={v}" for v in _partition_values(b["lo"], b["hi"], horizon or 0)]
+    paths = [x for x in paths if _exists(spark, x)]
+    if not paths:
+        return None
+    return spark.read.option("basePath", root).parquet(*paths)
+
+
 def idempotent_append(batch: DataFrame, batch_id: int, table_path: str, id_col: str = "id",
                       order_col: str | None = None, count_rows: bool = True,
                       partition_col: str | None = None, horizon: int | None = None) -> int:
@@ -39,32 +89,25 @@ def idempotent_append(batch: DataFrame, batch_id: int, table_path: str, id_col:
     the smallest row by value, so the choice is deterministic on replay).
     """
     spark = batch.sparkSession
-    ledger_path = table_path.rstrip("/") + "_batches"
-    ledger = _read_or_none(spark, ledger_path)
-    if ledger is not None and ledger.filter(F.col("batch_id") == batch_id).limit(1).count() > 0:
+    marker = f"{table_path.rstrip('/')}_batches/{int(batch_id)}"
+    if _exists(spark, marker):
         return 0  # replay of a committed batch
     batch = batch.persist()  # read by the bounds query and by the write: compute once
     try:
-        return _append_new(spark, batch, batch_id, table_path, ledger_path, id_col, order_col, count_rows,
-                           partition_col, horizon)
+        n = _append_new(spark, batch, table_path, id_col, order_col, count_rows, partition_col, horizon)
     finally:
         batch.unpersist()
+    _mark(spark, marker, str(n))
+    return n
 
 
-def _append_new(spark, batch, batch_id, table_path, ledger_path, id_col, order_col, count_rows,
-                partition_col, horizon) -> int:
+def _append_new(spark, batch, table_path, id_col, order_col, count_rows, partition_col, horizon) -> int:
     others = [c for c in batch.columns if c != id_col]
     key = F.struct(F.col(order_col)) if order_col else F.struct(*others)
     firsts = batch.groupBy(id_col).agg(F.min_by(F.struct(*others), key).alias("__r")) \
         .select(id_col, *[F.col(f"__r.{c}").alias(c) for c in others])
-    existing = _read_or_none(spark, table_path)
+    existing = _recent_ids(spark, batch, table_path, id_col, partition_col, horizon)
     if existing is not None:
-        if partition_col is not None:
-            b = batch.agg(F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi")).first()
-            if b["lo"] is not None:
-                lo = F.date_sub(F.lit(b["lo"]), horizon or 0) if hasattr(b["lo"], "year") else F.lit(b["lo"] - (horizon or 0))
-                hi = F.date_add(F.lit(b["hi"]), horizon or 0) if hasattr(b["hi"], "year") else F.lit(b["hi"] + (horizon or 0))
-                existing = existing.filter(F.col(partition_col).between(lo, hi))  # partition pruning
         firsts = firsts.join(existing.select(id_col), id_col, "left_anti")
     firsts = firsts.select(*batch.columns)
     if count_rows:
@@ -78,8 +121,6 @@ def _append_new(spark, batch, batch_id, table_path, ledger_path, id_col, order_c
     else:
         n = -1
         _write(firsts, table_path, partition_col)
-    spark.range(1).select(F.lit(int(batch_id)).cast("long").alias("batch_id"), F.lit(n).cast("long").alias("rows")) \
-        .write.mode("append").parquet(ledger_path)
     return n
 
 

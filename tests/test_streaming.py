@@ -62,3 +62,16 @@ def test_late_rows_are_dropped_and_counted(spark):
     assert "07:00" not in got
     assert got.get("10:00") == 2
     assert SM.dropped_by_watermark(q) == 1
+
+
+def test_partitioned_append_checks_only_the_horizon(spark):
+    path = scratch_path(spark, f"tests/plog-{uuid.uuid4().hex[:8]}")
+    mk = lambda rows: spark.createDataFrame(rows, "id string, v int, d string").withColumn("d", F.to_date("d"))
+    assert SK.idempotent_append(mk([("a", 1, "2024-01-01"), ("b", 2, "2024-01-10")]), 0, path,
+                                order_col="v", partition_col="d", horizon=1) == 2
+    # "a" again two days later: inside a 2-day horizon it is recognised as stored
+    assert SK.idempotent_append(mk([("a", 3, "2024-01-03")]), 1, path, order_col="v", partition_col="d", horizon=2) == 0
+    # "b" again 5 days later with a 1-day horizon: its partition is not read, so it is appended
+    assert SK.idempotent_append(mk([("b", 4, "2024-01-15")]), 2, path, order_col="v", partition_col="d", horizon=1) == 1
+    assert SK.idempotent_append(mk([("b", 4, "2024-01-15")]), 2, path, order_col="v", partition_col="d", horizon=1) == 0
+    assert spark.read.parquet(path).count() == 3
