@@ -98,13 +98,14 @@ def multilabel_metrics(df: DataFrame, truth: str = "truth", pred: str = "pred",
     """Micro F1, macro F1 over all ``n_labels`` labels, Hamming loss = wrong / (N * L)."""
     conf = label_confusion(label_long(df, truth, pred))
     per = conf.select("*", _f1(F.col("tp"), F.col("fp"), F.col("fn")).alias("f1"))
-    n_rows = df.agg(F.count(F.lit(1)).alias("n_rows"))
+    # every row contributes one of tp/fp/fn/tn per label, so their total is N * L
     tot = per.agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn"),
+                  F.sum(F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("cells"),
                   F.sum("f1").alias("f1sum"))
-    return tot.crossJoin(n_rows).select(
+    return tot.select(
         _f1(F.col("tp"), F.col("fp"), F.col("fn")).alias("f1_micro"),
         (F.col("f1sum") / n_labels).alias("f1_macro"),
-        _div(F.col("fp") + F.col("fn"), F.col("n_rows") * n_labels).alias("hamming_loss"),
+        _div(F.col("fp") + F.col("fn"), F.col("cells")).alias("hamming_loss"),
     )
 
 
@@ -147,8 +148,8 @@ def multilabel_report(df: DataFrame, truth: str = "truth", pred: str = "pred", i
         F.avg(_div(F.col("tp"), F.col("tp") + F.col("fp"))).alias("precision"),
         F.avg(_div(F.col("tp"), F.col("tp") + F.col("fn"))).alias("recall"),
         F.avg(_f1(F.col("tp"), F.col("fp"), F.col("fn"))).alias("f1"),
-    ).crossJoin(tot.select(F.col("s").alias("support"))).select(
-        F.lit("samples avg").alias("label"), "precision", "recall", "f1", "support")
+        F.sum(F.col("tp") + F.col("fn")).alias("support"),  # all positives = the label supports' sum
+    ).select(F.lit("samples avg").alias("label"), "precision", "recall", "f1", "support")
     return per.drop("tp", "fp", "fn").unionByName(micro).unionByName(macro).unionByName(weighted).unionByName(samples)
 
 
@@ -168,13 +169,16 @@ def threshold_sweep(df: DataFrame, truth: str = "truth", probs: str = "probs",
     bucket = F.greatest(F.lit(lo - 1), F.least(F.lit(hi), k))
     hist = long.groupBy(bucket.alias("k")).agg(
         F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg"))
-    grid = df.sparkSession.range(lo, hi + 1).select(F.col("id").alias("k"))
-    totals = hist.agg(F.sum("pos").alias("P"))
-    full = grid.join(hist, "k", "left").na.fill(0, ["pos", "neg"]).crossJoin(totals)
-    rev = Window.orderBy(F.col("k").desc()).rowsBetween(Window.unboundedPreceding, 0)  # <= 45 rows
+    # the grid plus the below-range bucket: at most (hi - lo + 2) rows, so the
+    # windows below run over a bounded table
+    grid = df.sparkSession.range(lo - 1, hi + 1).select(F.col("id").alias("k"))
+    full = grid.join(hist, "k", "left").na.fill(0, ["pos", "neg"]) \
+        .withColumn("P", F.sum("pos").over(Window.partitionBy()))
+    rev = Window.orderBy(F.col("k").desc()).rowsBetween(Window.unboundedPreceding, 0)
     swept = full.select(
-        (F.col("k") / 100.0).alias("threshold"),
-        F.sum("pos").over(rev).alias("tp"), F.sum("neg").over(rev).alias("fp"), F.col("P"))
+        "k", (F.col("k") / 100.0).alias("threshold"),
+        F.sum("pos").over(rev).alias("tp"), F.sum("neg").over(rev).alias("fp"), F.col("P")) \
+        .filter(F.col("k") >= lo)
     swept = swept.select("threshold", _f1(F.col("tp"), F.col("fp"), F.col("P") - F.col("tp")).alias("f1_micro"))
     best = Window.orderBy(F.col("f1_micro").desc(), F.col("threshold"))  # <= 45 rows
     return swept.select("threshold", "f1_micro",
