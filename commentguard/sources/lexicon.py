@@ -100,11 +100,27 @@ def compounds_from_file(spark: SparkSession, path: str) -> DataFrame:
     return read_lines(spark, path, "phrase").distinct()
 
 
+def with_line_index(df: DataFrame, col: str = "line_idx") -> DataFrame:
+    """Consecutive 0-based index in read order, computed without a single-task window.
+
+    ``monotonically_increasing_id`` holds the partition in its upper bits and the
+    position inside the partition in the lower 33; per-partition row counts (one
+    row per partition) give each partition's offset.
+    """
+    mid = F.monotonically_increasing_id()
+    df = df.withColumn("__mid", mid) \
+        .withColumn("__pid", F.shiftright("__mid", 33)) \
+        .withColumn("__pos", F.col("__mid").bitwiseAND((1 << 33) - 1)).drop("__mid")
+    counts = df.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(
+        Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row per partition
+    return df.join(F.broadcast(offsets.select("__pid", "__off")), "__pid") \
+        .withColumn(col, F.col("__off") + F.col("__pos")).drop("__pid", "__pos", "__off")
+
+
 def tag_table(spark: SparkSession, path: str) -> DataFrame:
     """M13: 'raw-accented' lines -> (tag_idx, raw, accented); tag_idx is the line number from 0."""
-    df = spark.read.text(path).withColumn("tag_idx", F.monotonically_increasing_id())
-    w = Window.orderBy("tag_idx")  # the file is a few hundred lines: one ordered task is fine
-    df = df.withColumn("tag_idx", (F.row_number().over(w) - 1).cast("int"))
+    df = with_line_index(spark.read.text(path), "tag_idx")
     return tag_table_from(df.select("tag_idx", F.col("value").alias("name")))
 
 

@@ -64,3 +64,14 @@ def test_tag_table_parsing(spark):
     df = LX.tag_table_from(LX.local_table(spark, [(0, "-"), (1, "a-á"), (2, "a-b-c")], schema))
     got = {r["tag_idx"]: (r["raw"], r["accented"]) for r in df.collect()}
     assert got == {0: ("", ""), 1: ("a", "á"), 2: (None, None)}
+
+
+def test_tag_table_line_numbers(spark, folder):
+    path = f"{folder}/tags.txt"
+    lines = ["-", "a-à", "a-á"] + [f"x{i}-y{i}" for i in range(300)]
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("\n".join(lines) + "\n")
+    got = {r["tag_idx"]: (r["raw"], r["accented"]) for r in LX.tag_table(spark, path).collect()}
+    assert len(got) == len(lines) and got[1] == ("a", "à") and got[302] == ("x299", "y299")
+    idx = LX.with_line_index(spark.range(1000).repartition(5).sortWithinPartitions("id"))
+    assert sorted(r["line_idx"] for r in idx.collect()) == list(range(1000))
