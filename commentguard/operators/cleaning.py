@@ -175,7 +175,9 @@ def clean_comments(
     # Rows are keyed by (id, hash of text, salt): the cleaner is row-wise even when
     # ids repeat, and copies of one comment -- however many -- are spread over up
     # to ``copies_salt`` tasks (salt = input partition) and reduced to one text per
-    # task by a hash aggregate before tokenising.
+    # task by a hash aggregate before tokenising. The salt is the input partition
+    # index, which a retried map task sees unchanged, so recomputation after an
+    # executor loss assigns every row to the same key.
     keys = [id_col, "__h", "__s"]
     base = df.withColumn("__h", F.xxhash64(F.col(text_col))) \
         .withColumn("__s", F.pmod(F.spark_partition_id(), F.lit(copies_salt))) \
