@@ -744,7 +744,7 @@ def q_stream_log(spark, sf):
 
     def sink(stream, out, ckpt):
         return SK.start_log_sink(stream, out, ckpt, transform=per_batch, trigger={"availableNow": True},
-                                 partition_col="log_date", horizon=31)
+                                 partition_col="log_date", horizon=1)
 
     out = ST.replay(spark, twice, lambda s: s, "log", "timestamp", sink_fn=sink)
     return out.drop("timestamp", "log_date")
