@@ -75,3 +75,22 @@ def test_partitioned_append_checks_only_the_horizon(spark):
     assert SK.idempotent_append(mk([("b", 4, "2024-01-15")]), 2, path, order_col="v", partition_col="d", horizon=1) == 1
     assert SK.idempotent_append(mk([("b", 4, "2024-01-15")]), 2, path, order_col="v", partition_col="d", horizon=1) == 0
     assert spark.read.parquet(path).count() == 3
+
+
+def test_file_source_rate_limit_and_messages(spark):
+    from pyspark.sql import types as T
+    from commentguard.streaming import ingest
+    base = scratch_path(spark, f"tests/rate-{uuid.uuid4().hex[:8]}")
+    schema = T.StructType([T.StructField("value", T.StringType())])
+    for i in range(3):
+        spark.createDataFrame([(f'{{"id": "m{i}", "cmt": "c{i}", "timestamp": {1700000000 + i}.5}}',)], schema) \
+            .coalesce(1).write.mode("append").parquet(f"{base}/src")
+    stream = ingest.messages(ingest.file_source(spark, f"{base}/src", schema, max_files_per_trigger=1))
+    q = (stream.writeStream.format("memory").queryName("rate_msgs").option("checkpointLocation", f"{base}/ckpt")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    assert len(batches) == 3                       # one file per micro-batch
+    rows = {r["id"]: r for r in spark.table("rate_msgs").collect()}
+    assert set(rows) == {"m0", "m1", "m2"}
+    assert str(rows["m1"]["event_time"]).startswith("2023-11-14 22:13:21.5")
