@@ -1,6 +1,7 @@
 """Comment cleaning (B4-B8): abbreviation expansion, compound segmentation, stopwords.
 
-Plan (one exchange in total):
+Plan (one exchange of the input; the lexicon lookup table is built once,
+cached, and broadcast):
 
 1. ``repartition(id, hash(text), salt)`` once; everything below keeps that
    partitioning. Copies of a comment are spread by the salt and collapsed to
@@ -16,7 +17,7 @@ Plan (one exchange in total):
 5. The result is joined back to the (same, reused) partitioned input.
 
 Lookups are hash probes against broadcast lexicons; nothing crosses into
-Python. Repeated ids are fine: rows are keyed by (id, text hash).
+Python. Repeated ids are fine: rows are keyed by (id, text hash, salt).
 """
 
 from __future__ import annotations
