@@ -78,3 +78,18 @@ def test_profile_types_and_tolerant_projection(spark):
     types = {r["column_name"]: r["dtype"] for r in profile(d, with_types=True).collect()}
     assert types["doc_id"] == "bigint" and types["text"] == "string"
     assert select_existing(d, ["text", "nope", "doc_id"]).columns == ["text", "doc_id"]
+
+
+def test_score_with_chunks_at_most_128_rows(spark):
+    import pandas as pd
+    from commentguard.operators.scoring import score_with
+    from commentguard.streaming.ingest import for_scoring
+
+    def fn(pdf):
+        return pd.DataFrame({"id": pdf["id"], "chunk_rows": len(pdf)})
+
+    df = for_scoring(spark.range(5000), 3)
+    assert df.rdd.getNumPartitions() == 3  # I2: spread before scoring
+    out = score_with(df, fn, "id long, chunk_rows long", chunk=128)
+    rows = out.collect()
+    assert len(rows) == 5000 and max(r["chunk_rows"] for r in rows) <= 128
