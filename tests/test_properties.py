@@ -93,3 +93,15 @@ def test_score_with_chunks_at_most_128_rows(spark):
     out = score_with(df, fn, "id long, chunk_rows long", chunk=128)
     rows = out.collect()
     assert len(rows) == 5000 and max(r["chunk_rows"] for r in rows) <= 128
+
+
+def test_incremental_read_pair_mark(spark):
+    from commentguard.operators import monitor as MO
+    rows = [(1, "2024-01-01 00:00:05"), (2, "2024-01-01 00:00:05"), (3, "2024-01-01 00:00:06")]
+    log = spark.createDataFrame(rows, "id long, ts string").selectExpr("id", "cast(ts as timestamp) as timestamp")
+    # a reader that stopped after id 1 at 00:00:05
+    pair = [r["id"] for r in MO.incremental_read(log, "2024-01-01 00:00:05", after_id=1).collect()]
+    strict = [r["id"] for r in MO.incremental_read(log, "2024-01-01 00:00:05", strict_ts_only=True).collect()]
+    assert pair == [2, 3] and strict == [3]
+    mark = MO.high_water_mark(MO.incremental_read(log, "2024-01-01 00:00:05", after_id=1)).first()
+    assert mark["id"] == 3
