@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from commentguard.llm import mixing
+from commentguard.llm import decontaminate, mixing, secrets
 
-REGISTRY = {**mixing.QUERIES}
+REGISTRY = {**mixing.QUERIES, **secrets.QUERIES, **decontaminate.QUERIES}
