@@ -297,7 +297,7 @@ _TEXT_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLM
 SQL = f"""
 WITH RECURSIVE d AS (SELECT doc_id, {_TEXT_WORDS} AS ws FROM documents),
 g AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + {GRAM - 1}], ' ') AS gram FROM
-      (SELECT doc_id, ws, unnest(range(1, greatest(1, len(ws) - {GRAM - 2}) + 1)) AS i FROM d WHERE len(ws) > 0)),
+      (SELECT doc_id, ws, unnest(range(1, greatest(1, len(ws) - {GRAM - 1}) + 1)) AS i FROM d WHERE len(ws) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
 s AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM g x JOIN g y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY 1, 2),
 e AS (SELECT a, b FROM s JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE common * {THRESHOLD[1]} >= (p.n + q.n - common) * {THRESHOLD[0]}),
