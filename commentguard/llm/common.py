@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from commentguard.session import scratch_path
 
@@ -41,6 +42,25 @@ def small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def own_names(columns: list[str]) -> list[str]:
+    """Inner names for columns that pass through, so that they can't clash with an operator's own."""
+    return [f"own{k}_" for k in range(len(columns))]
+
+
+def own_columns(columns: list[str]) -> list[F.Column]:
+    return [F.col(f"`{c}`").alias(x) for c, x in zip(columns, own_names(columns))]
+
+
+def own_fields(df: DataFrame, columns: list[str]) -> list[T.StructField]:
+    return [T.StructField(x, df.schema[c].dataType) for c, x in zip(columns, own_names(columns))]
+
+
+def shown(df: DataFrame, columns: list[str], results: list[str]) -> DataFrame:
+    """Columns under their own names again, then the results; a result replaces a column of its name."""
+    taken = {r.lower() for r in results}
+    return df.select(*[F.col(x).alias(c) for c, x in zip(columns, own_names(columns)) if c.lower() not in taken], *results)
+
+
 def row_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that no slice holds more than ``limit`` bytes of the column, or one row."""
     if not batch.num_rows:

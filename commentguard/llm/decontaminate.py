@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from commentguard.llm.common import ALNUM, Words, materialise, read_table, row_slices
+from commentguard.llm.common import ALNUM, Words, materialise, own_columns, own_fields, own_names, read_table, row_slices, shown
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
@@ -189,19 +189,24 @@ def find_benchmark(docs: DataFrame, bench: DataFrame, keep: list[str], text: str
 
     With several benchmark blocks the ``keep`` columns should tell rows apart; equal rows are then merged.
     """
+    return shown(_find(docs, bench, keep, text, item, item_text, window, block_words), keep, _NEW)
+
+
+def _find(docs: DataFrame, bench: DataFrame, keep: list[str], text: str, item: str, item_text: str, window: int,
+          block_words: int) -> DataFrame:
     sc = docs.sparkSession.sparkContext
-    out = None
-    schema = T.StructType([docs.schema[c] for c in keep] + T._parse_datatype_string(
+    out, own = None, own_names(keep)
+    schema = T.StructType(own_fields(docs, keep) + T._parse_datatype_string(
         f"hit_words long, hit_spans array<struct<start:int,stop:int>>, hit_items array<string>, hit_matches {_MATCH}").fields)
-    slim = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias("hit_text"))
+    slim = docs.select(*own_columns(keep), F.col(text).alias("hit_text"))
     blocks = 0
     for block in _blocks(bench, item, item_text, block_words):
-        one = slim.mapInArrow(_scan(sc.broadcast(block), keep, window), schema)
+        one = slim.mapInArrow(_scan(sc.broadcast(block), own, window), schema)
         out = one if out is None else out.unionByName(one)
         blocks += 1
     if blocks > 1:
         flat = lambda c: F.flatten(F.collect_list(c))
-        out = out.groupBy(*[F.col(f"`{c}`") for c in keep]).agg(
+        out = out.groupBy(*own).agg(
             F.max("hit_words").alias("hit_words"), flat("hit_spans").alias("hit_spans"),
             F.array_sort(F.array_distinct(flat("hit_items"))).alias("hit_items"), flat("hit_matches").alias("hit_matches"))
         merged = F.aggregate(F.array_sort("hit_spans"), F.array().cast("array<struct<start:int,stop:int>>"), lambda acc, x: F.when(
@@ -218,10 +223,11 @@ def hit_words(spans: str = "hit_spans") -> F.Column:
     return F.aggregate(spans, F.lit(0).cast("long"), lambda a, s: a + (s["stop"] - s["start"]).cast("long"))
 
 
-def remove_contaminated(docs: DataFrame, bench: DataFrame, **kw) -> DataFrame:
+def remove_contaminated(docs: DataFrame, bench: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
+                        window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The document rows in which no benchmark window occurs, with their own columns."""
-    found = find_benchmark(docs, bench, docs.columns, **kw)
-    return found.where(F.size("hit_spans") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = _find(docs, bench, docs.columns, text, item, item_text, window, block_words)
+    return shown(found.where(F.size("hit_spans") == 0), docs.columns, [])
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from commentguard.llm.common import LOWER, materialise, read_table, row_slices, small, text_bytes
+from commentguard.llm.common import LOWER, materialise, own_columns, own_fields, own_names, read_table, row_slices, shown, small, text_bytes
 
 SAMPLE_ROWS = 20_000
 MAX_LANGUAGES = 64
@@ -42,6 +42,7 @@ HOST_WEIGHT = 5.0
 SUFFIX_WEIGHT = 20.0
 _BUCKETS = 1 << 16
 _HOST_ROWS = 100_000
+RESULTS = ["lang_id", "lang_ok", "lang_posterior", "lang_best", "lang_letters", "lang_fit"]
 
 # Letters keep their (lower-cased) byte, everything else in ASCII is a blank.
 _FOLD = np.array([int(LOWER[b]) if (65 <= b <= 90 or 97 <= b <= 122 or b >= 128) else 32 for b in range(256)], np.uint8)
@@ -141,11 +142,17 @@ def _score(shared, keep: list[str]):
 
 def identify(rows: DataFrame, keep: list[str], text: str, declared: F.Column | None = None, host: F.Column | None = None,
              domain: F.Column | None = None, suffix: F.Column | None = None, model: Model | None = None) -> DataFrame:
-    """The ``keep`` columns with lang_id (null if rejected), lang_ok, lang_posterior, lang_best and lang_letters."""
+    """The ``keep`` columns with lang_id (null if rejected), lang_ok, lang_posterior, lang_best, lang_letters and lang_fit."""
+    return shown(_identify(rows, keep, text, declared, host, domain, suffix, model), keep, RESULTS)
+
+
+def _identify(rows: DataFrame, keep: list[str], text: str, declared: F.Column | None, host: F.Column | None,
+              domain: F.Column | None, suffix: F.Column | None, model: Model | None) -> DataFrame:
     spark = rows.sparkSession
     none = F.lit(None).cast("string")
     declared, host, domain, suffix = (none if c is None else c for c in (declared, host, domain, suffix))
-    ready = rows.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias("lang_text"), declared.alias("lang_declared"),
+    own = own_names(keep)
+    ready = rows.select(*own_columns(keep), F.col(text).alias("lang_text"), declared.alias("lang_declared"),
                         F.coalesce(host, F.lit("")).alias("lang_host"), domain.alias("lang_domain"), suffix.alias("lang_suffix"))
     if model is None:
         model = fit_text_model(ready.select(F.col("lang_text").alias("text"), F.col("lang_declared").alias("declared")))
@@ -159,11 +166,11 @@ def identify(rows: DataFrame, keep: list[str], text: str, declared: F.Column | N
 
     def scored(columns: list[str]) -> DataFrame:
         schema = T.StructType([ready.schema[c] for c in columns] + added)
-        return ready.select(*[F.col(f"`{c}`") for c in [*columns, "lang_text"]]).mapInArrow(_score(shared, columns), schema)
+        return ready.select(*columns, "lang_text").mapInArrow(_score(shared, columns), schema)
 
     if not k:
-        return scored(cols).select(*[F.col(f"`{c}`") for c in keep], none.alias("lang_id"), F.lit(False).alias("lang_ok"),
-                                   F.lit(0.0).alias("lang_posterior"), none.alias("lang_best"), "lang_letters")
+        return scored(cols).select(*own, none.alias("lang_id"), F.lit(False).alias("lang_ok"), F.lit(0.0).alias("lang_posterior"),
+                                   none.alias("lang_best"), "lang_letters", "lang_fit")
     evidence = ["lang_declared", "lang_host", "lang_domain", "lang_suffix"]
     votes = materialise(scored(evidence).groupBy(*evidence, "lang_vote").count().where("lang_vote >= 0"), "lang-votes")
     # P(declared | language) and the overall shares: bounded by the number of languages
@@ -198,8 +205,8 @@ def identify(rows: DataFrame, keep: list[str], text: str, declared: F.Column | N
 
     out = scored(cols).join(hosts, "lang_host", "left")
     zero = array([0.0] * k)
-    own = F.transform(F.coalesce("host_n", zero), lambda n, j: F.greatest(n - F.when(j == F.col("lang_vote"), 1.0).otherwise(0.0), F.lit(0.0)))
-    out = out.withColumn("lang_own", own)
+    others = F.transform(F.coalesce("host_n", zero), lambda n, j: F.greatest(n - F.when(j == F.col("lang_vote"), 1.0).otherwise(0.0), F.lit(0.0)))
+    out = out.withColumn("lang_own", others)
     prior = smooth("lang_own", F.coalesce("domain_p", p0), F.lit(HOST_WEIGHT))
     out = out.withColumn("lang_prior", prior)
     said = F.coalesce(F.element_at(F.create_map(*[x for d, j in place.items() for x in (F.lit(d), array(reliable[:, j]))]),
@@ -213,7 +220,7 @@ def identify(rows: DataFrame, keep: list[str], text: str, declared: F.Column | N
                                                    F.array_position("lang_log", F.col("lang_top")).cast("int")))
     ok = (F.col("lang_letters") >= MIN_LETTERS) & (F.col("lang_posterior") >= MIN_POSTERIOR) \
         & ((F.col("lang_fit") >= -FLOOR) | (F.col("lang_letters") < FLOOR_LETTERS))
-    return out.select(*[F.col(f"`{c}`") for c in keep], F.when(ok, F.col("lang_best")).alias("lang_id"), ok.alias("lang_ok"),
+    return out.select(*own, F.when(ok, F.col("lang_best")).alias("lang_id"), ok.alias("lang_ok"),
                       "lang_posterior", F.when(F.col("lang_letters") > 0, F.col("lang_best")).alias("lang_best"), "lang_letters",
                       "lang_fit")
 
@@ -234,10 +241,19 @@ def url_host(url: str) -> F.Column:
     return F.when(host != "", host)
 
 
+def _document_evidence() -> dict:
+    """Documents: lang declares, a text that is markup declares for itself, the source is the host."""
+    return {"text": "text", "declared": F.coalesce(markup_language("text"), declared_language(F.col("lang"))), "host": F.col("source"),
+            "domain": None, "suffix": None, "model": None}
+
+
 def identify_documents(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """Documents: lang declares, the source is the host, a text that is markup declares for itself."""
-    markup = markup_language("text")
-    return identify(docs, keep, "text", F.coalesce(markup, declared_language(F.col("lang"))), F.col("source"))
+    return identify(docs, keep, **_document_evidence())
+
+
+def accepted_documents(docs: DataFrame) -> DataFrame:
+    """The document rows whose language is accepted, with their own columns."""
+    return shown(_identify(docs, docs.columns, **_document_evidence()).where("lang_ok"), docs.columns, [])
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from commentguard.llm.common import materialise, read_table, small
+from commentguard.llm.common import materialise, own_columns, own_names, read_table, shown, small
 
 BLOCK_WORDS = 50_000
 SHARD_WORDS = 4_000_000
@@ -198,8 +198,14 @@ def draw(rows: DataFrame, size: str, key: list[str], source: str = "source", blo
     ``size`` names an expression for a row's number of words, ``key`` the columns that tell
     rows apart (rows equal in them are drawn alike). No row is copied yet.
     """
-    own = rows.columns
-    keyed = rows.withColumns({"mix_size": F.expr(size), "mix_key": F.xxhash64(*key), "mix_src": F.col(source)})
+    return shown(_draw(rows, size, key, source, block_words, shard_words, seed), rows.columns,
+                 ["mix_size", "mix_source_size", "mix_target", "mix_copies"])
+
+
+def _draw(rows: DataFrame, size: str, key: list[str], source: str, block_words: int, shard_words: int, seed: int) -> DataFrame:
+    own = own_names(rows.columns)
+    keyed = rows.select(*own_columns(rows.columns), F.expr(size).alias("mix_size"), F.xxhash64(*key).alias("mix_key"),
+                        F.col(source).alias("mix_src"))
     slim = materialise(keyed.select(F.col("mix_src").alias("source"), F.col("mix_size").alias("size"), "mix_key"),
                        "mix-slim")
     sources, copies = _plan(slim, block_words, shard_words, seed)
@@ -214,18 +220,18 @@ def draw(rows: DataFrame, size: str, key: list[str], source: str = "source", blo
                     lambda c: c["cutoff"].isNull() | (F.col("mix_order") <= c["cutoff"]))
     taken = F.when(F.col("mix_size") > 0, F.transform(mine, lambda c: F.struct(c["shard"], c["epoch"]))) \
         .otherwise(F.array().cast("array<struct<shard:int,epoch:bigint>>"))
-    return out.select(*[F.col(f"`{c}`") for c in own], "mix_size", "mix_source_size", "mix_target",
-                      taken.alias("mix_copies"), "mix_order")
+    return out.select(*own, "mix_size", "mix_source_size", "mix_target", taken.alias("mix_copies"), "mix_order")
 
 
-def mix(rows: DataFrame, size: str, key: list[str], source: str = "source", seed: int = 17, **kw) -> DataFrame:
+def mix(rows: DataFrame, size: str, key: list[str], source: str = "source", block_words: int = BLOCK_WORDS,
+        shard_words: int = SHARD_WORDS, seed: int = 17) -> DataFrame:
     """The mixed rows: every drawn copy with its mix_shard, dealt to shards and shuffled inside each."""
-    own = rows.columns
-    drawn = draw(rows, size, key, source, seed=seed, **kw)
+    drawn = _draw(rows, size, key, source, block_words, shard_words, seed)
     each = drawn.withColumn("mix_copy", F.explode("mix_copies"))
-    out = each.select(*[F.col(f"`{c}`") for c in own], F.col("mix_copy.shard").alias("mix_shard"),
+    out = each.select(*own_names(rows.columns), F.col("mix_copy.shard").alias("mix_shard"),
                       F.xxhash64(F.lit(seed + 2), F.col("mix_order"), F.col("mix_copy.epoch")).alias("mix_rank"))
-    return out.repartition("mix_shard").sortWithinPartitions("mix_shard", "mix_rank").drop("mix_rank")
+    out = out.repartition("mix_shard").sortWithinPartitions("mix_shard", "mix_rank")
+    return shown(out, rows.columns, ["mix_shard"])
 
 
 SIZE_EXPR = r"cast(coalesce(regexp_count(text, '[^\\x20\\x09-\\x0D]+'), 0) as bigint)"

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commentguard.llm.common import ALNUM, Words, materialise, mix64, read_table, row_slices, small, windows
+from commentguard.llm.common import ALNUM, Words, materialise, mix64, own_columns, read_table, row_slices, shown, small, windows
 from commentguard.llm.components import components
 
 GRAM = 5
@@ -274,17 +274,16 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     marked = _with_class(rows, classes).withColumn("mine", F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tkey"))
     keys = marked.where("n > 0").groupBy("doc_id", "tkey").agg(F.max(F.col("mine") == F.col("low")).alias("stays"), F.count(F.lit(1)).alias("copies"))
     keys = small(materialise(keys.where("not stays or copies > 1"), "ngram-dropped"), _SMALL_ROWS)
-    own = docs.withColumn("jaccard_tkey", F.xxhash64(F.col(text), F.lit(1)))
-    keys = keys.select(F.col("doc_id").alias("jaccard_id"), F.col("tkey").alias("jaccard_t2"), F.col("stays").alias("jaccard_stays"))
-    on = own[id_col].eqNullSafe(keys["jaccard_id"]) & (own["jaccard_tkey"] == keys["jaccard_t2"])
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    alone = own.join(keys, on, "left_anti").select(*cols)
+    own = docs.select(*own_columns(docs.columns), F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text), F.lit(1)).alias("tkey"))
+    keys = keys.select(F.col("doc_id").alias("d2"), F.col("tkey").alias("t2"), "stays")
+    on = own["doc_id"].eqNullSafe(keys["d2"]) & (own["tkey"] == keys["t2"])
+    alone = shown(own.join(keys, on, "left_anti"), docs.columns, [])
     # rows that repeat id and text: one of them stays
-    twins = keys.where("jaccard_stays")
+    twins = keys.where("stays")
     if not twins.take(1):
         return alone
-    twins = own.join(twins, own[id_col].eqNullSafe(twins["jaccard_id"]) & (own["jaccard_tkey"] == twins["jaccard_t2"]), "left_semi")
-    return alone.unionByName(twins.dropDuplicates([id_col, "jaccard_tkey"]).select(*cols))
+    twins = own.join(twins, own["doc_id"].eqNullSafe(twins["d2"]) & (own["tkey"] == twins["t2"]), "left_semi")
+    return alone.unionByName(shown(twins.dropDuplicates(["doc_id", "tkey"]), docs.columns, []))
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
