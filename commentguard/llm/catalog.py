@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from commentguard.llm import decontaminate, language, mixing, ngram_join, secrets
+from commentguard.llm import decontaminate, language, mixing, ngram_join, secrets, toxicity
 
-REGISTRY = {**mixing.QUERIES, **secrets.QUERIES, **decontaminate.QUERIES, **ngram_join.QUERIES, **language.QUERIES}
+REGISTRY = {**mixing.QUERIES, **secrets.QUERIES, **toxicity.QUERIES, **decontaminate.QUERIES, **ngram_join.QUERIES, **language.QUERIES}
