@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
-from commentguard.llm import decontaminate, language, mixing, ngram_join, secrets, toxicity
+from commentguard.llm import decontaminate, embedding_dedup, hmm, language, mixing, ngram_join, secrets, toxicity, warc
 
-REGISTRY = {**mixing.QUERIES, **secrets.QUERIES, **toxicity.QUERIES, **decontaminate.QUERIES, **ngram_join.QUERIES, **language.QUERIES}
+REGISTRY = {**mixing.QUERIES, **embedding_dedup.QUERIES, **secrets.QUERIES, **toxicity.QUERIES, **warc.QUERIES, **decontaminate.QUERIES,
+            **hmm.QUERIES, **ngram_join.QUERIES, **language.QUERIES}
