@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from commentguard.llm import decontaminate, embedding_dedup, hmm, language, mixing, ngram_join, secrets, toxicity, warc
+from commentguard.llm import decontaminate, embedding_dedup, hmm, language, mixing, ngram_join, passages, secrets, toxicity, warc
 
 REGISTRY = {**mixing.QUERIES, **embedding_dedup.QUERIES, **secrets.QUERIES, **toxicity.QUERIES, **warc.QUERIES, **decontaminate.QUERIES,
-            **hmm.QUERIES, **ngram_join.QUERIES, **language.QUERIES}
+            **hmm.QUERIES, **ngram_join.QUERIES, **language.QUERIES, **passages.QUERIES}

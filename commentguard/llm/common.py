@@ -61,6 +61,28 @@ def shown(df: DataFrame, columns: list[str], results: list[str]) -> DataFrame:
     return df.select(*[F.col(x).alias(c) for c, x in zip(columns, own_names(columns)) if c.lower() not in taken], *results)
 
 
+def one_per_text(docs: DataFrame, id_col: str, text: str, name: str, max_rows: int = 200_000) -> tuple[DataFrame, DataFrame]:
+    """(rows, texts). rows: doc_id, node (a 64-bit key of the text) and low, the least id with that text, of every
+    row with a text. texts: node and text, once for each distinct text.
+
+    Only the keys of the other copies are joined to the texts, which are not shuffled while those are few.
+    """
+    rows = docs.where(F.col(text).isNotNull()).select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("node"))
+    rows = materialise(rows, f"{name}-rows")
+    mine = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id")
+    lows = rows.groupBy("node").agg(F.min(mine).alias("low"))
+    each = rows.groupBy("node", "doc_id").agg(F.count(F.lit(1)).alias("copies")).join(lows, "node")
+    other = each.select("node", "doc_id", (mine == F.col("low")).alias("first"), "copies").where("not first or copies > 1")
+    other = small(materialise(other, f"{name}-copies"), max_rows).select(F.col("node").alias("n2"), F.col("doc_id").alias("d2"), "first")
+    own = docs.where(F.col(text).isNotNull()).select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("node"), F.col(text).alias("text"))
+    on = lambda o: (own["node"] == o["n2"]) & own["doc_id"].eqNullSafe(o["d2"])
+    texts = own.join(other, on(other), "left_anti").select("node", "text")
+    twins = other.where("first")  # one row of those that repeat id and text
+    if twins.take(1):
+        texts = texts.unionByName(own.join(twins, on(twins), "left_semi").dropDuplicates(["node"]).select("node", "text"))
+    return rows.join(lows.select("node", F.col("low.doc_id").alias("low")), "node"), texts
+
+
 def row_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that no slice holds more than ``limit`` bytes of the column, or one row."""
     if not batch.num_rows:
