@@ -121,7 +121,7 @@ def _symbolise(shared):
                 sym = np.where(rare, len(v.hot) + cls, at).astype(np.int16)
                 blobs = [np.append(sym[a:b], np.int16(v.symbols - 1)).tobytes() for a, b in zip(w.row[:-1], w.row[1:])]
                 base = np.bincount(row[~rare], hot_log[at[~rare]], minlength=docs) + math.log10(v.ends + 1)
-                less = np.bincount(row[rare], class_log[cls[rare]], minlength=docs)
+                less = np.bincount(row[rare], class_log[cls[rare]], minlength=docs).astype(float)
                 known = np.bincount(row[~rare], minlength=docs) + (v.ends > 0)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("held_out"), part.column("k1"), part.column("k2"), pa.array(blobs, pa.binary()),
