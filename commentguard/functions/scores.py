@@ -17,13 +17,17 @@ def to_double_array(c: str | Column) -> Column:
     return F.transform(col_of(c), lambda x: x.cast("double"))
 
 
+def bind(value: Column, body) -> Column:
+    """body(value) with the value worked out once per row, also inside the body's lambdas."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def softmax(c: str | Column) -> Column:
     """Numerically stable softmax (subtract the max first)."""
     arr = to_double_array(c)
-    m = F.array_max(arr)
-    ex = F.transform(arr, lambda x: F.exp(x - m))
-    total = F.aggregate(ex, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(ex, lambda x: x / total)
+    return bind(arr, lambda a: bind(F.array_max(a), lambda m: bind(
+        F.transform(a, lambda x: F.exp(x - m)), lambda ex: bind(
+            F.aggregate(ex, F.lit(0.0), lambda acc, x: acc + x), lambda total: F.transform(ex, lambda x: x / total)))))
 
 
 def argmax(c: str | Column) -> Column:
@@ -104,9 +108,10 @@ def has_known_label(tags: str | Column, labels: list[str] | None = None) -> Colu
 
 
 def coerce_level(c: str | Column, lo: int = 0, hi: int = 3) -> Column:
-    """Non-numeric -> 0, truncate to int, clip to [lo, hi]."""
+    """Non-numeric and NaN -> 0, clip to [lo, hi] (infinities too), truncate to int."""
     x = F.coalesce(F.expr(f"try_cast({_sql_name(c)} as double)"), F.lit(0.0))
-    return F.greatest(F.lit(lo), F.least(F.lit(hi), x.cast("int")))
+    x = F.when(F.isnan(x), 0.0).otherwise(x)
+    return F.greatest(F.lit(float(lo)), F.least(F.lit(float(hi)), x)).cast("int")
 
 
 def _sql_name(c: str | Column) -> str:

@@ -1,53 +1,103 @@
 """Comment cleaning (B4-B8): abbreviation expansion, compound segmentation, stopwords.
 
-Plan (one exchange of the input; the lexicon lookup table is built once,
-cached, and broadcast):
-
-1. ``repartition(id, hash(text), salt)`` once; everything below keeps that
-   partitioning. Copies of a comment are spread by the salt and collapsed to
-   one text per task by a hash ``distinct`` before tokenising.
-2. Row-local native text steps (B1-B3 online, lower + whitespace offline).
-3. ``posexplode`` the tokens, broadcast-join the abbreviation lexicon (B4),
-   split multi-word expansions and a trailing "." into their own tokens,
-   broadcast-join one "word facts" table (stopword flag + compound
-   candidates keyed by first syllable).
-4. ``groupBy(id, hash, salt)`` -- already partitioned by it, no second exchange --
-   collects the ordered tokens; the greedy longest-match compound pick (B6)
-   and the stopword filter (B5) run as array expressions.
-5. The result is joined back to the (same, reused) partitioned input.
-
-Lookups are hash probes against broadcast lexicons; nothing crosses into
-Python. Repeated ids are fine: rows are keyed by (id, text hash, salt).
+Cleaning is row-local. Lexicons that are proven small (``sizing.BROADCAST_BYTES``) are sent to
+the tasks once and used in a vectorised Arrow function on the natively normalised text: one
+scan, no exchange, rows are never matched to one another, so nothing depends on ids or on how
+the input is partitioned.
+
+Lexicons beyond that size are joined instead (``_clean_by_join``): each distinct text is
+shuffled once, tokenised, looked up, put together again and joined back on the text itself.
+Both ways give the same results.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from dataclasses import dataclass, field
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import vocab as V
 from ..functions import text as TX
-from ..sizing import DEFAULT_BROADCAST_ROWS, maybe_broadcast
+from ..sizing import BROADCAST_BYTES, fits
 
 _CAND_TYPE = "array<struct<n:int,key:string,stop:boolean>>"
 
 
-_FACTS: dict[tuple[int, int], tuple[DataFrame | None, DataFrame | None, DataFrame]] = {}
+@dataclass
+class Lexicons:
+    """Small lexicons as Python tables: abbreviation -> words, stopwords, first syllable -> compounds (longest first)."""
+
+    expand: dict[str, list[str]] = field(default_factory=dict)
+    stop: set[str] = field(default_factory=set)
+    compounds: dict[str, list[list[str]]] = field(default_factory=dict)
+
+    def clean(self, text: str) -> str:
+        words: list[str] = []
+        for token in text.split(" "):
+            full = self.expand.get(token)
+            for w in ([token] if token else []) if full is None else full:
+                if len(w) > 1 and w[-1] == ".":
+                    words += (w[:-1], ".")
+                else:
+                    words.append(w)
+        if not self.compounds:
+            return " ".join([w for w in words if w not in self.stop])
+        out, at, end = [], 0, len(words)
+        while at < end:
+            w = words[at]
+            for c in self.compounds.get(w, ()):  # greedy: the longest compound that starts here
+                if words[at:at + len(c)] == c:
+                    w = "_".join(c)
+                    at += len(c)
+                    break
+            else:
+                at += 1
+            if w not in self.stop:
+                out.append(w)
+        return " ".join(out)
+
+
+def _expansion(full: Column) -> Column:
+    return F.filter(F.split(full, V.WHITESPACE_RUN), lambda x: x != "")
+
+
+def _syllables(phrase: Column) -> Column:
+    return F.filter(F.split(F.regexp_replace(phrase, "_", " "), " "), lambda x: x != "")
+
+
+def prepare_lexicons(abbreviations: DataFrame | None = None, compounds: DataFrame | None = None,
+                     stopwords: DataFrame | None = None, max_bytes: int = BROADCAST_BYTES) -> Lexicons | None:
+    """The lexicons as Python tables if they are proven small, else None.
+
+    Streams prepare them once and hand them to every micro-batch. An abbreviation that repeats
+    takes its greatest expansion.
+    """
+    if not fits(abbreviations, compounds, stopwords, max_bytes=max_bytes):
+        return None
+    out = Lexicons()
+    if abbreviations is not None:
+        once = abbreviations.where("abbr is not null and full is not null").groupBy("abbr").agg(F.max("full").alias("full"))
+        out.expand = {r["abbr"]: list(r["words"]) for r in once.select("abbr", _expansion(F.col("full")).alias("words")).collect()}
+    if stopwords is not None:
+        out.stop = {r["word"] for r in stopwords.where("word is not null").select("word").distinct().collect()}
+    if compounds is not None:
+        rows = compounds.select(_syllables(F.col("phrase")).alias("s")).where(F.size("s") >= 2).distinct().collect()
+        for r in sorted(rows, key=lambda r: -len(r["s"])):
+            out.compounds.setdefault(r["s"][0], []).append(list(r["s"]))
+    return out
 
 
-def word_facts(stopwords: DataFrame | None, compounds: DataFrame | None) -> DataFrame | None:
-    """Cached ``build_word_facts``: built and materialised once per pair of lexicon
-    DataFrames, so micro-batches reuse it instead of re-running its small shuffles."""
-    if stopwords is None and compounds is None:
-        return None
-    key = (id(stopwords), id(compounds))
-    hit = _FACTS.get(key)
-    if hit is not None and hit[0] is stopwords and hit[1] is compounds:
-        return hit[2]
-    facts = build_word_facts(stopwords, compounds).cache()
-    if len(_FACTS) < 1000:
-        _FACTS[key] = (stopwords, compounds, facts)
-    return facts
+def _vectorised(shared):
+    @F.pandas_udf("string")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        lexicons = shared.value
+        for texts in batches:
+            yield pd.Series([lexicons.clean(t) for t in texts], dtype=object)
+
+    return clean
 
 
 def build_word_facts(stopwords: DataFrame | None, compounds: DataFrame | None) -> DataFrame | None:
@@ -133,14 +183,36 @@ _OUT = """array_join(transform(filter(flatten(concat(
 
 def assemble_sql(tokens: str) -> str:
     """SQL expression: ordered token structs -> cleaned comment string."""
-    # exact duplicate rows share a group; after sorting their tokens are adjacent
-    dedup = ("filter(t0, (x, i) -> i = 0 or x.__pos != element_at(t0, i).__pos"
-             " or x.__sub != element_at(t0, i).__sub)")
-    return _let(f"array_sort({tokens})", "t0", _let(dedup, "t",
+    return _let(f"array_sort({tokens})", "t",
                 _let("transform(t, x -> x.__w)", "ws",
                      _let("transform(t, x -> named_struct('word', x.__w, 'stop', x.__stop))", "wst",
                           _let(_BEST, "best",
-                               _let(_CHOSEN, "chosen", _OUT))))))
+                               _let(_CHOSEN, "chosen", _OUT)))))
+
+
+def _clean_by_join(df: DataFrame, text: Column, abbreviations: DataFrame | None, compounds: DataFrame | None,
+                   stopwords: DataFrame | None, out_col: str) -> DataFrame:
+    """The cleaner for lexicons too large to send around: keyed by the text, never null, so every row finds its result."""
+    base = df.withColumn("__t", text).withColumn("__h", F.xxhash64("__t"))
+    toks = base.select("__h", "__t").distinct().select("__h", "__t", F.posexplode(F.split("__t", " ")).alias("__pos", "__tok"))
+    if abbreviations is not None:
+        lex = abbreviations.where("abbr is not null and full is not null").groupBy(F.col("abbr").alias("__tok")).agg(F.max("full").alias("__full"))
+        toks = toks.join(lex, "__tok", "left")
+    else:
+        toks = toks.withColumn("__full", F.lit(None).cast("string"))
+    words = F.when(F.col("__full").isNotNull(), _expansion(F.col("__full"))).otherwise(F.array("__tok"))
+    words = F.flatten(F.transform(words, lambda x: F.when(
+        (F.length(x) > 1) & x.endswith("."), F.array(x.substr(F.lit(1), F.length(x) - 1), F.lit("."))).otherwise(F.array(x))))
+    toks = toks.select("__h", "__t", "__pos", F.posexplode_outer(words).alias("__sub", "__w"))
+    facts = build_word_facts(stopwords, compounds)
+    if facts is not None:
+        toks = toks.join(facts, "__w", "left")
+    else:
+        toks = toks.withColumn("__stop", F.lit(False)).withColumn("__cands", F.lit(None).cast(_CAND_TYPE))
+    tokens = ("collect_list(struct(__pos, coalesce(__sub, 0) AS __sub, coalesce(__w, '') AS __w, "
+              "coalesce(__stop, false) AS __stop, __cands))")
+    done = toks.groupBy("__h", "__t").agg(F.expr(assemble_sql(tokens)).alias(out_col))
+    return base.join(done, ["__h", "__t"]).select(*df.columns, out_col)
 
 
 def clean_comments(
@@ -150,13 +222,12 @@ def clean_comments(
     stopwords: DataFrame | None = None,
     *,
     mode: str = "online",
-    id_col: str = "id",
     text_col: str = "cmt",
     out_col: str = "cmt_processed",
     strip_author: bool = True,
     drop_blank: bool = True,
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    copies_salt: int = 64,
+    lexicons: Lexicons | None = None,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """B7 (mode="online") / B8 (mode="offline") cleaner; adds ``out_col``.
 
@@ -165,6 +236,7 @@ def clean_comments(
              drop stopwords.
     offline: null->"", lower, expand abbreviations, segment, drop stopwords.
     With ``drop_blank`` the rows whose result is blank are dropped (C1).
+    ``lexicons`` (from ``prepare_lexicons``) replaces the three lexicon tables.
     """
     if mode == "online":
         text = TX.online_text(text_col, strip_author)
@@ -172,52 +244,10 @@ def clean_comments(
         text = TX.offline_text(text_col)
     else:
         raise ValueError(f"mode must be 'online' or 'offline', not {mode!r}")
-
-    # Rows are keyed by (id, hash of text, salt): the cleaner is row-wise even when
-    # ids repeat, and copies of one comment -- however many -- are spread over up
-    # to ``copies_salt`` tasks (salt = input partition) and reduced to one text per
-    # task by a hash aggregate before tokenising. The salt is the input partition
-    # index, which a retried map task sees unchanged, so recomputation after an
-    # executor loss assigns every row to the same key.
-    keys = [id_col, "__h", "__s"]
-    base = df.withColumn("__h", F.xxhash64(F.col(text_col))) \
-        .withColumn("__s", F.pmod(F.spark_partition_id(), F.lit(copies_salt))) \
-        .repartition(*keys)
-    uniq = base.select(*keys, text_col).distinct()  # already partitioned by its keys: no exchange
-    toks = uniq.select(
-        F.col(id_col).alias("__id"), "__h", "__s",
-        F.posexplode(F.split(text, " ")).alias("__pos", "__tok"),
-    )
-    if abbreviations is not None:
-        lex = abbreviations.select(F.col("abbr").alias("__tok"), F.col("full").alias("__full"))
-        toks = toks.join(maybe_broadcast(lex, broadcast_rows), "__tok", "left")
-        value = F.coalesce(F.col("__full"), F.col("__tok"))
-    else:
-        value = F.col("__tok")
-    # B4 values may hold several words; B6 gives a trailing "." its own token.
-    # Only tokens with a lexicon hit or a trailing "." take the general path.
-    rare = F.col("__tok").endswith(".") | (F.col("__full").isNotNull() if abbreviations is not None else F.lit(False))
-    general = F.flatten(F.transform(
-        F.filter(F.split(value, V.WHITESPACE_RUN), lambda x: x != ""),
-        lambda x: F.when((F.length(x) > 1) & x.endswith("."),
-                         F.array(x.substr(F.lit(1), F.length(x) - 1), F.lit(".")))
-                   .otherwise(F.array(x)),
-    ))
-    toks = toks.select(
-        "__id", "__h", "__s", "__pos",
-        F.posexplode(F.when(rare, general).when(F.col("__tok") != "", F.array("__tok"))
-                      .otherwise(F.array().cast("array<string>"))).alias("__sub", "__w"),
-    )
-    facts = word_facts(stopwords, compounds)
-    if facts is not None:
-        inputs = [x for x in (stopwords, compounds) if x is not None]
-        toks = toks.join(maybe_broadcast(facts, broadcast_rows, bound_by=inputs), "__w", "left")
+    small = lexicons or prepare_lexicons(abbreviations, compounds, stopwords, max_bytes)
+    if small is not None:
+        clean = _vectorised(df.sparkSession.sparkContext.broadcast(small))
+        out = df.withColumn(out_col, clean(text))
     else:
-        toks = toks.withColumn("__stop", F.lit(False)).withColumn("__cands", F.lit(None).cast(_CAND_TYPE))
-
-    tokens = "collect_list(struct(__pos, __sub, __w, coalesce(__stop, false) AS __stop, __cands))"
-    per_id = toks.groupBy(F.col("__id").alias(id_col), "__h", "__s").agg(F.expr(assemble_sql(tokens)).alias(out_col))
-    # build the hash table on the per-comment results: no sort of the documents
-    out = base.join(per_id.hint("shuffle_hash"), keys, "left").withColumn(out_col, F.coalesce(F.col(out_col), F.lit("")))
-    out = out.select(*df.columns, out_col)
+        out = _clean_by_join(df, text, abbreviations, compounds, stopwords, out_col)
     return out.filter(F.col(out_col) != "") if drop_blank else out

@@ -139,11 +139,11 @@ def multilabel_report(df: DataFrame, truth: str = "truth", pred: str = "pred", i
     weighted = tot.select(F.lit("weighted avg").alias("label"), _div(F.col("wp"), F.col("s")).alias("precision"),
                           _div(F.col("wr"), F.col("s")).alias("recall"), _div(F.col("wf"), F.col("s")).alias("f1"),
                           F.col("s").alias("support"))
-    # samples average: per-row precision/recall/F1, then the mean over rows
-    per_row = long.groupBy(id_col).agg(
-        F.count_if((F.col("y") == 1) & (F.col("p") == 1)).alias("tp"),
-        F.count_if((F.col("y") == 0) & (F.col("p") == 1)).alias("fp"),
-        F.count_if((F.col("y") == 1) & (F.col("p") == 0)).alias("fn"))
+    # samples average: per-row precision/recall/F1 inside the row (ids may repeat), then the mean over rows
+    def cells(y: int, p: int):
+        return F.aggregate(F.zip_with(truth, pred, lambda a, b: F.when((a == y) & (b == p), 1).otherwise(0)), F.lit(0), lambda n, x: n + x)
+
+    per_row = df.where(F.size(truth) > 0).select(cells(1, 1).alias("tp"), cells(0, 1).alias("fp"), cells(1, 0).alias("fn"))
     samples = per_row.agg(
         F.avg(_div(F.col("tp"), F.col("tp") + F.col("fp"))).alias("precision"),
         F.avg(_div(F.col("tp"), F.col("tp") + F.col("fn"))).alias("recall"),
@@ -164,6 +164,9 @@ def threshold_sweep(df: DataFrame, truth: str = "truth", probs: str = "probs",
     """
     z = F.explode(F.arrays_zip(F.col(truth).alias("y"), F.col(probs).alias("p")))
     long = df.select(z.alias("z")).select(F.col("z.y").alias("y"), F.col("z.p").cast("double").alias("p"))
+    # null and NaN are below every threshold; infinities are clipped
+    valid = F.when(F.col("p").isNull() | F.isnan("p"), -1.0).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(2.0), F.col("p"))))
+    long = long.select("y", valid.alias("p"))
     k0 = F.floor(F.col("p") * 100).cast("long")
     k = F.when(F.col("p") < k0 / 100.0, k0 - 1).when(F.col("p") >= (k0 + 1) / 100.0, k0 + 1).otherwise(k0)
     bucket = F.greatest(F.lit(lo - 1), F.least(F.lit(hi), k))
@@ -194,8 +197,8 @@ def losses(df: DataFrame, heads: dict[str, str], typ: str = "typ", truth: str =
     ce = None
     for logits, y in heads.items():
         arr = S.to_double_array(logits)
-        m = F.array_max(arr)
-        lse = m + F.log(F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + F.exp(x - m)))
+        lse = S.bind(arr, lambda a: S.bind(F.array_max(a), lambda m: m + F.log(
+            F.aggregate(a, F.lit(0.0), lambda acc, x: acc + F.exp(x - m)))))
         term = lse - F.element_at(arr, F.col(y).cast("int") + 1)
         ce = term if ce is None else ce + term
     x = S.to_double_array(typ)

@@ -28,13 +28,17 @@ def kpis(log: DataFrame, flag: str = "is_hate") -> DataFrame:
 
 
 def type_counts(log: DataFrame, types: str = "type_attack") -> DataFrame:
-    """Attack-type frequency (type_attack, n)."""
+    """Attack-type frequency (type_attack, n), most frequent first, ties by name."""
+    return _type_counts(log, types).orderBy(F.desc("n"), "type_attack")
+
+
+def _type_counts(log: DataFrame, types: str) -> DataFrame:
     return log.select(F.explode(types).alias("type_attack")).groupBy("type_attack").agg(F.count(F.lit(1)).alias("n"))
 
 
 def top_type(log: DataFrame, types: str = "type_attack") -> DataFrame:
     """Most frequent type (higher count, then name ascending), 'N/A' when none."""
-    counts = type_counts(log, types)
+    counts = _type_counts(log, types)
     best = counts.agg(F.min_by(F.col("type_attack"), F.struct(-F.col("n"), F.col("type_attack"))).alias("t"),
                       F.max("n").alias("n"))
     return best.select(F.coalesce("t", F.lit("N/A")).alias("top_type"), F.coalesce("n", F.lit(0)).alias("n"))

@@ -47,14 +47,16 @@ def cascade(logits: DataFrame, keep: list[str] | None = None, threshold: float =
     return out
 
 
-def attach_scores(comments: DataFrame, scores: DataFrame, id_col: str = "id", text_col: str = "cmt") -> DataFrame:
+def attach_scores(comments: DataFrame, scores: DataFrame, id_col: str = "id", text_col: str = "cmt",
+                  order_col: str | None = None) -> DataFrame:
     """Scores keep the original text by id, "" when absent.
 
-    The comment side is deduplicated on id first (last arrival is not
-    observable in a distributed table, so any one text per id is kept,
-    deterministically the greatest).
+    Only comments that have a score are kept, then one text per id: that with the greatest
+    ``order_col`` (the last to arrive), ties and no order column: the greatest text.
     """
-    texts = comments.groupBy(id_col).agg(F.max(text_col).alias(text_col))
+    scored = comments.join(scores.select(id_col), id_col, "left_semi")
+    last = F.max(text_col) if order_col is None else F.max_by(F.col(text_col), F.struct(order_col, text_col))
+    texts = scored.groupBy(id_col).agg(last.alias(text_col))
     out = scores.join(texts, id_col, "left")
     return out.withColumn(text_col, F.coalesce(F.col(text_col), F.lit("")))
 

@@ -56,13 +56,15 @@ def stratified_split(df: DataFrame, label_bits: str = "truth", id_col: str = "id
     rows are ranked inside (stratum, hash prefix) sub-partitions and the
     counts of earlier sub-partitions are added back.
     """
-    z = F.posexplode(F.col(label_bits))
-    long = df.select(id_col, z.alias("idx", "y")).filter(F.col("y") == 1)
-    freq = label_freq if label_freq is not None else long.groupBy("idx").agg(F.count(F.lit(1)).alias("freq"))
-    rarest = long.join(F.broadcast(freq), "idx").groupBy(id_col).agg(
-        F.min(F.struct("freq", "idx")).getField("idx").alias("stratum"))
+    if label_freq is None:
+        long = df.select(F.posexplode(F.col(label_bits)).alias("idx", "y")).filter(F.col("y") == 1)
+        label_freq = long.groupBy("idx").agg(F.count(F.lit(1)).alias("freq"))
+    # one row per label position, as many as a row's array is long
+    ranks = {r["idx"]: k for k, r in enumerate(label_freq.orderBy("freq", "idx").select("idx").collect())}
+    by_rarity = F.array(*[F.lit(i) for i in ranks]).cast("array<int>")
+    mine = F.filter(by_rarity, lambda i: F.get(F.col(label_bits), i) == 1)
     h = id_hash(id_col, seed)
-    rows = df.join(rarest, id_col, "left").withColumn("stratum", F.coalesce("stratum", F.lit(-1))) \
+    rows = df.withColumn("stratum", F.coalesce(F.get(mine, F.lit(0)), F.lit(-1))) \
         .withColumn("__h", h).withColumn("__sub", F.substring(h, 1, 3))
     # counts per (stratum, sub-bucket) -> offsets of each sub-bucket inside its stratum (<= 20 * 4096 rows)
     sub_counts = rows.groupBy("stratum", "__sub").agg(F.count(F.lit(1)).alias("__c"))
@@ -71,7 +73,7 @@ def stratified_split(df: DataFrame, label_bits: str = "truth", id_col: str = "id
                                 F.coalesce(F.sum("__c").over(w_off), F.lit(0)).alias("__off"),
                                 F.sum("__c").over(Window.partitionBy("stratum")).alias("__n"))
     ranked = rows.withColumn("__r", F.row_number().over(Window.partitionBy("stratum", "__sub").orderBy("__h", id_col)))
-    ranked = ranked.join(F.broadcast(offsets), ["stratum", "__sub"])
+    ranked = ranked.join(offsets, ["stratum", "__sub"])
     pos = (F.col("__off") + F.col("__r") - 1) / F.col("__n")
     a, b = round(shares[0], 12), round(shares[0] + shares[1], 12)
     return ranked.withColumn("split", F.when(pos < a, "train").when(pos < b, "dev").otherwise("test")) \

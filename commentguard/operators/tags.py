@@ -10,11 +10,15 @@ its folded spelling.
 from __future__ import annotations
 
 import unicodedata
+import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sizing import DEFAULT_BROADCAST_ROWS, maybe_broadcast
+from ..session import scratch_path
+from ..sizing import BROADCAST_BYTES, fits, maybe_broadcast
 
 WORD_PREFIX = "▁"  # sentencepiece word-start marker
 
@@ -45,7 +49,7 @@ def merge_subwords(pred: DataFrame, prefix: str = WORD_PREFIX, id_col: str = "id
 
 
 def apply_tags(words: DataFrame, tag_table: DataFrame, id_col: str = "id",
-               broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Per word, the first piece (lowest position) whose tag has a non-empty ``raw``
     contained in the word replaces every occurrence of ``raw`` by ``accented``;
     words without such a tag stay. Returns (id, text) with words joined by spaces.
@@ -53,7 +57,7 @@ def apply_tags(words: DataFrame, tag_table: DataFrame, id_col: str = "id",
     tags = tag_table.select("tag_idx", "raw", "accented").filter(F.col("raw").isNotNull() & (F.col("raw") != ""))
     pieces = words.select(id_col, "word_pos", "word", F.explode("pieces").alias("pc")) \
         .select(id_col, "word_pos", "word", F.col("pc.pos").alias("pos"), F.col("pc.tag_idx").alias("tag_idx"))
-    hits = pieces.join(maybe_broadcast(tags, broadcast_rows), "tag_idx") \
+    hits = pieces.join(maybe_broadcast(tags, max_bytes), "tag_idx") \
         .filter(F.instr(F.col("word"), F.col("raw")) > 0) \
         .groupBy(id_col, "word_pos").agg(F.min(F.struct("pos", "raw", "accented")).alias("rule"))
     fixed = words.join(hits, [id_col, "word_pos"], "left").select(
@@ -104,35 +108,41 @@ def accent_dictionary(tokens: DataFrame, word_col: str = "w") -> DataFrame:
     return counts.groupBy("folded").agg(F.max_by("form", F.struct("n", "form")).alias("restored"))
 
 
+def _restorer(shared):
+    @F.pandas_udf("string")
+    def restore(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        get = shared.value.get
+        for texts in batches:
+            yield pd.Series([" ".join([get(w, w) for w in t.split(" ") if w]) for t in texts], dtype=object)
+
+    return restore
+
+
 def restore_accents(docs: DataFrame, id_col: str = "id", text_col: str = "text",
-                    dictionary: DataFrame | None = None,
-                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS, copies_salt: int = 64) -> DataFrame:
+                    dictionary: DataFrame | None = None, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(id, text) -> (id, restored): every unaccented token whose spelling has an
     accented form in the corpus takes the most frequent one; tokens are split on
     single spaces of the lower-cased, whitespace-collapsed text.
 
-    Statistics count every row. Restoration is keyed by (id, text hash, salt) like
-    the cleaner: copies of a document spread over ``copies_salt`` tasks and are
-    reduced to one text per task before tokenising, then joined back.
+    Statistics count every row, from the scan, with partial aggregation. A dictionary that is
+    proven small is sent to the tasks and applied row by row without an exchange; a larger one
+    is joined to the tokens of each distinct text, which is joined back on the text itself.
     """
     from ..functions.text import offline_text
 
-    keys = [id_col, "__h", "__s"]
-    base = docs.select(id_col, offline_text(text_col).alias("__t")) \
-        .withColumn("__h", F.xxhash64("__t")) \
-        .withColumn("__s", F.pmod(F.spark_partition_id(), F.lit(copies_salt))) \
-        .repartition(*keys)
+    base = docs.select(id_col, offline_text(text_col).alias("__t"))
     if dictionary is None:
-        all_toks = base.select(F.explode(F.split("__t", " ")).alias("w")).filter(F.col("w") != "")
-        # derived from the corpus: materialise once, then broadcast only if its size is proven small
-        dictionary = accent_dictionary(all_toks).cache()
-    dic = dictionary.select(F.col("folded").alias("w"), "restored")
-    uniq = base.select(*keys, "__t").distinct()  # already partitioned by its keys: no exchange
-    toks = uniq.select(*keys, F.posexplode(F.split("__t", " ")).alias("pos", "w")).filter(F.col("w") != "")
-    looked = toks.join(maybe_broadcast(dic, broadcast_rows), "w", "left") \
-        .select(*keys, "pos", F.coalesce("restored", "w").alias("w"))
-    out = looked.groupBy(*keys).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "w"))), lambda x: x.w), " ")
-        .alias("restored"))
-    return base.join(out.hint("shuffle_hash"), keys, "left") \
-        .select(id_col, F.coalesce("restored", F.lit("")).alias("restored"))
+        tokens = base.select(F.explode(F.split("__t", " ")).alias("w")).filter(F.col("w") != "")
+        path = scratch_path(docs.sparkSession, f"accents-{uuid.uuid4().hex}")
+        accent_dictionary(tokens).write.parquet(path)  # measured and read again below
+        dictionary = docs.sparkSession.read.parquet(path)
+    if fits(dictionary, max_bytes=max_bytes):
+        table = {r["folded"]: r["restored"] for r in dictionary.collect()}
+        restore = _restorer(docs.sparkSession.sparkContext.broadcast(table))
+        return base.select(id_col, restore("__t").alias("restored"))
+    base = base.withColumn("__h", F.xxhash64("__t"))
+    words = base.select("__h", "__t").distinct().select("__h", "__t", F.posexplode(F.split("__t", " ")).alias("pos", "w"))
+    looked = words.join(dictionary.select(F.col("folded").alias("w"), "restored"), "w", "left")
+    whole = looked.groupBy("__h", "__t").agg(F.array_join(F.transform(F.filter(F.array_sort(F.collect_list(
+        F.struct("pos", F.coalesce("restored", "w").alias("w")))), lambda x: x.w != ""), lambda x: x.w), " ").alias("restored"))
+    return base.join(whole, ["__h", "__t"]).select(id_col, "restored")

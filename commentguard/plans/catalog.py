@@ -21,7 +21,7 @@ from ..operators import monitor as MO
 from ..operators import scoring as SC
 from ..operators import splits as SP
 from ..operators import tags as TG
-from ..operators.cleaning import clean_comments
+from ..operators.cleaning import clean_comments, prepare_lexicons
 from ..sources import payload as PL
 from . import fixtures as FX
 from . import oracle as O
@@ -734,11 +734,11 @@ def q_stream_log(spark, sf):
     idempotent append, micro-batch by micro-batch."""
     msgs, lg = _stream_log_source(spark, sf)
     lg = lg.cache()  # static side of the stream-static join, reused by every micro-batch
-    ab, co, sw = FX.fixture_lexicons(spark)
+    lexicons = prepare_lexicons(*FX.fixture_lexicons(spark))
     twice = msgs.unionByName(msgs)
 
     def per_batch(df):
-        cleaned = clean_comments(df, ab, co, sw)
+        cleaned = clean_comments(df, lexicons=lexicons)
         scored = SC.cascade(cleaned.join(lg, "id"), keep=["id", "cmt", "cmt_processed", "timestamp"])
         return scored.drop("targets", "type_bits").withColumn("log_date", F.to_date("timestamp"))
 

@@ -1,4 +1,4 @@
-"""Size-checked broadcast: broadcast a side only when its size is proven small."""
+"""Size-checked broadcast: broadcast a side only when its bytes are proven small."""
 
 from __future__ import annotations
 
@@ -7,39 +7,22 @@ from pyspark.sql import functions as F
 
 # Lexicons and label vocabularies are far below this; a side above it is
 # joined with a shuffle and left to AQE (skew splitting, coalescing).
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-# Counted sides, keyed by object identity (the DataFrame is kept alive with its count so
-# the key is not reused). Lexicons passed to every micro-batch are counted once.
-_COUNTED: dict[int, tuple[DataFrame, int, int]] = {}
-
-
-def row_bound(df: DataFrame, max_rows: int) -> int | None:
-    """Rows of df if at most max_rows, else None. Reads at most max_rows + 1 rows."""
-    hit = _COUNTED.get(id(df))
-    if hit is not None and hit[0] is df and hit[2] >= max_rows:
-        n = hit[1]
-    else:
-        n = df.limit(max_rows + 1).count()
-        if len(_COUNTED) < 10_000:
-            _COUNTED[id(df)] = (df, n, max_rows)
-    return n if n <= max_rows else None
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                    bound_by: list[DataFrame] | None = None) -> DataFrame:
-    """Mark df for broadcast if its row count is proven to be within max_rows.
-
-    ``bound_by`` lists inputs whose row counts add up to an upper bound of
-    df's rows (e.g. the raw lexicons a lookup table is derived from); counting
-    those is cheaper than running df's own plan.
-    """
-    sources = bound_by or [df]
-    total = 0
-    for s in sources:
-        n = row_bound(s, max_rows - total)
-        if n is None:
-            return df
-        total += n
-    return F.broadcast(df)
+BROADCAST_BYTES = 64 << 20
+_ROW_OVERHEAD = 32  # of a row in a hash table, besides its values
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of df's rows: their JSON text plus an overhead each, summed map-side (no row leaves its task)."""
+    text = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).cast("long")
+    return df.agg(F.coalesce(F.sum(text + _ROW_OVERHEAD), F.lit(0))).first()[0]
+
+
+def fits(*sides: DataFrame | None, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the sides together are proven to be within max_bytes."""
+    return sum(measured_bytes(s) for s in sides if s is not None) <= max_bytes
+
+
+def maybe_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES, bound_by: list[DataFrame] | None = None) -> DataFrame:
+    """Mark df for broadcast if it, or the inputs ``bound_by`` that it is derived from
+    row by row, are proven to be within max_bytes."""
+    return F.broadcast(df) if fits(*(bound_by or [df]), max_bytes=max_bytes) else df

@@ -6,12 +6,17 @@ with a size-checked broadcast by the operators that use them.
 
 from __future__ import annotations
 
+import logging
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import vocab as V
 
+log = logging.getLogger(__name__)
+
 ABBREV_SCHEMA = T.StructType([T.StructField("abbr", T.StringType()), T.StructField("full", T.StringType())])
 WORD_SCHEMA = T.StructType([T.StructField("word", T.StringType())])
 PHRASE_SCHEMA = T.StructType([T.StructField("phrase", T.StringType())])
@@ -50,7 +55,7 @@ def keep_last(df: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def load_lexicon(spark: SparkSession, path: str | None = None, header: bool = True) -> DataFrame:
-    """Abbreviation lexicon from a two-column CSV; missing/unreadable -> empty.
+    """Abbreviation lexicon from a two-column CSV; a missing file -> empty, with a warning.
 
     Both columns are read as strings (the reference casts them); when a key
     repeats, the later line wins (file order, then line order).
@@ -72,7 +77,10 @@ def load_lexicon(spark: SparkSession, path: str | None = None, header: bool = Tr
         out = keep_last(raw, "abbr", "ord")
         out.schema  # force analysis so a missing path surfaces here
         return out
-    except Exception:  # unreadable or absent: the cleaner runs with an empty lexicon
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        log.warning("no lexicon at %s: the cleaner runs without", path)
         return spark.createDataFrame([], ABBREV_SCHEMA)
 
 
@@ -114,7 +122,7 @@ def with_line_index(df: DataFrame, col: str = "line_idx") -> DataFrame:
     counts = df.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(
         Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row per partition
-    return df.join(F.broadcast(offsets.select("__pid", "__off")), "__pid") \
+    return df.join(offsets.select("__pid", "__off"), "__pid") \
         .withColumn(col, F.col("__off") + F.col("__pos")).drop("__pid", "__pos", "__off")
 
 
