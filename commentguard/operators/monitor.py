@@ -61,6 +61,17 @@ def trend(log: DataFrame, ts: str = "timestamp", flag: str = "is_hate", block: s
         F.sum(F.col(flag).cast("int")).alias("toxic_count"))
 
 
+def current_alert(log: DataFrame, ts: str = "timestamp", flag: str = "is_hate", now: str | None = None, window_seconds: float = 3.0,
+                  rate_unit_seconds: float = 1.0, threshold: float = V.ALERT_THRESHOLD) -> DataFrame:
+    """The alert state now (default: the newest row's time): one row (now, toxic, rate, alert), no alert in a quiet period."""
+    newest = log.agg(F.max(ts).alias("now")) if now is None else log.sparkSession.range(1).select(F.lit(now).cast("timestamp").alias("now"))
+    at = newest.first()["now"]
+    here = F.col(ts).between(F.lit(at) - F.expr(f"make_dt_interval(0, 0, 0, {window_seconds})"), F.lit(at))
+    toxic = log.where(here).agg(F.count_if(F.col(flag)).alias("toxic"))  # the range reaches the scan as a filter
+    rate = F.col("toxic") / F.lit(window_seconds / rate_unit_seconds)
+    return toxic.select(F.lit(at).alias("now"), "toxic", rate.alias("rate"), (rate > threshold).alias("alert"))
+
+
 def burst_alert(log: DataFrame, ts: str = "timestamp", flag: str = "is_hate",
                 window_seconds: float = V.ALERT_WINDOW_SECONDS, rate_unit_seconds: float = 1.0,
                 baseline: float = V.ALERT_BASELINE, threshold: float = V.ALERT_THRESHOLD) -> DataFrame:

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import vocab as V
 from ..functions import scores as S
@@ -23,6 +24,7 @@ from ..operators import splits as SP
 from ..operators import tags as TG
 from ..operators.cleaning import clean_comments, prepare_lexicons
 from ..sources import payload as PL
+from ..streaming.ingest import for_scoring
 from . import fixtures as FX
 from . import oracle as O
 
@@ -682,13 +684,35 @@ from . import streams as ST  # noqa: E402
 
 
 @query("q_stream_trend", O.with_fx("fx_flags") + f"""SELECT {_bucket_sql(3600 * 10**6)} AS time_block,
-    CAST(sum(CAST(is_hate AS INTEGER)) AS BIGINT) AS toxic_count FROM fx_flags GROUP BY 1
-    HAVING {_bucket_sql(3600 * 10**6)} + INTERVAL 1 HOUR <= (SELECT max(timestamp) FROM fx_flags)""")
+    CAST(sum(CAST(is_hate AS INTEGER)) AS BIGINT) AS toxic_count FROM fx_flags GROUP BY 1""")
 def q_stream_trend(spark, sf):
-    """I4: tumbling 1-hour toxic counts from a stream = the batch trend of every block the
-    watermark (max event time, no delay) has closed."""
-    return ST.replay(spark, FX.flags(spark, sf), lambda s: SM.trend_stream(s, ts="timestamp", block="1 hour"),
-                     "trend", "timestamp")
+    """I4: tumbling 1-hour toxic counts from a stream in update mode = the batch trend, the open block included."""
+    rows = ST.replay(spark, FX.flags(spark, sf), lambda s: SM.trend_stream(s, ts="timestamp", block="1 hour"),
+                     "trend", "timestamp", sink_fn=_upsert)
+    return SK.latest(rows, ["time_block"])
+
+
+def _upsert(stream, out, ckpt):
+    return SK.start_upsert_sink(stream, out, ckpt, trigger={"availableNow": True})
+
+
+@query("q_stream_keep_last", O.with_fx("fx_flags") + """SELECT id, timestamp + INTERVAL 2 DAYS AS timestamp, NOT is_hate AS is_hate FROM fx_flags""")
+def q_stream_keep_last(spark, sf):
+    """Every event corrected two days later; the last version of each id stays."""
+    f = FX.flags(spark, sf)
+    late = f.select("id", (F.col("timestamp") + F.expr("INTERVAL 2 DAYS")).alias("timestamp"), (~F.col("is_hate")).alias("is_hate"))
+    rows = ST.replay(spark, f.unionByName(late), lambda s: SM.keep_last_stream(s, ts="timestamp"), "keep_last", "timestamp", sink_fn=_upsert)
+    return SK.latest(rows, ["id"])
+
+
+@query("q_current_alert", O.with_fx("fx_flags") + """, n AS (SELECT max(timestamp) AS now FROM fx_flags)
+    SELECT now, CAST(count(*) FILTER (is_hate AND timestamp >= now - INTERVAL 1 HOUR) AS BIGINT) AS toxic,
+        count(*) FILTER (is_hate AND timestamp >= now - INTERVAL 1 HOUR) / 1.0::DOUBLE AS rate,
+        count(*) FILTER (is_hate AND timestamp >= now - INTERVAL 1 HOUR) / 1.0::DOUBLE > 5.0 AS alert
+    FROM fx_flags, n GROUP BY now""")
+def q_current_alert(spark, sf):
+    """The alert state at the newest row: toxic rate of the last hour."""
+    return MO.current_alert(FX.flags(spark, sf), window_seconds=3600, rate_unit_seconds=3600)
 
 
 @query("q_stream_dedup", O.with_fx("fx_flags") + "SELECT id, timestamp, is_hate FROM fx_flags")
@@ -704,50 +728,85 @@ def q_stream_dedup(spark, sf):
     agg AS (SELECT s, sum(CAST(is_hate AS BIGINT)) AS toxic FROM starts
         WHERE epoch_us(timestamp) < s + 3600000000 GROUP BY s)
     SELECT make_timestamp(CAST(s AS BIGINT)) AS window_start, make_timestamp(CAST(s + 3600000000 AS BIGINT)) AS window_end,
-        CAST(toxic AS BIGINT) AS toxic, round(toxic / 1.0::DOUBLE, 6) AS rate FROM agg WHERE toxic / 1.0::DOUBLE > 5.0
-        AND make_timestamp(CAST(s + 3600000000 AS BIGINT)) <= (SELECT max(timestamp) FROM fx_flags)""")
+        CAST(toxic AS BIGINT) AS toxic, round(toxic / 1.0::DOUBLE, 6) AS rate FROM agg WHERE toxic / 1.0::DOUBLE > 5.0""")
 def q_stream_sliding_alert(spark, sf):
-    """Sliding 1-hour windows every 15 minutes from a stream = the batch alert rows
-    of every window the watermark has closed."""
+    """Sliding 1-hour windows every 15 minutes from a stream in update mode = the batch alert rows, open windows included."""
     def build(s):
         out = SM.sliding_alert_stream(s, ts="timestamp", window="1 hour", slide="15 minutes", window_seconds=3600,
                                       rate_unit_seconds=3600, threshold=V.ALERT_THRESHOLD)
         return out.withColumn("rate", r6("rate"))
-    return ST.replay(spark, FX.flags(spark, sf), build, "sliding", "timestamp")
+    rows = ST.replay(spark, FX.flags(spark, sf), build, "sliding", "timestamp", sink_fn=_upsert)
+    return SK.latest(rows, ["window_start", "window_end"])
 
 
 def _stream_log_source(spark, sf):
-    lg = FX.logits(spark, sf).select("id", "ind", "grp", "soc", "typ")
-    docs = FX.comments(spark, sf)
-    ev = FX.table(spark, sf, "events").select(F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("timestamp"))
-    return docs.join(lg.select("id"), "id", "left_semi").join(ev, "id"), lg
+    msgs = FX.comments(spark, sf).join(FX.event_times(spark, sf), "id")
+    return msgs, FX.document_logits(spark, sf).select("id", "ind", "grp", "soc", "typ")
 
 
-@query("q_stream_log", O.with_fx("fx_log") + ", cl AS (" + O.clean_sql(
-    "SELECT doc_id AS id, text AS cmt FROM documents WHERE doc_id IN (SELECT vec_id FROM embeddings)",
-    O.online_text_sql("cmt"), FX.FIXTURE_ABBREVIATIONS, FX.FIXTURE_STOPWORDS, FX.FIXTURE_COMPOUNDS
-).replace("WITH RECURSIVE", "WITH RECURSIVE", 1) + """)
+_CLEAN_LOG_SQL = O.with_fx("fx_log") + ", cl AS (" + O.clean_sql(
+    "SELECT doc_id AS id, text AS cmt FROM documents", O.online_text_sql("cmt"),
+    FX.FIXTURE_ABBREVIATIONS, FX.FIXTURE_STOPWORDS, FX.FIXTURE_COMPOUNDS) + """)
     SELECT cl.id, cl.cmt, cl.cmt_processed, l.Individual, l."Group", l.Societal, l.type_attack, l.is_hate
-    FROM cl JOIN fx_log l ON l.id = cl.id""")
-def q_stream_log(spark, sf):
-    """Messages (each delivered twice) -> clean -> score -> assemble ->
-    idempotent append, micro-batch by micro-batch."""
-    msgs, lg = _stream_log_source(spark, sf)
-    lg = lg.cache()  # static side of the stream-static join, reused by every micro-batch
+    FROM cl JOIN fx_log l ON l.id = cl.id % (SELECT count(*) FROM embeddings)"""
+
+
+def _log_sink(spark, lg):
+    """Clean -> score -> assemble -> idempotent append, as a sink of a replay."""
     lexicons = prepare_lexicons(*FX.fixture_lexicons(spark))
-    twice = msgs.unionByName(msgs)
 
     def per_batch(df):
         cleaned = clean_comments(df, lexicons=lexicons)
         scored = SC.cascade(cleaned.join(lg, "id"), keep=["id", "cmt", "cmt_processed", "timestamp"])
         return scored.drop("targets", "type_bits").withColumn("log_date", F.to_date("timestamp"))
 
-    def sink(stream, out, ckpt):
-        return SK.start_log_sink(stream, out, ckpt, transform=per_batch, trigger={"availableNow": True},
-                                 partition_col="log_date", horizon=1)
+    return lambda stream, out, ckpt: SK.start_log_sink(stream, out, ckpt, transform=per_batch, trigger={"availableNow": True},
+                                                       partition_col="log_date")
 
-    out = ST.replay(spark, twice, lambda s: s, "log", "timestamp", sink_fn=sink)
-    return out.drop("timestamp", "log_date")
+
+@query("q_stream_log", _CLEAN_LOG_SQL)
+def q_stream_log(spark, sf):
+    """Messages, each delivered again 40 days later (another batch and log date),
+    -> clean -> score -> assemble -> idempotent append, micro-batch by micro-batch."""
+    msgs, lg = _stream_log_source(spark, sf)
+    again = msgs.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 40 DAYS"))
+    out = ST.replay(spark, msgs.unionByName(again), lambda s: s, "log", "timestamp", sink_fn=_log_sink(spark, lg))
+    return out.drop("timestamp", "log_date", SK.BATCH)
+
+
+@query("q_stream_ingest", _CLEAN_LOG_SQL)
+def q_stream_ingest(spark, sf):
+    """JSON messages, malformed ones among them, through file_source and messages to the log."""
+    msgs, lg = _stream_log_source(spark, sf)
+    good = msgs.select("timestamp", F.to_json(F.struct("id", "cmt", F.unix_micros("timestamp").alias("at"))).alias("value"))
+    bad = msgs.select("timestamp", F.concat(F.lit('{"id": '), F.col("id").cast("string"), F.lit(', "cmt')).alias("value"))
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("cmt", T.StringType()), T.StructField("at", T.LongType())])
+
+    def build(raw):
+        parsed = PL.parse_payload(raw, schema, value_col="value")
+        return parsed.where("id is not null and cmt is not null").select("id", "cmt", F.timestamp_micros("at").alias("timestamp"))
+
+    out = ST.replay(spark, good.unionByName(bad), build, "ingest", "timestamp", sink_fn=_log_sink(spark, lg))
+    return out.drop("timestamp", "log_date", SK.BATCH)
+
+
+@query("q_idempotent_append", O.with_fx("fx_flags") + "SELECT id, timestamp, is_hate FROM fx_flags")
+def q_idempotent_append(spark, sf):
+    """Every event stored once although each batch repeats a third of the ids of earlier ones, a year later."""
+    flags, path = FX.flags(spark, sf), ST.run_dir(spark, "append")
+    for k in range(3):
+        fresh = flags.where(F.col("id") % 3 == k)
+        old = flags.where(F.col("id") % 3 < k).withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 YEAR"))
+        SK.idempotent_append(fresh.unionByName(old).unionByName(fresh), k, path, count_rows=False)
+    return SK.read_log(spark, path)
+
+
+@query("q_clean_shuffled", O.q_clean_online())
+def q_clean_shuffled(spark, sf):
+    """B7 in the order of the application: wide rows from a join, dealt out for scoring, then cleaned."""
+    ab, co, sw = FX.fixture_lexicons(spark)
+    wide = FX.comments(spark, sf).join(FX.event_times(spark, sf), "id").withColumn("length", F.length("cmt"))
+    return clean_comments(for_scoring(wide, 16), ab, co, sw).select("id", "cmt", "cmt_processed")
 
 
 # ------------------------------------------------------------------ Spark ML
@@ -755,7 +814,7 @@ from ..operators import models as ML  # noqa: E402
 
 
 def _text_corpus(spark, sf):
-    lg = FX.logits(spark, sf)
+    lg = FX.document_logits(spark, sf)
     docs = FX.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
     return SP.split(docs.join(lg, "id"), "id")
 

@@ -73,16 +73,33 @@ def flags(spark: SparkSession, sf_dir: str) -> DataFrame:
                      (F.col("event_type") == "error").alias("is_hate"))
 
 
+def by_document(spark: SparkSession, sf_dir: str, rows: DataFrame, table_name: str, key: str = "id") -> DataFrame:
+    """One of ``rows`` for every document: that with number doc_id modulo the rows of their table (numbered from 0)."""
+    n = table(spark, sf_dir, table_name).count()
+    ids = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("__doc"), (F.col("doc_id") % n).alias(key))
+    return ids.join(rows, key).drop(key).withColumnRenamed("__doc", key)
+
+
+def event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fx_times(id, timestamp): an event time for every document."""
+    ev = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("timestamp"))
+    return by_document(spark, sf_dir, ev, "events")
+
+
+def document_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fx_doc_logits: fx_logits for every document."""
+    return by_document(spark, sf_dir, logits(spark, sf_dir), "embeddings")
+
+
 def monitor_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """fx_monitor: the J2 record of every fx_logits row, with its document text and event time."""
+    """fx_monitor: the J2 record of every document, with its text and event time."""
     from ..functions.text import online_text
     from ..operators.scoring import cascade
 
-    log = cascade(logits(spark, sf_dir), keep=["id"]).drop("targets", "type_bits")
+    log = cascade(document_logits(spark, sf_dir), keep=["id"]).drop("targets", "type_bits")
     docs = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("id"), F.col("text").alias("cmt"), online_text("text").alias("cmt_processed"))
-    ev = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("timestamp"))
-    return log.join(docs, "id").join(ev, "id").select(
+    return log.join(docs, "id").join(event_times(spark, sf_dir), "id").select(
         "id", "cmt", "cmt_processed", "Individual", "Group", "Societal", "type_attack", "is_hate", "timestamp")
 
 

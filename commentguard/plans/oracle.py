@@ -140,9 +140,10 @@ FX_SQL = {
         CASE WHEN list_max(targets) >= 2 AND type_bits <> '' THEN {decode_sql('type_bits')}
              ELSE CAST([] AS VARCHAR[]) END AS type_attack,
         list_max(targets) >= 2 AS is_hate FROM fx_cascade)""",
-    "fx_monitor": f"""fx_monitor AS (SELECT l.id, d.text AS cmt, {online_text_sql('d.text')} AS cmt_processed,
+    "fx_monitor": f"""fx_monitor AS (SELECT d.doc_id AS id, d.text AS cmt, {online_text_sql('d.text')} AS cmt_processed,
         l.Individual, l."Group", l.Societal, l.type_attack, l.is_hate, CAST(e.ts AS TIMESTAMP) AS timestamp
-        FROM fx_log l JOIN documents d ON d.doc_id = l.id JOIN events e ON e.event_id = l.id)""",
+        FROM documents d JOIN fx_log l ON l.id = d.doc_id % (SELECT count(*) FROM embeddings)
+        JOIN events e ON e.event_id = d.doc_id % (SELECT count(*) FROM events))""",
     "fx_flags": """fx_flags AS (SELECT event_id AS id, CAST(ts AS TIMESTAMP) AS timestamp,
         event_type = 'error' AS is_hate FROM events)""",
     "fx_threads": """fx_threads AS (SELECT 'conv/' || CAST(conv_id AS VARCHAR) AS url, turn AS pos, text AS cmt

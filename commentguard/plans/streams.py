@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from ..streaming.ingest import file_source
 
 
 # Progress reports of the last replayed query (for benchmarks): list of dicts.
@@ -42,10 +43,11 @@ def replay(spark: SparkSession, source: DataFrame, build, name: str, ts: str, ch
     """Write ``source`` in time order, stream it through ``build``, return the sink."""
     base = run_dir(spark, name)
     src, ckpt, out = f"{base}/source", f"{base}/checkpoint", f"{base}/sink"
-    write_in_time_order(source, src, ts, chunks)
+    source.write.parquet(f"{base}/rows")  # worked out once, then cut into the chunks
+    write_in_time_order(spark.read.parquet(f"{base}/rows"), src, ts, chunks)
     n_files = len(spark.read.parquet(src).inputFiles())
     per_trigger = max(1, -(-n_files // chunks))  # about one time chunk per micro-batch
-    stream = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", per_trigger).parquet(src)
+    stream = file_source(spark, src, source.schema, max_files_per_trigger=per_trigger)
     result = build(stream)
     if sink_fn is not None:
         q = sink_fn(result, out, ckpt)

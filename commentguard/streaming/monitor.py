@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from .. import vocab as V
 
@@ -20,7 +21,7 @@ def dedup_ids(stream: DataFrame, id_col: str = "id", ts: str = "event_time", del
 
 def trend_stream(stream: DataFrame, ts: str = "event_time", flag: str = "is_hate", block: str = V.TREND_BLOCK,
                  delay: str = "0 seconds") -> DataFrame:
-    """I4: tumbling toxic counts, emitted once the watermark closes each block."""
+    """I4: tumbling toxic counts: in append mode once the watermark closes a block, in update mode live."""
     agg = stream.withWatermark(ts, delay).groupBy(F.window(ts, block).alias("w")).agg(
         F.sum(F.col(flag).cast("int")).alias("toxic_count"))
     return agg.select(F.col("w.start").alias("time_block"), "toxic_count")
@@ -38,8 +39,37 @@ def sliding_alert_stream(stream: DataFrame, ts: str = "event_time", flag: str =
                       rate.alias("rate")).filter(F.col("rate") > threshold)
 
 
+def keep_last_stream(stream: DataFrame, id_col: str = "id", ts: str = "event_time") -> DataFrame:
+    """The row with the greatest time per id, for update mode and an upsert sink (state: one row per id)."""
+    others = [c for c in stream.columns if c != id_col]
+    last = stream.groupBy(id_col).agg(F.max_by(F.struct(*others), F.struct(ts, *[c for c in others if c != ts])).alias("__r"))
+    return last.select(id_col, *[F.col(f"__r.{c}").alias(c) for c in others])
+
+
+class LateRows(StreamingQueryListener):
+    """Counts rows dropped as late over the whole life of the queries, however long they run."""
+
+    def __init__(self):
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        late = sum(int(op.numRowsDroppedByWatermark) for op in event.progress.stateOperators)
+        key = str(event.progress.id)
+        self.dropped[key] = self.dropped.get(key, 0) + late
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
 def dropped_by_watermark(query) -> int:
-    """Rows dropped as late, summed over the state operators of the retained progress reports."""
+    """Rows dropped as late, summed over the retained progress reports (the last 100 by default;
+    ``LateRows`` counts all of a long stream)."""
     total = 0
     for prog in query.recentProgress or []:
         total += sum(int(op.get("numRowsDroppedByWatermark", 0)) for op in prog.get("stateOperators", []))

@@ -1,31 +1,32 @@
-"""Idempotent log sink.
-
-A micro-batch is appended at most once per batch id (a ledger of committed
-batch ids lives next to the table: one marker file per batch, checked with a
-single existence test), ids are unique in the table (first write wins,
-duplicates inside a batch collapse to one), and a failed batch simply fails:
-Structured Streaming replays it from the checkpoint, and the ledger plus the
-anti-join make the replay a no-op for what was written.
-
-Per-batch cost does not grow with the age of the stream: the ledger is never
-listed, and with a partition column only the stored partitions within the
-horizon of the batch are listed and read.
+"""Idempotent log sink (A8, A10, I7) and an upsert sink for live aggregates.
+
+The log keeps each id once, however late or far apart its copies arrive. Every micro-batch
+owns one folder of the table (``batch_id=N``) and one of the id index (same name), both
+written with overwrite, so a batch that failed half-way and is replayed from the checkpoint
+replaces what it left. The index holds ids only, by hash bucket; a batch reads the id column
+of the buckets it touches, from other batches. A marker per committed batch id makes its
+replay a no-op.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+
+BUCKETS = 256
+BATCH = "batch_id"
 
 
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # nothing stored yet
+            return None
+        raise
 
 
 def _fs(spark: SparkSession, path: str):
@@ -48,93 +49,58 @@ def _mark(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-def _partition_values(lo, hi, horizon: int):
-    """Partition values from lo - horizon to hi + horizon (dates by day, integers by one)."""
-    import datetime as dt
-    if isinstance(lo, dt.date):
-        start, end = lo - dt.timedelta(days=horizon), hi + dt.timedelta(days=horizon)
-        return [(start + dt.timedelta(days=i)).isoformat() for i in range((end - start).days + 1)]
-    return [str(v) for v in range(int(lo) - horizon, int(hi) + horizon + 1)]
-
-
-def _recent_ids(spark: SparkSession, batch: DataFrame, table_path: str, id_col: str,
-                partition_col: str | None, horizon: int | None) -> DataFrame | None:
-    """Stored ids a duplicate of this batch could collide with."""
-    if partition_col is None:
-        return _read_or_none(spark, table_path)
-    b = batch.agg(F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi")).first()
-    if b["lo"] is None:
-        return None
-    root = table_path.rstrip("/")
-    paths = [f"{root}/{partition_col}={v}" for v in _partition_values(b["lo"], b["hi"], horizon or 0)]
-    paths = [x for x in paths if _exists(spark, x)]
-    if not paths:
-        return None
-    return spark.read.option("basePath", root).parquet(*paths)
+def _bucket(id_col: str) -> F.Column:
+    return F.pmod(F.xxhash64(id_col), F.lit(BUCKETS)).cast("int")
 
 
 def idempotent_append(batch: DataFrame, batch_id: int, table_path: str, id_col: str = "id",
                       order_col: str | None = None, count_rows: bool = True,
-                      partition_col: str | None = None, horizon: int | None = None) -> int:
+                      partition_col: str | None = None) -> int:
     """A8 + D6: append rows whose id is not yet stored; returns rows written
     (-1 with ``count_rows=False``, which saves a pass per micro-batch).
 
-    With ``partition_col`` (an integer-like or date column, e.g. the log date)
-    the table is partitioned by it and the id check reads only the stored
-    partitions within ``horizon`` of the batch's own range -- duplicates are
-    expected only that close (the delivery/watermark horizon) -- so the cost of
-    a micro-batch does not grow with the size of the stored log.
-
     Within a batch, one row per id is kept (the smallest ``order_col``, else
     the smallest row by value, so the choice is deterministic on replay).
+    With ``partition_col`` a batch's folder is partitioned by it. The stored
+    table has an extra column ``batch_id``; ``read_log`` leaves it out.
     """
-    spark = batch.sparkSession
-    marker = f"{table_path.rstrip('/')}_batches/{int(batch_id)}"
+    spark, root = batch.sparkSession, table_path.rstrip("/")
+    marker = f"{root}_batches/{int(batch_id)}"
     if _exists(spark, marker):
         return 0  # replay of a committed batch
-    batch = batch.persist()  # read by the bounds query and by the write: compute once
-    try:
-        n = _append_new(spark, batch, table_path, id_col, order_col, count_rows, partition_col, horizon)
-    finally:
-        batch.unpersist()
-    _mark(spark, marker, str(n))
-    return n
-
-
-def _append_new(spark, batch, table_path, id_col, order_col, count_rows, partition_col, horizon) -> int:
     others = [c for c in batch.columns if c != id_col]
     key = F.struct(F.col(order_col)) if order_col else F.struct(*others)
     firsts = batch.groupBy(id_col).agg(F.min_by(F.struct(*others), key).alias("__r")) \
-        .select(id_col, *[F.col(f"__r.{c}").alias(c) for c in others])
-    existing = _recent_ids(spark, batch, table_path, id_col, partition_col, horizon)
-    if existing is not None:
-        firsts = firsts.join(existing.select(id_col), id_col, "left_anti")
-    firsts = firsts.select(*batch.columns)
-    if count_rows:
-        firsts = firsts.cache()
-        try:
-            n = firsts.count()
-            if n:
-                _write(firsts, table_path, partition_col)
-        finally:
-            firsts.unpersist()
-    else:
-        n = -1
-        _write(firsts, table_path, partition_col)
+        .select(id_col, *[F.col(f"__r.{c}").alias(c) for c in others]).select(*batch.columns)
+    firsts = firsts.persist()  # read by the bucket list, the write and the index
+    try:
+        stored = _read_or_none(spark, f"{root}_ids")
+        new = firsts
+        if stored is not None:
+            touched = [r[0] for r in firsts.select(_bucket(id_col)).distinct().collect()]  # at most BUCKETS
+            seen = stored.where(F.col("id_bucket").isin(touched) & (F.col(BATCH) != int(batch_id))).select(id_col)
+            new = firsts.join(seen, id_col, "left_anti")
+        writer = new.write.mode("overwrite")
+        (writer.partitionBy(partition_col) if partition_col else writer).parquet(f"{root}/{BATCH}={int(batch_id)}")
+        kept = spark.read.schema(new.select(id_col).schema).parquet(f"{root}/{BATCH}={int(batch_id)}")
+        kept.select(id_col, _bucket(id_col).alias("id_bucket")).write.mode("overwrite").partitionBy("id_bucket") \
+            .parquet(f"{root}_ids/{BATCH}={int(batch_id)}")
+        n = kept.count() if count_rows else -1
+    finally:
+        firsts.unpersist()
+    _mark(spark, marker, str(n))
     return n
 
 
-def _write(df: DataFrame, path: str, partition_col: str | None) -> None:
-    w = df.write.mode("append")
-    if partition_col is not None:
-        w = w.partitionBy(partition_col)
-    w.parquet(path)
+def read_log(spark: SparkSession, table_path: str) -> DataFrame:
+    """The stored rows, without the batch they came in."""
+    return spark.read.parquet(table_path).drop(BATCH)
 
 
 def start_log_sink(stream: DataFrame, table_path: str, checkpoint: str,
                    transform: Callable[[DataFrame], DataFrame] | None = None,
                    trigger: dict | None = None, id_col: str = "id", query_name: str | None = None,
-                   partition_col: str | None = None, horizon: int | None = None):
+                   partition_col: str | None = None):
     """A10: micro-batch driver: per batch ``transform`` (clean -> score -> assemble) then A8.
 
     ``trigger`` defaults to processingTime 1 second; tests pass {"availableNow": True}.
@@ -142,10 +108,25 @@ def start_log_sink(stream: DataFrame, table_path: str, checkpoint: str,
     """
     def per_batch(df: DataFrame, batch_id: int) -> None:
         out = transform(df) if transform else df
-        idempotent_append(out, batch_id, table_path, id_col, count_rows=False,
-                          partition_col=partition_col, horizon=horizon)
+        idempotent_append(out, batch_id, table_path, id_col, count_rows=False, partition_col=partition_col)
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
     return w.trigger(**(trigger or {"processingTime": "1 second"})).start()
+
+
+def start_upsert_sink(stream: DataFrame, table_path: str, checkpoint: str, trigger: dict | None = None):
+    """Rows that an update-mode query changed, one folder per micro-batch (replays overwrite their own)."""
+    def per_batch(df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{table_path.rstrip('/')}/{BATCH}={int(batch_id)}")
+
+    return (stream.writeStream.outputMode("update").foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "1 second"})).start())
+
+
+def latest(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The latest row of every key of an upsert sink's table."""
+    others = [c for c in rows.columns if c not in (*keys, BATCH)]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), BATCH).alias("r"))
+    return last.select(*keys, *[F.col(f"r.{c}").alias(c) for c in others])

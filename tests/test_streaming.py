@@ -15,7 +15,7 @@ def test_idempotent_append_replay(spark):
     assert SK.idempotent_append(b0, 0, path, order_col="v") == 0      # replayed batch id: no-op
     b1 = spark.createDataFrame([("b", 9), ("c", 4)], "id string, v int")
     assert SK.idempotent_append(b1, 1, path, order_col="v") == 1      # b already stored: first write wins
-    rows = {r["id"]: r["v"] for r in spark.read.parquet(path).collect()}
+    rows = {r["id"]: r["v"] for r in SK.read_log(spark, path).collect()}
     assert rows == {"a": 1, "b": 2, "c": 4}
 
 
@@ -64,17 +64,39 @@ def test_late_rows_are_dropped_and_counted(spark):
     assert SM.dropped_by_watermark(q) == 1
 
 
-def test_partitioned_append_checks_only_the_horizon(spark):
+def test_late_duplicates_are_recognised_however_far_apart(spark):
     path = scratch_path(spark, f"tests/plog-{uuid.uuid4().hex[:8]}")
     mk = lambda rows: spark.createDataFrame(rows, "id string, v int, d string").withColumn("d", F.to_date("d"))
-    assert SK.idempotent_append(mk([("a", 1, "2024-01-01"), ("b", 2, "2024-01-10")]), 0, path,
-                                order_col="v", partition_col="d", horizon=1) == 2
-    # "a" again two days later: inside a 2-day horizon it is recognised as stored
-    assert SK.idempotent_append(mk([("a", 3, "2024-01-03")]), 1, path, order_col="v", partition_col="d", horizon=2) == 0
-    # "b" again 5 days later with a 1-day horizon: its partition is not read, so it is appended
-    assert SK.idempotent_append(mk([("b", 4, "2024-01-15")]), 2, path, order_col="v", partition_col="d", horizon=1) == 1
-    assert SK.idempotent_append(mk([("b", 4, "2024-01-15")]), 2, path, order_col="v", partition_col="d", horizon=1) == 0
-    assert spark.read.parquet(path).count() == 3
+    assert SK.idempotent_append(mk([("a", 1, "2024-01-01"), ("b", 2, "2024-01-10")]), 0, path, order_col="v", partition_col="d") == 2
+    assert SK.idempotent_append(mk([("a", 3, "2024-01-03")]), 1, path, order_col="v", partition_col="d") == 0
+    # "b" again in a later batch and far away in time
+    assert SK.idempotent_append(mk([("b", 4, "2031-01-15"), ("c", 5, "2031-01-15")]), 2, path, order_col="v", partition_col="d") == 1
+    assert {(r["id"], r["v"]) for r in SK.read_log(spark, path).collect()} == {("a", 1), ("b", 2), ("c", 5)}
+
+
+def test_crash_between_write_and_marker_restarts_from_the_checkpoint(spark, monkeypatch):
+    base = scratch_path(spark, f"tests/crash-{uuid.uuid4().hex[:8]}")
+    schema = "id long, v int"
+    for rows in ([(1, 1), (2, 2)], [(2, 9), (3, 3)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{base}/src")
+    start = lambda: SK.start_log_sink(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/src"),
+                                      f"{base}/log", f"{base}/ckpt", trigger={"availableNow": True})
+    real = SK._mark
+
+    def crash(spark, path, text):
+        if path.endswith("/1"):
+            raise RuntimeError("lost before the marker")
+        real(spark, path, text)
+
+    monkeypatch.setattr(SK, "_mark", crash)
+    try:
+        start().awaitTermination()
+        raise AssertionError("the second batch should have failed")
+    except Exception as e:
+        assert "lost before the marker" in str(e)
+    monkeypatch.setattr(SK, "_mark", real)
+    start().awaitTermination()
+    assert {(r["id"], r["v"]) for r in SK.read_log(spark, f"{base}/log").collect()} == {(1, 1), (2, 2), (3, 3)}
 
 
 def test_file_source_rate_limit_and_messages(spark):
