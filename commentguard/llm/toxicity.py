@@ -7,8 +7,8 @@ that is rare in both classes says nothing about either, nor does one that a clas
 because its context never came up in the other. A text's evidence is the
 difference of the two log-likelihoods: per word, and of its most toxic expression of
 ``PASSAGE`` words, so that a few such words in a long text still count. A logistic curve
-fitted to training texts turns both into a score; for that each training text is measured by
-models that did not see its fifth of the sample.
+turns both into a score; it is fitted to a fifth of the sample, measured by a model that did
+not see that fifth.
 
 The models are fitted on a bounded sample of labelled texts: about equally many
 words of each class, at most ``SAMPLE_WORDS``, whole texts chosen by a hash of the text (never by
@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from commentguard.llm.common import ALNUM, Words, crc_mod, materialise, mix64, own_columns, own_fields, own_names, read_table, row_slices, shown
 
-SAMPLE_WORDS = 4_000_000
+SAMPLE_WORDS = 2_000_000
 RARE = 5  # n-grams seen less often in a class leave their whole mass to the backoff
 DISCOUNT = 2.0  # of the others
 PASSAGE = 1
@@ -53,7 +53,7 @@ def _bigrams(w: Words) -> np.ndarray:
 
 
 def _collect(batches):
-    """Per slice: bigrams with their word and context, counted by class and fold."""
+    """Per slice: bigrams (context, word) with the number of texts that hold them, by class and part of the sample."""
     for batch in batches:
         for part in row_slices(batch, "text"):
             w = Words(part.column("text"), ALNUM)
@@ -62,18 +62,15 @@ def _collect(batches):
             before = np.empty_like(w.hash)
             before[1:] = w.hash[:-1]
             before[w.row[:-1][np.diff(w.row) > 0]] = _START
-            group = (part.column("toxic").to_numpy().astype(np.int64) * FOLDS + part.column("fold").to_numpy())[w.of()]
-            key = _bigrams(w)
+            group = part.column("toxic").to_numpy().astype(np.int64) * 2 + part.column("tuning").to_numpy(zero_copy_only=False)
+            key, of = _bigrams(w), w.of()
             # a text counts an expression once, however often it repeats it
-            of = w.of()
             order = np.lexsort((key, of))
             order = order[np.append(True, (np.diff(of[order]) != 0) | (key[order][1:] != key[order][:-1]))]
-            order = order[np.lexsort((key[order], group[order]))]
-            key, group, word, ctx = key[order], group[order], w.hash[order], before[order]
-            new = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (group[1:] != group[:-1])))
-            n = np.diff(np.append(new, len(key)))
-            yield pa.RecordBatch.from_arrays([pa.array(x[new].view(np.int64)) for x in (key, word, ctx)] + [pa.array(group[new].astype(np.int32)), pa.array(n)],
-                                             ["key", "word", "ctx", "group", "n"])
+            keys, first, inv = np.unique(key[order], return_index=True, return_inverse=True)
+            n = np.bincount(inv * 4 + group[of[order]], minlength=4 * len(keys)).reshape(-1, 4)
+            yield pa.RecordBatch.from_arrays([pa.array(x[order][first].view(np.int64)) for x in (before, w.hash)] + [pa.array(n[:, k]) for k in range(4)],
+                                             ["ctx", "word", "o", "o_tuning", "t", "t_tuning"])
 
 
 def _own(n: np.ndarray) -> np.ndarray:
@@ -84,44 +81,50 @@ def _own(n: np.ndarray) -> np.ndarray:
 class Model:
     """Log-ratio tables: ratio of a known bigram, weight of the backoff after a context, ratio of a word."""
 
-    def __init__(self, key, word, ctx, n):
-        """n: counts [bigram, class]."""
-        words, wi = np.unique(word, return_inverse=True)
-        contexts, ci = np.unique(ctx, return_inverse=True)
-        cont = np.stack([np.bincount(wi, n[:, c] > 0, minlength=len(words)) for c in (0, 1)], 1)  # distinct contexts of a word
-        both = cont.sum(1) + 0.5
-        shared = both / (both.sum() + 0.5)
-        total = cont.sum(0)
-        own = _own(cont)
-        gamma = 1 - own.sum(0) / np.maximum(total, 1)
-        uni = own / np.maximum(total, 1) + gamma * shared[:, None]
-        self.words, self.uni = words, np.log(uni[:, 1] / uni[:, 0])
+    def __init__(self, totals, words, contexts, bigrams):
+        """From gram_statistics: type totals per class, columns of words, contexts and bigrams (classes: ordinary, toxic)."""
+        word, cont = words["word"], np.stack([words["o"], words["t"]], 1)
+        order = np.argsort(word)
+        word, cont = word[order], cont[order]
+        total = np.maximum(np.asarray(totals[:2], float), 1)
+        shared = (cont.sum(1) + 0.5) / (total.sum() + 0.5)
+        gamma = 1 - np.asarray(totals[2:], float) / total
+        uni = _own(cont) / total + gamma * shared[:, None]
+        self.words, self.uni = word, np.log(uni[:, 1] / uni[:, 0])
         self.unseen = float(np.log(gamma[1] / gamma[0]))
-        seen = np.stack([np.bincount(ci, n[:, c], minlength=len(contexts)) for c in (0, 1)], 1)
-        own = _own(n)
-        held = np.stack([np.bincount(ci, own[:, c], minlength=len(contexts)) for c in (0, 1)], 1)
+        ctx = contexts["ctx"]
+        order = np.argsort(ctx)
+        ctx = ctx[order]
+        seen, held = (np.stack([contexts[f"{c}{kind}"] for c in "ot"], 1)[order] for kind in ("_seen", "_own"))
         left = np.where(seen > 0, 1 - held / np.maximum(seen, 1), 1.0)
-        self.contexts, self.left = contexts, np.log(left[:, 1] / left[:, 0])
-        pool = n.sum(1)
-        held = _own(pool)
-        pool_seen = np.bincount(ci, pool, minlength=len(contexts))
-        pool_left = 1 - np.bincount(ci, held, minlength=len(contexts)) / pool_seen
-        back = (held / pool_seen[ci])[:, None] + pool_left[ci][:, None] * uni[wi]
-        p = own / np.maximum(seen[ci], 1) + left[ci] * back
+        pool, pool_own = seen.sum(1), contexts["pool_own"][order]
+        self.contexts, self.left = ctx, np.log(left[:, 1] / left[:, 0])
+        # bigrams that keep mass in a class or in both together; their contexts are all among those above
+        n = np.stack([bigrams["o"], bigrams["t"]], 1)
+        ci = np.searchsorted(ctx, bigrams["ctx"])
+        wi = np.minimum(np.searchsorted(word, bigrams["word"]), max(len(word) - 1, 0))
+        known = word[wi] == bigrams["word"] if len(word) else np.zeros(len(n), bool)
+        back = np.where(known[:, None], uni[wi], gamma * (RARE / total.sum())) if len(word) else np.tile(gamma * RARE / total.sum(), (len(n), 1))
+        back = (_own(n.sum(1)) / np.maximum(pool[ci], 1))[:, None] + (1 - pool_own[ci] / np.maximum(pool[ci], 1))[:, None] * back
+        p = _own(n) / np.maximum(seen[ci], 1) + left[ci] * back
+        with np.errstate(over="ignore"):
+            key = mix64(bigrams["ctx"] * np.uint64(0x9DDFEA08EB382D69) + bigrams["word"])
         order = np.argsort(key)
         self.keys, self.ratio = key[order], np.log(p[order, 1] / p[order, 0]).astype(np.float32)
 
     def evidence(self, w: Words) -> np.ndarray:
         """log P(word | before, toxic) - log P(word | before, ordinary) of every word."""
-        if not len(w.hash):
-            return np.zeros(0)
+        if not len(w.hash) or not len(self.keys):
+            return np.zeros(len(w.hash))
         key = _bigrams(w)
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         out = self.ratio[at].astype(float)
         miss = np.flatnonzero(self.keys[at] != key)
         h = w.hash[miss]
-        at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
-        uni = np.where(self.words[at] == h, self.uni[at], self.unseen)
+        uni = np.full(len(h), self.unseen)
+        if len(self.words):
+            at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
+            uni = np.where(self.words[at] == h, self.uni[at], self.unseen)
         first = np.zeros(len(w.hash), bool)
         first[w.row[:-1][np.diff(w.row) > 0]] = True
         before = np.where(first[miss], _START, w.hash[np.maximum(miss - 1, 0)])
@@ -144,16 +147,35 @@ class Model:
         return np.stack([np.ones(len(n)), mean, best], 1)
 
 
+def gram_statistics(grams: DataFrame, o: F.Column, t: F.Column) -> Model:
+    """The model of bigram counts ``o`` (ordinary) and ``t`` (toxic) of the grams table.
+
+    Only what differs between the classes reaches the driver: words, contexts and bigrams that keep
+    mass of their own, a small share of the bounded sample.
+    """
+    own = lambda c: F.when(c < RARE, 0.0).otherwise(c - DISCOUNT)
+    n = grams.select("ctx", "word", o.cast("double").alias("o"), t.cast("double").alias("t")).where("o + t > 0")
+    cont = n.groupBy("word").agg(F.sum((F.col("o") > 0).cast("double")).alias("o"), F.sum((F.col("t") > 0).cast("double")).alias("t"))
+    totals = cont.agg(*[F.coalesce(x, F.lit(0.0)) for x in (F.sum("o"), F.sum("t"), F.sum(own(F.col("o"))), F.sum(own(F.col("t"))))]).first()
+    words = cont.where((F.col("o") >= RARE) | (F.col("t") >= RARE))
+    contexts = n.groupBy("ctx").agg(F.sum("o").alias("o_seen"), F.sum("t").alias("t_seen"), F.sum(own(F.col("o"))).alias("o_own"),
+                                    F.sum(own(F.col("t"))).alias("t_own"), F.sum(own(F.col("o") + F.col("t"))).alias("pool_own")).where("pool_own > 0")
+    bigrams = n.where(F.col("o") + F.col("t") >= RARE)
+
+    def columns(df: DataFrame) -> dict[str, np.ndarray]:
+        table = df.toArrow().combine_chunks()
+        got = {c: table[c].to_numpy() for c in table.column_names}
+        return {c: v.view(np.uint64) if c in ("word", "ctx") else v for c, v in got.items()}
+
+    return Model(tuple(totals), columns(words), columns(contexts), columns(bigrams))
+
+
 def _measure(shared):
     def go(batches):
-        models = shared.value
+        model = shared.value
         for batch in batches:
             for part in row_slices(batch, "text"):
-                w = Words(part.column("text"), ALNUM)
-                fold = part.column("fold").to_numpy()
-                x = np.zeros((part.num_rows, 3))
-                for k in np.unique(fold):  # each text by the model that did not see its fold
-                    x[fold == k] = models[k].features(w)[fold == k]
+                x = model.features(Words(part.column("text"), ALNUM))
                 yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array(x[:, 1]), pa.array(x[:, 2])], ["toxic", "mean", "best"])
     return go
 
@@ -172,45 +194,36 @@ def _fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return beta
 
 
-def fit(labelled: DataFrame, sample_words: int = SAMPLE_WORDS) -> tuple[Model | None, np.ndarray, float]:
-    """From (text, toxic) rows: model, curve and share of toxic labels."""
+def fit(docs: DataFrame, labels: DataFrame, sample_words: int = SAMPLE_WORDS) -> tuple[Model | None, np.ndarray, float]:
+    """Model, curve and share of toxic labels, from the texts of docs that labels (doc_id, toxic) name.
+
+    The sample is chosen on text hashes and lengths alone; then its bounded list of keys is sent to the texts.
+    """
+    draw = F.xxhash64(F.lit(9), F.coalesce("text", F.lit("")))
     size = F.coalesce(F.length("text"), F.lit(0)) / 6.0 + 1
-    totals = {r["toxic"]: r for r in labelled.groupBy("toxic").agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("words")).collect()}
+    slim = materialise(docs.select("doc_id", draw.alias("draw"), size.alias("words")).join(labels, "doc_id"), "tox-labelled")
+    totals = {r["toxic"]: r for r in slim.groupBy("toxic").agg(F.count(F.lit(1)).alias("n"), F.sum("words").alias("words")).collect()}
     rows = sum(r["n"] for r in totals.values())
     share = totals[1]["n"] / rows if 1 in totals else 0.0
     if len(totals) < 2:
         return None, np.zeros(3), share
     budget = min(sample_words, totals[0]["words"], totals[1]["words"])  # equal classes give equal backoff weights
     rate = F.when(F.col("toxic") == 1, budget / totals[1]["words"]).otherwise(budget / totals[0]["words"])
-    draw = F.pmod(F.xxhash64(F.lit(9), "text"), F.lit(1 << 30)) / float(1 << 30)
-    sample = labelled.where(draw < rate).select("text", "toxic", F.pmod(F.xxhash64(F.lit(11), "text"), F.lit(FOLDS)).cast("int").alias("fold"))
-    sample = materialise(sample.dropDuplicates(["text", "toxic"]), "tox-sample")  # copies say nothing new
-    grams = (sample.mapInArrow(_collect, "key bigint, word bigint, ctx bigint, group int, n bigint")
-             .groupBy("key", "word", "ctx", "group").agg(F.sum("n").alias("n")))
-    # one line per distinct bigram of the bounded sample
-    got = grams.toArrow().combine_chunks()
-    col = lambda c: got[c].to_numpy()
-    key, word, ctx, group, n = (col(c) for c in ("key", "word", "ctx", "group", "n"))
-    keys, first, inv = np.unique(key.view(np.uint64), return_index=True, return_inverse=True)
-    word, ctx = word[first].view(np.uint64), ctx[first].view(np.uint64)
-    cell = np.bincount(inv * 2 * FOLDS + group, n, minlength=len(keys) * 2 * FOLDS).reshape(len(keys), 2, FOLDS)
-    whole = cell.sum(2)
-    models = []
-    for k in range(FOLDS):
-        rest = whole - cell[:, :, k]
-        has = rest.sum(1) > 0
-        models.append(Model(keys[has], word[has], ctx[has], rest[has]))
-    sc = labelled.sparkSession.sparkContext
-    shared = sc.broadcast(models)
-    x = sample.mapInArrow(_measure(shared), "toxic int, mean double, best double").toArrow()
-    shared.unpersist()
+    chosen = slim.where(F.pmod("draw", F.lit(1 << 30)) / float(1 << 30) < rate).groupBy("draw", "toxic").agg(F.min("doc_id").alias("doc_id"))
+    chosen = F.broadcast(materialise(chosen, "tox-chosen"))  # copies say nothing new; at most one row per text of the sample
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), draw.alias("draw")).join(chosen, ["doc_id", "draw"])
+    sample = materialise(texts.select("text", "toxic", (F.pmod(F.shiftright("draw", 32), F.lit(FOLDS)) == 0).alias("tuning")), "tox-sample")
+    sums = [F.sum(c).alias(c) for c in ("o", "o_tuning", "t", "t_tuning")]
+    grams = materialise(sample.mapInArrow(_collect, "ctx bigint, word bigint, o bigint, o_tuning bigint, t bigint, t_tuning bigint")
+                        .groupBy("ctx", "word").agg(*sums), "tox-grams")
+    shared = docs.sparkSession.sparkContext.broadcast(gram_statistics(grams, F.col("o"), F.col("t")))
+    x = sample.where("tuning").mapInArrow(_measure(shared), "toxic int, mean double, best double").toArrow()
     y = x["toxic"].to_numpy().astype(float)
-    feats = np.stack([np.ones(len(y)), x["mean"].to_numpy(), x["best"].to_numpy()], 1)
-    beta = _fit_curve(feats, y)
+    beta = _fit_curve(np.stack([np.ones(len(y)), x["mean"].to_numpy(), x["best"].to_numpy()], 1), y)
     # back from the sample's share of toxic texts to that of all labelled ones
     if 0 < y.mean() < 1 and 0 < share < 1:
         beta[0] += np.log(share / (1 - share)) - np.log(y.mean() / (1 - y.mean()))
-    return Model(keys, word, ctx, whole), beta, share
+    return gram_statistics(grams, F.col("o") + F.col("o_tuning"), F.col("t") + F.col("t_tuning")), beta, share
 
 
 def _score(shared, own: list[str]):
@@ -235,17 +248,16 @@ def score_texts(rows: DataFrame, keep: list[str], fitted: tuple, text: str = "te
     return shown(slim.mapInArrow(_score(shared, own_names(keep)), schema), keep, ["tox_score"])
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic) of labelled documents outside the held-out fold; the texts are not shuffled while the labels are few."""
+def training_labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of labels outside the held-out fold."""
     said = labels.where("toxic in (0, 1) and doc_id is not null").where(crc_mod("doc_id", 4) != 2)
-    said = said.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    return docs.select("doc_id", "text").join(said, "doc_id").select("text", "toxic")
+    return said.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op4: toxicity of every document."""
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
-    fitted = fit(training_rows(docs, labels))
+    fitted = fit(docs, training_labels(labels))
     out = score_texts(docs.select("doc_id", "text"), ["doc_id"], fitted)
     return out.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), F.col("tox_score").alias("score"),
                       F.when(F.col("tox_score") >= CUTOFF, 1).otherwise(0).cast("int").alias("predicted"))
