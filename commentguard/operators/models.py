@@ -11,10 +11,10 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression
+from pyspark.ml.classification import LinearSVC, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -33,6 +33,67 @@ def featurize(train: DataFrame, test: DataFrame, text_col: str = "text",
     return model.transform(train).cache(), model.transform(test), model
 
 
+class TextScorer:
+    """A fitted model to hand over: text features and named heads, saved, loaded and applied as one.
+
+    ``logits`` adds the columns the cascade reads: one array of class logits per severity head,
+    and (if there are label heads ``label0`` ...) one array of label logits.
+    """
+
+    def __init__(self, features: PipelineModel, heads: dict[str, LogisticRegressionModel], text_col: str = "text"):
+        self.features, self.heads, self.text_col = features, heads, text_col
+
+    def logits(self, df: DataFrame, labels_col: str = "typ") -> DataFrame:
+        out = self.features.transform(df)
+        names, bits = [], []
+        for name, head in self.heads.items():
+            raw = f"__raw_{name}"
+            head = head.copy().setRawPredictionCol(raw).setProbabilityCol("__p").setPredictionCol("__c")
+            out = head.transform(out).drop("__p", "__c")
+            if name.startswith("label"):
+                bits.append(vector_to_array(F.col(raw))[1])
+            else:
+                names.append(vector_to_array(F.col(raw)).alias(name))
+        if bits:
+            names.append(F.array(*bits).alias(labels_col))
+        return out.select(*df.columns, *names)
+
+    def save(self, path: str) -> None:
+        """Write everything under path, replacing what was there."""
+        self.features.write().overwrite().save(f"{path}/features")
+        for name, head in self.heads.items():
+            head.write().overwrite().save(f"{path}/heads/{name}")
+        spark = SparkSession.getActiveSession()
+        rows = [(i, name, self.text_col) for i, name in enumerate(self.heads)]
+        spark.createDataFrame(rows, "i int, name string, text_col string").coalesce(1).write.mode("overwrite").json(f"{path}/order")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> TextScorer:
+        rows = spark.read.schema("i int, name string, text_col string").json(f"{path}/order").orderBy("i").collect()  # one row per head
+        heads = {r["name"]: LogisticRegressionModel.load(f"{path}/heads/{r['name']}") for r in rows}
+        return cls(PipelineModel.load(f"{path}/features"), heads, rows[0]["text_col"])
+
+
+def fit_scorer(train: DataFrame, levels: dict[str, str], bits_col: str | None = None, n_labels: int = 0, text_col: str = "text",
+               max_iter: int = 20, num_features: int = 1 << 16, parallelism: int = 4) -> TextScorer:
+    """J3 + J4 as a model to keep: ``levels`` maps head name -> label column; n_labels heads over ``bits_col``."""
+    features = text_features(text_col, num_features).fit(train)
+    ready = features.transform(train).cache()
+    jobs = {name: (F.col(label).cast("double"), "multinomial") for name, label in levels.items()}
+    jobs |= {f"label{i}": (F.element_at(F.col(bits_col), i + 1).cast("double"), "binomial") for i in range(n_labels)}
+
+    def fit(job):
+        label, family = job
+        return LogisticRegression(featuresCol="features", labelCol="__y", family=family, maxIter=max_iter).fit(ready.withColumn("__y", label))
+
+    try:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            fitted = list(pool.map(fit, jobs.values()))
+    finally:
+        ready.unpersist()
+    return TextScorer(features, dict(zip(jobs, fitted)), text_col)
+
+
 def fit_levels(train: DataFrame, test: DataFrame, targets: dict[str, str], text_col: str = "text",
                id_col: str = "id", max_iter: int = 50, num_features: int = 1 << 18) -> DataFrame:
     """One multinomial logistic regression per severity head on shared features.
@@ -67,14 +128,16 @@ def fit_types(train: DataFrame, test: DataFrame, n_labels: int, bits_col: str =
         lr = LogisticRegression(featuresCol="features", labelCol="__y", maxIter=max_iter)
         return lr.fit(ftrain.withColumn("__y", lab))
 
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        models = list(pool.map(fit, range(n_labels)))
+    try:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            models = list(pool.map(fit, range(n_labels)))
+    finally:
+        ftrain.unpersist()
     out = ftest.select(id_col, "features")
     for i, m in enumerate(models):
         m.setProbabilityCol(f"__p{i}").setRawPredictionCol(f"__r{i}").setPredictionCol(f"__c{i}")
         out = m.transform(out).withColumn(f"__p{i}", vector_to_array(F.col(f"__p{i}"))[1]) \
             .drop(f"__r{i}", f"__c{i}")
-    ftrain.unpersist()
     probs = F.array(*[F.col(f"__p{i}") for i in range(n_labels)])
     out = out.select(id_col, probs.alias("probs"))
     return out.withColumn("pred", F.transform("probs", lambda p: F.when(p >= threshold, 1).otherwise(0)))

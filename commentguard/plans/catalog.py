@@ -827,6 +827,36 @@ def q_fit_levels(spark, sf):
                          {"p_ind": "y_ind", "p_grp": "y_grp", "p_soc": "y_soc"}, max_iter=20, num_features=1 << 16)
 
 
+def _handed_over(spark, c):
+    """A scorer fitted on the training split, saved and loaded again."""
+    path = ST.run_dir(spark, "scorer")
+    ML.fit_scorer(c.filter("split = 'train'"), {"ind": "y_ind", "grp": "y_grp", "soc": "y_soc"}, "truth", len(V.TYPE_ATTACK_LABELS),
+                  max_iter=5, num_features=1 << 12).save(path)
+    return ML.TextScorer.load(spark, path)
+
+
+@query("q_fit_cascade", f"""SELECT doc_id AS id, true AS levels_known, true AS types_known FROM documents
+    WHERE left(sha256(CAST(doc_id AS VARCHAR) || '|42'), 4) >= '{SP.cut_hex(0.8)}'""")
+def q_fit_cascade(spark, sf):
+    """J3 + J4 -> J2: fit, save, load, score the test split, cascade; exact are its ids and the domains of levels and types."""
+    c = _text_corpus(spark, sf)
+    scored = _handed_over(spark, c).logits(c.filter("split = 'test'").select("id", "text"))
+    log = SC.cascade(scored, keep=["id"])
+    known = F.array(*[F.lit(x) for x in V.LEVEL_NAMES.values()])
+    names = F.array(*[F.lit(x) for x in V.TYPE_ATTACK_LABELS])
+    levels = F.array_contains(known, F.col("Individual")) & F.array_contains(known, F.col("Group")) & F.array_contains(known, F.col("Societal"))
+    return log.select("id", levels.alias("levels_known"), (F.size(F.array_except("type_attack", names)) == 0).alias("types_known"))
+
+
+@query("q_fit_report")
+def q_fit_report(spark, sf):
+    """J3 -> E9: class report of a handed-over model on the test split."""
+    c = _text_corpus(spark, sf)
+    scored = _handed_over(spark, c).logits(c.filter("split = 'test'").select("id", "text", "y_ind", "y_grp", "y_soc"))
+    pairs = {t: (f"y_{t}", f"p_{t}") for t in ("ind", "grp", "soc")}
+    return M.class_report(scored.select("id", *[f"y_{t}" for t in pairs], *[S.argmax(t).alias(f"p_{t}") for t in pairs]), pairs)
+
+
 @query("q_fit_types")
 def q_fit_types(spark, sf):
     """19 binary label classifiers on TF-IDF."""
