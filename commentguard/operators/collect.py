@@ -6,29 +6,58 @@ steps over raw pages and comment threads already in tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import re
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import vocab as V
 from ..functions.text import normalise_url
 from ..sizing import maybe_broadcast
 
-# FIXED VALUES: HTML entities decoded in extracted text (as a browser shows it).
-_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
-_BLOCK_PATTERNS = [r"(?s)<p\b[^>]*>(.*?)</p>", r"(?s)<li\b[^>]*>(.*?)</li>"]
-_DROP_PATTERN = r"(?s)<script\b[^>]*>.*?</script>|<style\b[^>]*>.*?</style>|<!--.*?-->"
+# Named HTML entities decoded in extracted text (as a browser shows it); numeric ones are decoded by rule.
+_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+_DROP_PATTERN = r"(?is)<script\b[^>]*>.*?</script>|<style\b[^>]*>.*?</style>|<!--.*?-->"
+_SELECTOR = re.compile(r"""^([A-Za-z][\w-]*)(?:\[([A-Za-z][\w:-]*)(?:=["']?([^"'\]]*)["']?)?\])?$""")
+
+
+def block_pattern(selector: str) -> str:
+    """Pattern of an element's content: "tag", "tag[attr]" or "tag[attr='value']"; tags and attribute names in any case."""
+    m = _SELECTOR.match(selector)
+    if not m:
+        raise ValueError(f"not a block selector: {selector!r}")
+    tag, attr, value = m.groups()
+    want = "" if attr is None else rf"(?=[^>]*\s{attr}\b)" if value is None else rf"""(?=[^>]*\s{attr}\s*=\s*["']?{re.escape(value)}["'\s>/])"""
+    return rf"(?is)<{tag}\b{want}[^>]*>(.*?)</{tag}>"
+
+
+_BLOCK_PATTERNS = [block_pattern("p"), block_pattern("li")]
+
+
+def decode_numeric(text: Column) -> Column:
+    """&#7879; and &#x1EC7; -> their characters; codes that are none stay."""
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit("&#([0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"), 1))
+
+    def char(code: Column) -> Column:
+        n = F.when(F.lower(code).startswith("x"), F.conv(F.substring(code, 2, 8), 16, 10)).otherwise(code).cast("long")
+        valid = ((n > 0) & (n < 0xD800)) | ((n > 0xDFFF) & (n < 0x110000))
+        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+
+    decoded = F.aggregate(found, text, lambda t, c: F.coalesce(F.replace(t, F.concat(F.lit("&#"), c, F.lit(";")), char(c)), t))
+    return F.when(F.instr(text, "&#") > 0, decoded).otherwise(text)
 
 
 def page_blocks(pages: DataFrame, phrases: DataFrame | None = None, url_col: str = "url",
-                html_col: str = "html") -> DataFrame:
-    """Text of each <p>/<li> block, tags removed, stripped; drop blanks and UI phrases; distinct per URL.
+                html_col: str = "html", selectors: tuple[str, ...] = ("p", "li")) -> DataFrame:
+    """Text of each block that a selector names (``block_pattern``), tags removed, stripped; drop blanks and UI phrases; distinct per URL.
 
     URL hosts are normalised first (B11). ``phrases`` is a DataFrame(phrase);
     default the fixed UI phrases.
     """
     html = F.regexp_replace(F.col(html_col), _DROP_PATTERN, "")
-    blocks = F.concat(*[F.regexp_extract_all(html, F.lit(p), 1) for p in _BLOCK_PATTERNS])
+    blocks = F.concat(*[F.regexp_extract_all(html, F.lit(p), 1) for p in map(block_pattern, selectors)])
     text = F.regexp_replace(F.col("block"), r"<[^>]*>", "")
+    text = decode_numeric(text)
     for ent, ch in _ENTITIES:
         text = F.replace(text, F.lit(ent), F.lit(ch))
     text = F.regexp_replace(text, V.EDGE_WHITESPACE, "")

@@ -27,3 +27,13 @@ def test_merge_subwords_leading_unprefixed(spark):
     text = TG.apply_tags(words, tags).first()["text"]
     # "def": first piece with an applicable tag is pos 2 (tag 1: e -> é); "c": tag 2 ("z") does not apply
     assert text == "ab c déf g"
+
+
+def test_page_blocks_selector_and_numeric_entities(spark):
+    from commentguard.operators import collect as CL
+    html = ("<DIV class=x dir='auto'>Vi&#7879;t &#x1EC7; &amp;#65; &#0; &#39;q&#39;</DIV><div dir=ltr>no</div>"
+            "<div dir=\"auto\" id=1>two</div><P>para</P>")
+    pages = spark.createDataFrame([("http://m.a/1", html)], "url string, html string")
+    got = sorted(r["cmt"] for r in CL.page_blocks(pages, selectors=("div[dir='auto']",)).collect())
+    assert got == ["Vi\u1ec7t \u1ec7 &#65; &#0; 'q'", "two"]
+    assert [r["cmt"] for r in CL.page_blocks(pages).collect()] == ["para"]
