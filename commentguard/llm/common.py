@@ -29,11 +29,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write df to the shared scratch folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -51,6 +51,13 @@ def own_columns(columns: list[str]) -> list[F.Column]:
     return [F.col(f"`{c}`").alias(x) for c, x in zip(columns, own_names(columns))]
 
 
+def carried(columns: list[str], text: str, name: str) -> tuple[list[F.Column], str]:
+    """Passing columns and the text, which goes along once only, and the text's inner name."""
+    if text in columns:
+        return own_columns(columns), own_names(columns)[columns.index(text)]
+    return [*own_columns(columns), F.col(text).alias(name)], name
+
+
 def own_fields(df: DataFrame, columns: list[str]) -> list[T.StructField]:
     return [T.StructField(x, df.schema[c].dataType) for c, x in zip(columns, own_names(columns))]
 

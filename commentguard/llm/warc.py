@@ -67,17 +67,17 @@ def write_archive(pages: DataFrame, path: str, page_id: str = "page_id", url: st
     rows.select(record.alias("value")).write.option("lineSep", _END).text(path)
 
 
-def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    """All pieces between version lines: file, block, at (offset of the line before it), size, raw bytes, header, successor."""
+def _pieces(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """All pieces between version lines. raw: file, n (order in the file's split), raw bytes, sizes of piece and header, Content-Length.
+    placed: the same without bytes, with the offset of the version line before (at) and of the next record (succ)."""
     text = spark.read.option("lineSep", _MAGIC).text(path)
-    raw = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-                      F.monotonically_increasing_id().alias("n"), F.col("value").cast("binary").alias("raw"), F.col("value"))
-    stop = F.instr("value", _END)  # in characters; headers may hold non-ASCII
-    head = F.when(stop > 0, F.substring_index("value", _END, 1))
+    head = F.when(F.instr("value", _END) > 0, F.substring_index("value", _END, 1))
     length = F.regexp_extract(F.concat(F.lit("\r\n"), head), r"(?i)\r\nContent-Length:[ \t]*([0-9]{1,18})(?:\r\n|$)", 1)
-    raw = raw.withColumns({"size": F.octet_length("raw").cast("long"), "head": head,
-                           "length": F.when(length != "", length).cast("long")}).drop("value")
-    raw = materialise(raw, "warc-pieces")
+    raw = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                      F.monotonically_increasing_id().alias("n"), F.col("value").cast("binary").alias("raw"),
+                      F.octet_length("value").cast("long").alias("size"), F.octet_length(head).alias("head"),
+                      F.when(length != "", length).cast("long").alias("length"))
+    raw = materialise(raw, "warc-pieces", "zstd")
     slim = raw.drop("raw")
     tile = F.col("size") + len(_MAGIC)
     blocks = slim.groupBy("file", "block").agg(F.sum(tile).alias("tiles"))
@@ -86,9 +86,8 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
     inside = Window.partitionBy("file", "block").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
     placed = slim.withColumn("in_block", F.coalesce(F.sum(tile).over(inside), F.lit(0))).join(blocks, ["file", "block"])
     at = F.col("base") + F.col("in_block") - len(_MAGIC)
-    succ = at + len(_MAGIC) + F.octet_length("head") + len(_END) + F.col("length") + len(_END)
-    placed = placed.select("file", "block", "n", at.alias("at"), "size", "head", "length", succ.alias("succ"))
-    return raw.select("file", "n", "raw"), materialise(placed, "warc-candidates")
+    succ = at + len(_MAGIC) + F.col("head") + len(_END) + F.col("length") + len(_END)
+    return raw.drop("block"), materialise(placed.select("file", "block", "n", at.alias("at"), "size", "head", "length", succ.alias("succ")), "warc-candidates")
 
 
 def _shorten(group: pa.Table) -> pa.Table:
@@ -112,7 +111,7 @@ def _walk(group: pa.Table) -> pa.Table:
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """Records of the archives under path: file, at (offset), head, block (bytes)."""
+    """Records of the archives under path: file, head (all headers), block (bytes)."""
     raw, placed = _pieces(spark, path)
     cands = placed.where(F.col("succ").isNotNull() & (F.col("at") >= 0))
     jumps = materialise(cands.select("file", "block", "at", "succ").groupBy("file", "block")
@@ -126,22 +125,25 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         jumps = materialise(jumps.join(then, ["file", "leave"], "left")
                             .select("file", "at", F.coalesce("further", "leave").alias("leave")), "warc-jumps")
     marked = cands.join(reach.withColumn("entry", F.lit(True)), ["file", "at"], "left")
-    schema = "file string, n bigint, at bigint, size bigint, head string, length bigint, succ bigint"
+    schema = "file string, n bigint, at bigint, size bigint, head int, length bigint, succ bigint"
     real = materialise(marked.select("file", "block", "n", "at", "size", "head", "length", "succ", F.coalesce("entry", F.lit(False)).alias("entry"))
                        .groupBy("file", "block").applyInArrow(_walk, schema), "warc-records")
-    skip = F.octet_length("head") + len(_END)
-    whole = F.col("succ") - F.col("at") == F.col("size") + len(_MAGIC)
-    body = lambda c: F.substring(c, (skip + 1).cast("int"), F.col("length").cast("int"))
-    alone = real.where(whole).join(raw, ["file", "n"]).select("file", "at", "head", body(F.col("raw")).alias("block"))
+    # records of one piece: all that parse as such but the rejected, whose list is short; payloads stay where they are
+    whole = F.col("size") == F.col("head") + len(_END) + F.col("length") + len(_END)
+    rejected = small(materialise(cands.select("file", "n").join(real, ["file", "n"], "left_anti"), "warc-rejected"), _SMALL_ROWS)
+    alone = raw.where(whole).join(rejected, ["file", "n"], "left_anti").select("file", "raw", "head", "length")
     spans = small(materialise(real.where(~whole), "warc-spans"), _SMALL_ROWS).select(
-        F.col("file").alias("f"), F.col("at").alias("a"), F.col("head").alias("head"), F.col("length").alias("length"), F.col("succ").alias("s"))
+        F.col("file").alias("f"), F.col("at").alias("a"), F.col("head").alias("h"), F.col("length").alias("l"), F.col("succ").alias("s"))
     inner = placed.select("file", "n", "at").join(spans, (F.col("file") == F.col("f")) & (F.col("at") >= F.col("a")) & (F.col("at") < F.col("s")))
-    parts = inner.drop("f").join(raw, ["file", "n"]).groupBy("file", "a", "head", "length") \
+    inner = small(materialise(inner.drop("f", "s"), "warc-inner"), _SMALL_ROWS)
+    parts = raw.select("file", "n", "raw").join(inner, ["file", "n"]).groupBy("file", "a", "h", "l") \
         .agg(F.array_sort(F.collect_list(F.struct("at", "raw"))).alias("parts"))
     joined = F.aggregate("parts", F.lit(None).cast("binary"),
                          lambda acc, p: F.when(acc.isNull(), p["raw"]).otherwise(F.concat(acc, F.lit(_MAGIC.encode()), p["raw"])))
-    pieced = parts.withColumn("raw", joined).select("file", F.col("a").alias("at"), "head", body(F.col("raw")).alias("block"))
-    return alone.unionByName(pieced)
+    pieced = parts.select("file", joined.alias("raw"), F.col("h").alias("head"), F.col("l").alias("length"))
+    return alone.unionByName(pieced).select(
+        "file", F.substring("raw", F.lit(1), F.col("head")).cast("string").alias("head"),
+        F.substring("raw", F.col("head") + len(_END) + 1, F.col("length").cast("int")).alias("block"))
 
 
 def header(name: str) -> F.Column:
