@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(HERE))
 from commentguard.session import local_session  # noqa: E402
 import __spark_entry__ as E  # noqa: E402
 
-SKIP = ("q_stream_", "q_fit_")  # these run jobs when called (streams, model fits)
+SKIP = ("q_stream_", "q_fit_", "op", "pipeline")  # these run jobs when called (streams, model fits)
 
 
 def census(plan: str) -> dict:
