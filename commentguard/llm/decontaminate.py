@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from commentguard.llm.common import ALNUM, Words, materialise, own_columns, own_fields, own_names, read_table, row_slices, shown
+from commentguard.llm.common import ALNUM, Words, carried, materialise, own_fields, own_names, read_table, row_slices, shown
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
@@ -112,21 +112,21 @@ class Searcher:
         return pos[order[np.repeat(lo, count) + inside]], found
 
 
-def _scan(block, keep: list[str], window: int):
+def _scan(block, keep: list[str], window: int, text: str):
     def go(batches):
         items, words = block.value
         searcher = Searcher(items, [np.frombuffer(x, np.uint64) for x in words], window)
         for batch in batches:
-            for part in row_slices(batch, "hit_text"):
-                yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + _judge(searcher, part), names=keep + _NEW)
+            for part in row_slices(batch, text):
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + _judge(searcher, part.column(text)), names=keep + _NEW)
     return go
 
 
 _NEW = ["hit_words", "hit_spans", "hit_items", "hit_matches"]
 
 
-def _judge(s: Searcher, part: pa.RecordBatch) -> list[pa.Array]:
-    w = Words(part.column("hit_text"), ALNUM)
+def _judge(s: Searcher, texts: pa.Array) -> list[pa.Array]:
+    w = Words(texts, ALNUM)
     pos, win = s.hits(w)
     docs = len(w.off) - 1
     mark = np.zeros(len(w.hash) + 1, np.int32)
@@ -198,10 +198,11 @@ def _find(docs: DataFrame, bench: DataFrame, keep: list[str], text: str, item: s
     out, own = None, own_names(keep)
     schema = T.StructType(own_fields(docs, keep) + T._parse_datatype_string(
         f"hit_words long, hit_spans array<struct<start:int,stop:int>>, hit_items array<string>, hit_matches {_MATCH}").fields)
-    slim = docs.select(*own_columns(keep), F.col(text).alias("hit_text"))
+    columns, name = carried(keep, text, "hit_text")
+    slim = docs.select(*columns)
     blocks = 0
     for block in _blocks(bench, item, item_text, block_words):
-        one = slim.mapInArrow(_scan(sc.broadcast(block), own, window), schema)
+        one = slim.mapInArrow(_scan(sc.broadcast(block), own, window, name), schema)
         out = one if out is None else out.unionByName(one)
         blocks += 1
     if blocks > 1:

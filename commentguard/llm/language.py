@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from commentguard.llm.common import LOWER, materialise, own_columns, own_fields, own_names, read_table, row_slices, shown, small, text_bytes
+from commentguard.llm.common import LOWER, carried, materialise, own_fields, own_names, read_table, row_slices, shown, small, text_bytes
 
 SAMPLE_ROWS = 20_000
 MAX_LANGUAGES = 64
@@ -119,13 +119,13 @@ def fit_text_model(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     return Model(languages, logp.astype(np.float32), own)
 
 
-def _score(shared, keep: list[str]):
+def _score(shared, keep: list[str], text: str):
     def go(batches):
         model = shared.value
         k = len(model.languages)
         for batch in batches:
-            for part in row_slices(batch, "lang_text", 1 << 20):
-                bucket, row, letters = _trigrams(*text_bytes(part.column("lang_text")))
+            for part in row_slices(batch, text, 1 << 20):
+                bucket, row, letters = _trigrams(*text_bytes(part.column(text)))
                 n = np.bincount(row, minlength=part.num_rows)
                 ll = np.stack([np.bincount(row, model.logp[j][bucket], minlength=part.num_rows) for j in range(k)], 1) \
                     if k else np.zeros((part.num_rows, 0))
@@ -152,21 +152,22 @@ def _identify(rows: DataFrame, keep: list[str], text: str, declared: F.Column |
     none = F.lit(None).cast("string")
     declared, host, domain, suffix = (none if c is None else c for c in (declared, host, domain, suffix))
     own = own_names(keep)
-    ready = rows.select(*own_columns(keep), F.col(text).alias("lang_text"), declared.alias("lang_declared"),
+    columns, name = carried(keep, text, "lang_text")
+    ready = rows.select(*columns, declared.alias("lang_declared"),
                         F.coalesce(host, F.lit("")).alias("lang_host"), domain.alias("lang_domain"), suffix.alias("lang_suffix"))
     if model is None:
-        model = fit_text_model(ready.select(F.col("lang_text").alias("text"), F.col("lang_declared").alias("declared")))
+        model = fit_text_model(ready.select(F.col(name).alias("text"), F.col("lang_declared").alias("declared")))
     names, k = model.languages, len(model.languages)
     known = F.when(F.col("lang_declared").isin(names) | F.col("lang_declared").isNull(), F.col("lang_declared")).otherwise("other") \
         if k else none
     ready = ready.withColumn("lang_declared", known)
-    cols = [c for c in ready.columns if c != "lang_text"]
+    cols = [c for c in ready.columns if c != "lang_text"]  # a text that passes stays
     shared = spark.sparkContext.broadcast(model)
     added = T._parse_datatype_string("lang_ll array<double>, lang_letters long, lang_fit double, lang_vote int").fields
 
     def scored(columns: list[str]) -> DataFrame:
         schema = T.StructType([ready.schema[c] for c in columns] + added)
-        return ready.select(*columns, "lang_text").mapInArrow(_score(shared, columns), schema)
+        return ready.select(*dict.fromkeys([*columns, name])).mapInArrow(_score(shared, columns, name), schema)
 
     if not k:
         return scored(cols).select(*own, none.alias("lang_id"), F.lit(False).alias("lang_ok"), F.lit(0.0).alias("lang_posterior"),
