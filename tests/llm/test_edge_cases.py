@@ -1,7 +1,11 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names, per operator."""
 
 import datetime as dt
+import os
+import subprocess
+import sys
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,6 +130,21 @@ def test_secret_edges(docs, nothing):
     assert secrets.scan(nothing, ["doc_id"]).count() == 0
 
 
+@pytest.mark.parametrize("head", ["A", "AK", "AKI"])
+def test_access_key_across_texts(head):
+    # a marker across the border belongs to neither text; what follows it in the run is still found
+    key = "AKIA" + "Q7" * 8
+    texts = [f"ends in {head}", f"{'AKIA'[len(head):]}56789012345678901234", "AKIA12", f"XY{key}", "", f"{key}A"]
+    buf, off = secrets.text_bytes(pa.array(texts))
+    code = "import sys, numpy as np; from commentguard.llm import secrets; import pyarrow as pa; " \
+           "buf, off = secrets.text_bytes(pa.array(eval(sys.argv[1]))); " \
+           "print(secrets.find_spans(buf, off, np.zeros((len(secrets.ALPHABETS), len(secrets.LENGTHS)), int)))"
+    out = subprocess.run([sys.executable, "-c", code, repr(texts)], capture_output=True, text=True, timeout=60, check=True,
+                         cwd=os.path.dirname(os.path.dirname(secrets.__file__)) + "/..").stdout
+    got = [[(a - z, b - z) for a, kind, b in spans if kind == 1] for spans, z in zip(eval(out), off.tolist())]
+    assert got == [[], [], [], [(2, 22)], [], [(0, 21)]]
+
+
 def test_language_edges(spark, docs, nothing):
     got = {r["doc_id"]: r for r in language.identify_documents(docs, ["doc_id"]).collect() if r["doc_id"] is not None}
     assert not got[3]["lang_ok"] and not got[4]["lang_ok"] and not got[5]["lang_ok"] and got[0]["lang_id"] == "en"
