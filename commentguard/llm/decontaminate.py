@@ -10,7 +10,7 @@ have loses nothing: no window can occur there.
 
 The benchmark is cut into blocks of at most ``block_words`` words (an item stays whole), each
 sent to the tasks on its own; the documents are read once for each block. No shuffle for a
-single block; for several, narrow rows are merged by document.
+single block; for several, the rows are written once with a number each, on which the blocks' hits are merged.
 
 Defined cases: null and empty texts have no words, no hits and are clean; items without words
 occur nowhere; an item with a null id marks words but is not listed; repeated document rows
@@ -20,6 +20,7 @@ columns of the documents pass through, the results are named ``hit_*``.
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -170,7 +171,7 @@ def _judge(s: Searcher, texts: pa.Array) -> list[pa.Array]:
 
 
 def _blocks(bench: DataFrame, item: str, text: str, block_words: int):
-    """The benchmark's words in blocks of proven size: (item ids as strings, word hashes)."""
+    """The benchmark's words in blocks of proven size: number of blocks, (item ids as strings, word hashes)."""
     words = bench.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text")) \
         .mapInArrow(_item_words, "item string, n bigint, words binary")
     words = materialise(words.where("n > 0"), "decon-items")
@@ -178,7 +179,7 @@ def _blocks(bench: DataFrame, item: str, text: str, block_words: int):
     parts = max(1, math.ceil(total / block_words))
     for k in range(parts):
         rows = words.where(F.pmod(F.xxhash64("words"), F.lit(parts)) == k).collect()
-        yield [r["item"] for r in rows], [bytes(r["words"]) for r in rows]
+        yield parts, ([r["item"] for r in rows], [bytes(r["words"]) for r in rows])
 
 
 def find_benchmark(docs: DataFrame, bench: DataFrame, keep: list[str], text: str = "text", item: str = "item_id",
@@ -186,8 +187,6 @@ def find_benchmark(docs: DataFrame, bench: DataFrame, keep: list[str], text: str
     """The ``keep`` columns of each document row with hit_words (its number of words), hit_spans
     (word ranges inside occurrences), hit_items (ids as strings, sorted) and hit_matches (longest
     verbatim matches: item, first word, number of words).
-
-    With several benchmark blocks the ``keep`` columns should tell rows apart; equal rows are then merged.
     """
     return shown(_find(docs, bench, keep, text, item, item_text, window, block_words), keep, _NEW)
 
@@ -200,16 +199,25 @@ def _find(docs: DataFrame, bench: DataFrame, keep: list[str], text: str, item: s
         f"hit_words long, hit_spans array<struct<start:int,stop:int>>, hit_items array<string>, hit_matches {_MATCH}").fields)
     columns, name = carried(keep, text, "hit_text")
     slim = docs.select(*columns)
-    blocks = 0
-    for block in _blocks(bench, item, item_text, block_words):
-        one = slim.mapInArrow(_scan(sc.broadcast(block), own, window, name), schema)
-        out = one if out is None else out.unionByName(one)
-        blocks += 1
-    if blocks > 1:
-        flat = lambda c: F.flatten(F.collect_list(c))
-        out = out.groupBy(*own).agg(
-            F.max("hit_words").alias("hit_words"), flat("hit_spans").alias("hit_spans"),
-            F.array_sort(F.array_distinct(flat("hit_items"))).alias("hit_items"), flat("hit_matches").alias("hit_matches"))
+    more = []
+    for parts, block in _blocks(bench, item, item_text, block_words):
+        shared = sc.broadcast(block)
+        if parts == 1:
+            return slim.mapInArrow(_scan(shared, own, window, name), schema)
+        if out is None:  # rows get numbers of their own, written, so that every block sees the same ones
+            number = T.StructField("hit_row", T.LongType(), False)
+            slim = materialise(slim.withColumn("hit_row", F.monotonically_increasing_id()), "decon-rows")
+            out = slim.mapInArrow(_scan(shared, [*own, "hit_row"], window, name), T.StructType([*schema.fields[:len(own)], number, *schema.fields[len(own):]]))
+        else:
+            narrow = slim.select("hit_row", name).mapInArrow(_scan(shared, ["hit_row"], window, name), T.StructType([number, *schema.fields[len(own):]]))
+            more.append(narrow.where(F.size("hit_spans") > 0).drop("hit_words"))
+    if more:
+        lists = ("hit_spans", "hit_items", "hit_matches")
+        rest = functools.reduce(DataFrame.unionByName, more).groupBy("hit_row").agg(*[F.flatten(F.collect_list(c)).alias(f"more_{c}") for c in lists])
+        rest = materialise(rest, "decon-hits")
+        out = out.join(rest, "hit_row", "left").withColumns(
+            {c: F.concat(c, F.coalesce(f"more_{c}", F.array().cast(schema[c].dataType))) for c in lists}).drop("hit_row", *[f"more_{c}" for c in lists])
+        out = out.withColumn("hit_items", F.array_sort(F.array_distinct("hit_items")))
         merged = F.aggregate(F.array_sort("hit_spans"), F.array().cast("array<struct<start:int,stop:int>>"), lambda acc, x: F.when(
             (F.size(acc) > 0) & (F.element_at(acc, -1)["stop"] >= x["start"]),
             F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(

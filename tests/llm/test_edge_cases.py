@@ -121,6 +121,15 @@ def test_decontaminate_blocks_agree(docs, bench):
         assert r["hit_items"] == many[k]["hit_items"] and r["hit_spans"] == many[k]["hit_spans"] and r["hit_words"] == many[k]["hit_words"]
 
 
+def test_decontaminate_blocks_keep_rows(docs, bench):
+    # equal rows, and rows that the kept columns do not tell apart, are judged one by one with any number of blocks
+    seen = lambda n: sorted([(r["doc_id"], r["hit_words"], r["hit_spans"], r["hit_items"], sorted(map(str, r["hit_matches"]))) for r in
+                             decontaminate.find_benchmark(docs.withColumn("doc_id", F.lit(1)), bench, ["doc_id"], block_words=n).collect()], key=repr)
+    left = lambda n: sorted(map(repr, decontaminate.remove_contaminated(docs, bench, block_words=n).collect()))
+    assert len(seen(2)) == len(rows()) and seen(2) == seen(2_000_000)
+    assert left(2) == left(2_000_000)
+
+
 def test_secret_edges(docs, nothing):
     got = {(r["doc_id"], r["text"]): r for r in secrets.scan(docs, ["doc_id", "text"], redact="[X]").collect()}
     hit = got[(10, rows()[10][1])]
