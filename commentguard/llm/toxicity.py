@@ -7,8 +7,8 @@ that is rare in both classes says nothing about either, nor does one that a clas
 because its context never came up in the other. A text's evidence is the
 difference of the two log-likelihoods: per word, and of its most toxic expression of
 ``PASSAGE`` words, so that a few such words in a long text still count. A logistic curve
-turns both into a score; it is fitted to a fifth of the sample, measured by a model that did
-not see that fifth.
+turns both into a score; it is fitted to all texts of the sample, each fifth measured by a
+model that did not see that fifth.
 
 The models are fitted on a bounded sample of labelled texts: about equally many
 words of each class, at most ``SAMPLE_WORDS``, whole texts chosen by a hash of the text (never by
@@ -24,6 +24,8 @@ any); repeated rows score alike; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,13 +34,14 @@ from pyspark.sql import types as T
 
 from commentguard.llm.common import ALNUM, Words, crc_mod, materialise, mix64, own_columns, own_fields, own_names, read_table, row_slices, shown
 
-SAMPLE_WORDS = 2_000_000
+SAMPLE_WORDS = 4_000_000
 RARE = 5  # n-grams seen less often in a class leave their whole mass to the backoff
 DISCOUNT = 2.0  # of the others
 PASSAGE = 1
 CUTOFF = 0.3
 FOLDS = 5
 _START = np.uint64(0x5DEECE66D1CE4E5B)
+_COUNTS = [f"{c}{k}" for c in "ot" for k in range(FOLDS)]  # texts by class and fold
 
 
 def _bigrams(w: Words) -> np.ndarray:
@@ -53,7 +56,7 @@ def _bigrams(w: Words) -> np.ndarray:
 
 
 def _collect(batches):
-    """Per slice: bigrams (context, word) with the number of texts that hold them, by class and part of the sample."""
+    """Per slice: bigrams (context, word) with the number of texts that hold them, by class and fold of the sample."""
     for batch in batches:
         for part in row_slices(batch, "text"):
             w = Words(part.column("text"), ALNUM)
@@ -62,15 +65,15 @@ def _collect(batches):
             before = np.empty_like(w.hash)
             before[1:] = w.hash[:-1]
             before[w.row[:-1][np.diff(w.row) > 0]] = _START
-            group = part.column("toxic").to_numpy().astype(np.int64) * 2 + part.column("tuning").to_numpy(zero_copy_only=False)
+            group = part.column("toxic").to_numpy().astype(np.int64) * FOLDS + part.column("fold").to_numpy()
             key, of = _bigrams(w), w.of()
             # a text counts an expression once, however often it repeats it
             order = np.lexsort((key, of))
             order = order[np.append(True, (np.diff(of[order]) != 0) | (key[order][1:] != key[order][:-1]))]
             keys, first, inv = np.unique(key[order], return_index=True, return_inverse=True)
-            n = np.bincount(inv * 4 + group[of[order]], minlength=4 * len(keys)).reshape(-1, 4)
-            yield pa.RecordBatch.from_arrays([pa.array(x[order][first].view(np.int64)) for x in (before, w.hash)] + [pa.array(n[:, k]) for k in range(4)],
-                                             ["ctx", "word", "o", "o_tuning", "t", "t_tuning"])
+            n = np.bincount(inv * 2 * FOLDS + group[of[order]], minlength=2 * FOLDS * len(keys)).reshape(-1, 2 * FOLDS)
+            yield pa.RecordBatch.from_arrays([pa.array(x[order][first].view(np.int64)) for x in (before, w.hash)] + [pa.array(c) for c in n.T],
+                                             ["ctx", "word", *_COUNTS])
 
 
 def _own(n: np.ndarray) -> np.ndarray:
@@ -212,18 +215,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample_words: int = SAMPLE_WORDS) ->
     chosen = slim.where(F.pmod("draw", F.lit(1 << 30)) / float(1 << 30) < rate).groupBy("draw", "toxic").agg(F.min("doc_id").alias("doc_id"))
     chosen = F.broadcast(materialise(chosen, "tox-chosen"))  # copies say nothing new; at most one row per text of the sample
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), draw.alias("draw")).join(chosen, ["doc_id", "draw"])
-    sample = materialise(texts.select("text", "toxic", (F.pmod(F.shiftright("draw", 32), F.lit(FOLDS)) == 0).alias("tuning")), "tox-sample")
-    sums = [F.sum(c).alias(c) for c in ("o", "o_tuning", "t", "t_tuning")]
-    grams = materialise(sample.mapInArrow(_collect, "ctx bigint, word bigint, o bigint, o_tuning bigint, t bigint, t_tuning bigint")
-                        .groupBy("ctx", "word").agg(*sums), "tox-grams")
-    shared = docs.sparkSession.sparkContext.broadcast(gram_statistics(grams, F.col("o"), F.col("t")))
-    x = sample.where("tuning").mapInArrow(_measure(shared), "toxic int, mean double, best double").toArrow()
+    sample = materialise(texts.select("text", "toxic", F.pmod(F.shiftright("draw", 32), F.lit(FOLDS)).cast("int").alias("fold")), "tox-sample")
+    grams = materialise(sample.mapInArrow(_collect, ", ".join(["ctx bigint, word bigint", *[f"{c} bigint" for c in _COUNTS]]))
+                        .groupBy("ctx", "word").agg(*[F.sum(c).alias(c) for c in _COUNTS]), "tox-grams")
+    counts = lambda c, without=None: functools.reduce(F.Column.__add__, [F.col(f"{c}{k}") for k in range(FOLDS) if k != without])
+    measured = []
+    for k in range(FOLDS):
+        shared = docs.sparkSession.sparkContext.broadcast(gram_statistics(grams, counts("o", k), counts("t", k)))
+        measured.append(sample.where(F.col("fold") == k).mapInArrow(_measure(shared), "toxic int, mean double, best double").toArrow())
+        shared.unpersist()
+    x = pa.concat_tables(measured)
     y = x["toxic"].to_numpy().astype(float)
     beta = _fit_curve(np.stack([np.ones(len(y)), x["mean"].to_numpy(), x["best"].to_numpy()], 1), y)
     # back from the sample's share of toxic texts to that of all labelled ones
     if 0 < y.mean() < 1 and 0 < share < 1:
         beta[0] += np.log(share / (1 - share)) - np.log(y.mean() / (1 - y.mean()))
-    return gram_statistics(grams, F.col("o") + F.col("o_tuning"), F.col("t") + F.col("t_tuning")), beta, share
+    return gram_statistics(grams, counts("o"), counts("t")), beta, share
 
 
 def _score(shared, own: list[str]):

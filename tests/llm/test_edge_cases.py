@@ -232,3 +232,14 @@ def test_warc_edges(spark, tmp_path):
     empty = df.limit(0)
     warc.write_archive(empty, f"{tmp_path}/b")
     assert warc.read_archive(spark, f"{tmp_path}/b").count() == 0
+
+
+def test_toxicity_curve_sees_every_fold(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"w{i % 5} word{i % 7} {'vile' if i % 3 == 0 else 'kind'} x{i}") for i in range(300)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
+    seen, plain = [], toxicity._fit_curve
+    monkeypatch.setattr(toxicity, "_fit_curve", lambda x, y: seen.append(len(y)) or plain(x, y))
+    model, _, share = toxicity.fit(docs, labels)
+    assert toxicity.SAMPLE_WORDS == 4_000_000 and abs(share - 1 / 3) < 1e-9 and len(model.keys)
+    # all toxic texts (the smaller class) and about as many others, not a fifth of them
+    assert 150 <= seen[0] <= 250
