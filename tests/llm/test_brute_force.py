@@ -239,6 +239,20 @@ def test_op10_fuzzy_passage_and_clean_text(spark):
     assert [(s["start"], s["end"]) for s in got[1]["passages"]] == [(30, 119)]
 
 
+def test_op10_repeat_behind_common_seeds(spark):
+    # every seed of a passage of two texts also occurs in many others, which share too little to count
+    rng = np.random.default_rng(7)
+    filler = lambda n: " ".join(f"f{x}" for x in rng.integers(0, 10**9, n))
+    passage = [f"p{x}" for x in rng.integers(0, 10**9, 50)]
+    docs = [(k, f"{filler(40)} {' '.join(passage)} {filler(30 + k)}") for k in range(2)]
+    for k, at in enumerate(rng.integers(0, 34, 400).tolist(), 2):
+        docs.append((k, f"{filler(50)} {' '.join(passage[at:at + 17])} {filler(20)}"))
+    got = {r["doc_id"]: r for r in passages.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for k in range(2):
+        assert [(s["start"], s["end"]) for s in got[k]["passages"]] == [(40, 90)] and got[k]["partners"] == [1 - k]
+    assert not any(got[k]["n_passages"] for k in range(2, 402))
+
+
 def test_chain_against_quadratic():
     rng = np.random.default_rng(6)
     start = rng.integers(0, 400, 60)
