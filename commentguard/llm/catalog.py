@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from commentguard.llm import decontaminate, embedding_dedup, filter_audit, hmm, language, mixing, ngram_join, packing, passages, secrets, toxicity, warc
+from commentguard.llm import decontaminate, embedding_dedup, filter_audit, hmm, language, mixing, ngram_join, packing, passages, secrets, spelling, toxicity, warc
 
 REGISTRY = {**mixing.QUERIES, **embedding_dedup.QUERIES, **secrets.QUERIES, **toxicity.QUERIES, **warc.QUERIES, **decontaminate.QUERIES,
             **hmm.QUERIES, **ngram_join.QUERIES, **language.QUERIES, **passages.QUERIES,
-            **filter_audit.QUERIES, **packing.QUERIES}
+            **filter_audit.QUERIES, **packing.QUERIES, **spelling.QUERIES}
