@@ -1,9 +1,10 @@
 """Comment cleaning (B4-B8): abbreviation expansion, compound segmentation, stopwords.
 
 Cleaning is row-local. Lexicons that are proven small (``sizing.BROADCAST_BYTES``) are sent to
-the tasks once and used in a vectorised Arrow function on the natively normalised text: one
-scan, no exchange, rows are never matched to one another, so nothing depends on ids or on how
-the input is partitioned.
+the tasks once and looked up by an Arrow function (``lookup.Cleaner``: whole arrays of words, no
+loop over rows) on the natively normalised text: one scan, no exchange, rows are never matched to
+one another, so nothing depends on ids or on how the input is partitioned. The function is
+declared non-deterministic, which keeps Catalyst from running it a second time for the blank filter.
 
 Lexicons beyond that size are joined instead (``_clean_by_join``): each distinct text is
 shuffled once, tokenised, looked up, put together again and joined back on the text itself.
@@ -15,49 +16,25 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import vocab as V
 from ..functions import text as TX
 from ..sizing import BROADCAST_BYTES, fits
+from .lookup import Cleaner, slices
 
 _CAND_TYPE = "array<struct<n:int,key:string,stop:boolean>>"
 
 
 @dataclass
 class Lexicons:
-    """Small lexicons as Python tables: abbreviation -> words, stopwords, first syllable -> compounds (longest first)."""
+    """Small lexicons as Python tables: abbreviation -> words, stopwords, compounds by syllables."""
 
     expand: dict[str, list[str]] = field(default_factory=dict)
     stop: set[str] = field(default_factory=set)
-    compounds: dict[str, list[list[str]]] = field(default_factory=dict)
-
-    def clean(self, text: str) -> str:
-        words: list[str] = []
-        for token in text.split(" "):
-            full = self.expand.get(token)
-            for w in ([token] if token else []) if full is None else full:
-                if len(w) > 1 and w[-1] == ".":
-                    words += (w[:-1], ".")
-                else:
-                    words.append(w)
-        if not self.compounds:
-            return " ".join([w for w in words if w not in self.stop])
-        out, at, end = [], 0, len(words)
-        while at < end:
-            w = words[at]
-            for c in self.compounds.get(w, ()):  # greedy: the longest compound that starts here
-                if words[at:at + len(c)] == c:
-                    w = "_".join(c)
-                    at += len(c)
-                    break
-            else:
-                at += 1
-            if w not in self.stop:
-                out.append(w)
-        return " ".join(out)
+    compounds: list[list[str]] = field(default_factory=list)
 
 
 def _expansion(full: Column) -> Column:
@@ -85,19 +62,19 @@ def prepare_lexicons(abbreviations: DataFrame | None = None, compounds: DataFram
         out.stop = {r["word"] for r in stopwords.where("word is not null").select("word").distinct().collect()}
     if compounds is not None:
         rows = compounds.select(_syllables(F.col("phrase")).alias("s")).where(F.size("s") >= 2).distinct().collect()
-        for r in sorted(rows, key=lambda r: -len(r["s"])):
-            out.compounds.setdefault(r["s"][0], []).append(list(r["s"]))
+        out.compounds = [list(r["s"]) for r in rows]
     return out
 
 
 def _vectorised(shared):
-    @F.pandas_udf("string")
-    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         lexicons = shared.value
+        cleaner = Cleaner(lexicons.expand, lexicons.stop, lexicons.compounds)
         for texts in batches:
-            yield pd.Series([lexicons.clean(t) for t in texts], dtype=object)
+            yield pa.chunked_array([cleaner.apply(part) for part in slices(texts)], pa.string()).combine_chunks()
 
-    return clean
+    return clean.asNondeterministic()
 
 
 def build_word_facts(stopwords: DataFrame | None, compounds: DataFrame | None) -> DataFrame | None:

@@ -13,12 +13,13 @@ import unicodedata
 import uuid
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sizing import BROADCAST_BYTES, fits, maybe_broadcast
+from .lookup import Replacer, slices
 
 WORD_PREFIX = "▁"  # sentencepiece word-start marker
 
@@ -109,11 +110,11 @@ def accent_dictionary(tokens: DataFrame, word_col: str = "w") -> DataFrame:
 
 
 def _restorer(shared):
-    @F.pandas_udf("string")
-    def restore(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        get = shared.value.get
+    @F.arrow_udf("string")
+    def restore(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        replacer = Replacer({k: [w] for k, w in shared.value.items()})
         for texts in batches:
-            yield pd.Series([" ".join([get(w, w) for w in t.split(" ") if w]) for t in texts], dtype=object)
+            yield pa.chunked_array([replacer.apply(part) for part in slices(texts)], pa.string()).combine_chunks()
 
     return restore
 
