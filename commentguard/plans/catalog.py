@@ -771,7 +771,7 @@ def q_stream_log(spark, sf):
     msgs, lg = _stream_log_source(spark, sf)
     again = msgs.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 40 DAYS"))
     out = ST.replay(spark, msgs.unionByName(again), lambda s: s, "log", "timestamp", sink_fn=_log_sink(spark, lg))
-    return out.drop("timestamp", "log_date", SK.BATCH)
+    return out.drop("timestamp", "log_date", *SK.OWN)
 
 
 @query("q_stream_ingest", _CLEAN_LOG_SQL)
@@ -787,7 +787,7 @@ def q_stream_ingest(spark, sf):
         return parsed.where("id is not null and cmt is not null").select("id", "cmt", F.timestamp_micros("at").alias("timestamp"))
 
     out = ST.replay(spark, good.unionByName(bad), build, "ingest", "timestamp", sink_fn=_log_sink(spark, lg))
-    return out.drop("timestamp", "log_date", SK.BATCH)
+    return out.drop("timestamp", "log_date", *SK.OWN)
 
 
 @query("q_idempotent_append", O.with_fx("fx_flags") + "SELECT id, timestamp, is_hate FROM fx_flags")
@@ -801,6 +801,17 @@ def q_idempotent_append(spark, sf):
     return SK.read_log(spark, path)
 
 
+@query("q_log_two_writers", O.with_fx("fx_flags") + "SELECT id, timestamp, is_hate FROM fx_flags")
+def q_log_two_writers(spark, sf):
+    """Two streams, each with its own checkpoint and half of the events twice over, write one log; so does a
+    third that starts anew with all events: every event is stored once."""
+    flags, base = FX.flags(spark, sf), ST.run_dir(spark, "writers")
+    for k, rows in enumerate([flags.where("id % 2 = 0"), flags.where("id % 2 = 1"), flags]):
+        ST.replay(spark, rows.unionByName(rows), lambda s: s, f"writer{k}", "timestamp",
+                  sink_fn=lambda stream, out, ckpt: SK.start_log_sink(stream, f"{base}/log", ckpt, trigger={"availableNow": True}), read=False)
+    return SK.read_log(spark, f"{base}/log")
+
+
 @query("q_clean_shuffled", O.q_clean_online())
 def q_clean_shuffled(spark, sf):
     """B7 in the order of the application: wide rows from a join, dealt out for scoring, then cleaned."""

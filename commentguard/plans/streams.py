@@ -39,8 +39,8 @@ def write_in_time_order(df: DataFrame, path: str, ts: str, chunks: int = 4) -> N
 
 
 def replay(spark: SparkSession, source: DataFrame, build, name: str, ts: str, chunks: int = 4,
-           output_mode: str = "append", sink_fn=None) -> DataFrame:
-    """Write ``source`` in time order, stream it through ``build``, return the sink."""
+           output_mode: str = "append", sink_fn=None, read: bool = True) -> DataFrame | None:
+    """Write ``source`` in time order, stream it through ``build``, return the sink (None if it is not to be read)."""
     base = run_dir(spark, name)
     src, ckpt, out = f"{base}/source", f"{base}/checkpoint", f"{base}/sink"
     source.write.parquet(f"{base}/rows")  # worked out once, then cut into the chunks
@@ -56,4 +56,4 @@ def replay(spark: SparkSession, source: DataFrame, build, name: str, ts: str, ch
              .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
     q.awaitTermination()
     LAST_PROGRESS[:] = list(q.recentProgress or [])
-    return spark.read.parquet(out)
+    return spark.read.parquet(out) if read else None

@@ -81,20 +81,21 @@ def test_crash_between_write_and_marker_restarts_from_the_checkpoint(spark, monk
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{base}/src")
     start = lambda: SK.start_log_sink(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/src"),
                                       f"{base}/log", f"{base}/ckpt", trigger={"availableNow": True})
-    real = SK._mark
+    real = SK._commit
 
-    def crash(spark, path, text):
-        if path.endswith("/1"):
+    def crash(commits, state, content):
+        if content.get("batch") == 1:
             raise RuntimeError("lost before the marker")
-        real(spark, path, text)
+        return real(commits, state, content)
 
-    monkeypatch.setattr(SK, "_mark", crash)
+    monkeypatch.setattr(SK, "_commit", crash)
     try:
         start().awaitTermination()
         raise AssertionError("the second batch should have failed")
     except Exception as e:
         assert "lost before the marker" in str(e)
-    monkeypatch.setattr(SK, "_mark", real)
+    assert SK.read_log(spark, f"{base}/log").count() == 2  # what the lost batch left is not part of the log
+    monkeypatch.setattr(SK, "_commit", real)
     start().awaitTermination()
     assert {(r["id"], r["v"]) for r in SK.read_log(spark, f"{base}/log").collect()} == {(1, 1), (2, 2), (3, 3)}
 
