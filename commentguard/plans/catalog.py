@@ -679,6 +679,7 @@ def q_to_payload(spark, sf):
 
 # ----------------------------------------------------------------- streaming
 from ..streaming import monitor as SM  # noqa: E402
+from ..streaming import session as SS  # noqa: E402
 from ..streaming import sinks as SK  # noqa: E402
 from . import streams as ST  # noqa: E402
 
@@ -715,6 +716,38 @@ def q_current_alert(spark, sf):
     return MO.current_alert(FX.flags(spark, sf), window_seconds=3600, rate_unit_seconds=3600)
 
 
+@query("q_stream_session", O.with_fx("fx_flags") + """, v AS (SELECT id, timestamp, is_hate FROM fx_flags
+        UNION ALL SELECT id, timestamp + INTERVAL 2 DAYS, NOT is_hate FROM fx_flags WHERE id % 3 = 0)
+    SELECT id, timestamp, is_hate FROM v WHERE timestamp > TIMESTAMP '2024-01-15 00:00:00'
+    QUALIFY row_number() OVER (PARTITION BY id ORDER BY timestamp DESC) = 1""")
+def q_stream_session(spark, sf):
+    """The monitor's session: every third event comes again two days later, corrected; a reset in between."""
+    f = FX.flags(spark, sf).withColumn("reset", F.lit(False))
+    late = f.where("id % 3 = 0").select("id", (F.col("timestamp") + F.expr("INTERVAL 2 DAYS")).alias("timestamp"), (~F.col("is_hate")).alias("is_hate"), "reset")
+    control = f.limit(1).select(F.lit(None).cast(f.schema["id"].dataType).alias("id"), F.lit(_MARK).cast("timestamp").alias("timestamp"),
+                                F.lit(None).cast("boolean").alias("is_hate"), F.lit(True).alias("reset"))
+    with SS.rocksdb(spark, idle_batches=False):
+        rows = ST.replay(spark, f.unionByName(late).unionByName(control), lambda s: SS.keep_last_session(s, ts="timestamp", shards=8),
+                         "session", "timestamp", sink_fn=_upsert)
+    return SS.session_view(rows, ts="timestamp")
+
+
+_LIVE_STEP = 900  # seconds
+
+
+@query("q_live_alert", O.with_fx("fx_flags") + f""", b AS (SELECT (floor(epoch_us(timestamp) / {_LIVE_STEP}000000) + 1)::BIGINT AS b,
+        sum(is_hate::BIGINT) AS n FROM fx_flags GROUP BY 1),
+    ticks AS (SELECT unnest(generate_series(min(b), max(b) - 1)) AS t FROM b),
+    w AS (SELECT t, coalesce(sum(n), 0)::BIGINT AS toxic FROM ticks LEFT JOIN b ON b.b > t - {3600 // _LIVE_STEP} AND b.b <= t GROUP BY t),
+    c AS (SELECT *, toxic > 5 AS alert, coalesce(lag(toxic) OVER (ORDER BY t) > 5, false) AS was FROM w)
+    SELECT 'all' AS key, make_timestamp(t * {_LIVE_STEP}000000) AS at, alert, toxic, toxic / 1.0::DOUBLE AS rate FROM c WHERE alert <> was""")
+def q_live_alert(spark, sf):
+    """When the alert goes on and, by timers, off: the last hour's toxic events every 15 minutes, gaps included."""
+    with SS.rocksdb(spark):
+        return ST.replay(spark, FX.flags(spark, sf), lambda s: SS.live_alert(
+            s, ts="timestamp", step=_LIVE_STEP, window_seconds=3600, rate_unit_seconds=3600), "live", "timestamp")
+
+
 @query("q_stream_dedup", O.with_fx("fx_flags") + "SELECT id, timestamp, is_hate FROM fx_flags")
 def q_stream_dedup(spark, sf):
     """Every event delivered twice; first arrival per id within a 31-day watermark."""
