@@ -2,8 +2,9 @@
 
 posterior(l) ~ P(text | l) * P(declared | l) * P(l | suffix) / P(l) * P(l | host)
 
-* text: byte-trigram model per language, fitted on at most ``sample_rows`` rows per declared
-  language (chosen by a hash of the text); overlapping trigrams count a third each;
+* text: byte-trigram model of every language that ``MIN_TEXTS`` texts declare, however small its share, fitted on at
+  most ``sample_rows`` rows per declared language (chosen by a hash of the text; 256 KB of model each), a thin one
+  leaning on all languages together; overlapping trigrams count a third each;
 * declared markup language: its reliability is the confusion of declared and text-only
   language over all rows, smoothed towards the overall shares;
 * address suffix and host: grouped counts of the text-only language over all rows, host
@@ -23,17 +24,21 @@ all rows; other columns pass through, the results are named ``lang_*``.
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from commentguard.llm.common import LOWER, carried, materialise, own_fields, own_names, read_table, row_slices, shown, small, text_bytes
+from commentguard.llm.common import LOWER, carried, materialise, own_fields, own_names, read_table, row_slices, shown, text_bytes
+from commentguard.sizing import maybe_broadcast
 
 SAMPLE_ROWS = 20_000
-MAX_LANGUAGES = 64
-MIN_SHARE = 0.001
+MIN_TEXTS = 5  # declared texts that a language needs for a model of its own, whatever its share
+LEAN = 200.0  # trigrams that a language borrows from all languages together
+_DENSE = 64  # up to so many languages a task counts in a table, beyond them in sorted pieces
 MIN_LETTERS = 1
 MIN_POSTERIOR = 0.5
 FLOOR = 4.0
@@ -41,7 +46,6 @@ FLOOR_LETTERS = 200  # shorter texts vary too much for the floor
 HOST_WEIGHT = 5.0
 SUFFIX_WEIGHT = 20.0
 _BUCKETS = 1 << 16
-_HOST_ROWS = 100_000
 RESULTS = ["lang_id", "lang_ok", "lang_posterior", "lang_best", "lang_letters", "lang_fit"]
 
 # Letters keep their (lower-cased) byte, everything else in ASCII is a blank.
@@ -67,16 +71,26 @@ def _trigrams(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return bucket[at], np.searchsorted(off, at, "right") - 1, letters
 
 
-def _count(languages: list[str]):
+def _count(languages: list[str], dense: int = _DENSE):
+    place = {x: j for j, x in enumerate(languages)}
+
+    def batch_of(cell: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n)], ["cell", "n"])
+
     def go(batches):
-        total = np.zeros((len(languages), _BUCKETS), np.int64)
+        total = np.zeros(len(languages) * _BUCKETS, np.int64) if len(languages) <= dense else None
         for batch in batches:
             for part in row_slices(batch, "text", 1 << 20):
                 bucket, row, _ = _trigrams(*text_bytes(part.column("text")))
-                k = np.array([languages.index(x) for x in part.column("lang").to_pylist()], np.int64)
-                total += np.bincount(k[row] * _BUCKETS + bucket, minlength=total.size).reshape(total.shape)
-        cell = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total.ravel()[cell])], ["cell", "n"])
+                k = np.array([place[x] for x in part.column("lang").to_pylist()], np.int64)
+                cells = k[row] * _BUCKETS + bucket
+                if total is None:
+                    yield batch_of(*np.unique(cells, return_counts=True))
+                else:
+                    total += np.bincount(cells, minlength=total.size)
+        if total is not None:
+            cell = np.flatnonzero(total)
+            yield batch_of(cell, total[cell])
     return go
 
 
@@ -96,27 +110,27 @@ class Model:
 def fit_text_model(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """From (text, declared) rows: counts of a bounded sample per declared language."""
     labelled = rows.where("declared is not null and text is not null")
-    found = labelled.groupBy("declared").count().orderBy(F.desc("count"), "declared").limit(MAX_LANGUAGES).collect()
-    total = sum(r["count"] for r in found)
-    found = [r for r in found if r["count"] >= MIN_SHARE * total]
+    # tags have two or three letters, so there is a bounded number of them
+    found = labelled.groupBy("declared").count().where(F.col("count") >= MIN_TEXTS).collect()
     languages = sorted(r["declared"] for r in found)
     if not languages:
         return Model([], np.zeros((0, _BUCKETS), np.float32), np.zeros(0))
-    rate = F.create_map(*[x for r in found for x in (F.lit(r["declared"]), F.lit(min(1.0, sample_rows / r["count"])))])
+    rate = F.from_json(F.lit(json.dumps({r["declared"]: min(1.0, sample_rows / r["count"]) for r in found})), "map<string,double>")
     share = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
     sample = labelled.where(F.col("declared").isin(languages)).where(share < rate[F.col("declared")])
     cells = (sample.select(F.col("declared").alias("lang"), "text").mapInArrow(_count(languages), "cell bigint, n bigint")
              .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())
-    count = np.zeros(len(languages) * _BUCKETS)
+    count = np.zeros(len(languages) * _BUCKETS, np.float32)
     count[cells["cell"].to_numpy()] = cells["n"].to_numpy()
     count = count.reshape(len(languages), _BUCKETS)
-    # rare buckets lean on their share over all languages
-    pooled = (count.sum(0) + 0.5) / (count.sum() + 0.5 * _BUCKETS)
-    lean = 50.0
-    p = (count + lean * pooled * len(languages)) / (count.sum(1, keepdims=True) + lean * len(languages))
-    logp = np.log(p)
-    own = (count * logp).sum(1) / np.maximum(count.sum(1), 1)
-    return Model(languages, logp.astype(np.float32), own)
+    # rare buckets, and thin languages as a whole, lean on the shares over all languages
+    pooled = (count.sum(0, dtype=float) + 0.5) / (count.sum(dtype=float) + 0.5 * _BUCKETS)
+    logp, own = np.empty_like(count), np.empty(len(languages))
+    for j, c in enumerate(count):
+        c = c.astype(float)
+        line = np.log((c + LEAN * pooled) / (c.sum() + LEAN))
+        logp[j], own[j] = line, (c * line).sum() / max(c.sum(), 1)
+    return Model(languages, logp, own)
 
 
 def _score(shared, keep: list[str], text: str):
@@ -202,7 +216,7 @@ def _identify(rows: DataFrame, keep: list[str], text: str, declared: F.Column |
     hosts = hosts.select("lang_host", F.when(F.col("lang_host") != "", F.col("host_n")).alias("host_n"),
                          F.when(F.col("domain_n").isNull(), p0).otherwise(smooth("domain_n", p0, F.lit(HOST_WEIGHT))).alias("domain_p"),
                          F.when(F.col("suffix_n").isNull(), p0).otherwise(smooth("suffix_n", p0, F.lit(SUFFIX_WEIGHT))).alias("suffix_p"))
-    hosts = small(materialise(hosts, "lang-hosts"), _HOST_ROWS)
+    hosts = maybe_broadcast(materialise(hosts, "lang-hosts"))
 
     out = scored(cols).join(hosts, "lang_host", "left")
     zero = array([0.0] * k)
@@ -210,8 +224,8 @@ def _identify(rows: DataFrame, keep: list[str], text: str, declared: F.Column |
     out = out.withColumn("lang_own", others)
     prior = smooth("lang_own", F.coalesce("domain_p", p0), F.lit(HOST_WEIGHT))
     out = out.withColumn("lang_prior", prior)
-    said = F.coalesce(F.element_at(F.create_map(*[x for d, j in place.items() for x in (F.lit(d), array(reliable[:, j]))]),
-                                   F.col("lang_declared")), zero)
+    table = F.from_json(F.lit(json.dumps({d: reliable[:, j].tolist() for d, j in place.items()})), "map<string,array<double>>")
+    said = F.coalesce(F.element_at(table, F.col("lang_declared")), zero)
     logs = F.zip_with(F.zip_with("lang_ll", said, lambda a, b: a + b),
                       F.zip_with("lang_prior", F.zip_with(F.coalesce("suffix_p", p0), p0, lambda a, b: F.log(a) - F.log(b)),
                                  lambda a, b: F.log(a) + b), lambda a, b: a + b)

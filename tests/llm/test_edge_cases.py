@@ -243,3 +243,26 @@ def test_toxicity_curve_sees_every_fold(spark, monkeypatch):
     assert toxicity.SAMPLE_WORDS == 4_000_000 and abs(share - 1 / 3) < 1e-9 and len(model.keys)
     # all toxic texts (the smaller class) and about as many others, not a fifth of them
     assert 150 <= seen[0] <= 250
+
+
+def test_rare_languages_have_models_of_their_own(spark):
+    """Eight French texts among 4,000: a share of 0.2 %, once too few for a model; and five of another language."""
+    import random
+    rnd = random.Random(2)
+    words = {"en": "the and of that with which this from have were their would there been when".split(),
+             "de": "und der die das nicht sich auch werden einer wurde über schon mehr können".split(),
+             "fr": "les des une qui dans pour est plus avec être même aussi cette après où déjà".split(),
+             "pl": "się nie jest przez który może także już tylko przed jego ją więc żeby być".split()}
+    n = {"en": 3000, "de": 1000, "fr": 8, "pl": 5}
+    data = [(lang, " ".join(rnd.choice(words[lang]) for _ in range(90))) for lang, k in n.items() for _ in range(k)]
+    docs = spark.createDataFrame([(i, t, lang, "s", len(t)) for i, (lang, t) in enumerate(data)], DOCS)
+    got = language.identify_documents(docs, ["doc_id", "lang"]).collect()
+    assert all(r["lang_ok"] and r["lang_id"] == r["lang"] for r in got) and len(got) == len(data)
+    counted = {}
+    for dense in (0, 64):
+        batch = pa.RecordBatch.from_pydict({"lang": [x for x, _ in data[:2990:7] + data[-13:]], "text": [t for _, t in data[:2990:7] + data[-13:]]})
+        for b in language._count(sorted(n), dense)([batch]):
+            for c, k in zip(*b.to_pydict().values()):
+                counted.setdefault(dense, {}).setdefault(c, 0)
+                counted[dense][c] += k
+    assert counted[0] == counted[64]
