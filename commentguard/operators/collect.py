@@ -6,32 +6,17 @@ steps over raw pages and comment threads already in tables.
 
 from __future__ import annotations
 
-import re
-
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import vocab as V
 from ..functions.text import normalise_url
 from ..sizing import maybe_broadcast
+from .markup import Selector, elements
 
 # Named HTML entities decoded in extracted text (as a browser shows it); numeric ones are decoded by rule.
 _ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
-_DROP_PATTERN = r"(?is)<script\b[^>]*>.*?</script>|<style\b[^>]*>.*?</style>|<!--.*?-->"
-_SELECTOR = re.compile(r"""^([A-Za-z][\w-]*)(?:\[([A-Za-z][\w:-]*)(?:=["']?([^"'\]]*)["']?)?\])?$""")
-
-
-def block_pattern(selector: str) -> str:
-    """Pattern of an element's content: "tag", "tag[attr]" or "tag[attr='value']"; tags and attribute names in any case."""
-    m = _SELECTOR.match(selector)
-    if not m:
-        raise ValueError(f"not a block selector: {selector!r}")
-    tag, attr, value = m.groups()
-    want = "" if attr is None else rf"(?=[^>]*\s{attr}\b)" if value is None else rf"""(?=[^>]*\s{attr}\s*=\s*["']?{re.escape(value)}["'\s>/])"""
-    return rf"(?is)<{tag}\b{want}[^>]*>(.*?)</{tag}>"
-
-
-_BLOCK_PATTERNS = [block_pattern("p"), block_pattern("li")]
 
 
 def decode_numeric(text: Column) -> Column:
@@ -47,22 +32,30 @@ def decode_numeric(text: Column) -> Column:
     return F.when(F.instr(text, "&#") > 0, decoded).otherwise(text)
 
 
+def _block_reader(selectors: tuple[str, ...], unclosed: bool):
+    wanted = [Selector.parse(x) for x in selectors]
+
+    @F.arrow_udf("array<string>")
+    def blocks(html: pa.Array) -> pa.Array:
+        return pa.array([elements(h, wanted, unclosed) if h is not None else None for h in html.cast(pa.binary()).to_pylist()], pa.list_(pa.string()))
+
+    return blocks
+
+
 def page_blocks(pages: DataFrame, phrases: DataFrame | None = None, url_col: str = "url",
-                html_col: str = "html", selectors: tuple[str, ...] = ("p", "li")) -> DataFrame:
-    """Text of each block that a selector names (``block_pattern``), tags removed, stripped; drop blanks and UI phrases; distinct per URL.
+                html_col: str = "html", selectors: tuple[str, ...] = ("p", "li"),
+                unclosed: bool = False) -> DataFrame:
+    """Text of each element that a selector names (``markup.elements``: nested, unclosed and void ones by rule),
+    tags removed, stripped; drop blanks and UI phrases; distinct per URL.
 
     URL hosts are normalised first (B11). ``phrases`` is a DataFrame(phrase);
-    default the fixed UI phrases.
+    default the fixed UI phrases. A page is scanned once, whatever the number of selectors.
     """
-    html = F.regexp_replace(F.col(html_col), _DROP_PATTERN, "")
-    blocks = F.concat(*[F.regexp_extract_all(html, F.lit(p), 1) for p in map(block_pattern, selectors)])
-    text = F.regexp_replace(F.col("block"), r"<[^>]*>", "")
-    text = decode_numeric(text)
+    out = pages.select(normalise_url(url_col).alias("url"), F.explode(_block_reader(selectors, unclosed)(F.col(html_col))).alias("block"))
+    text = decode_numeric(F.col("block"))
     for ent, ch in _ENTITIES:
         text = F.replace(text, F.lit(ent), F.lit(ch))
-    text = F.regexp_replace(text, V.EDGE_WHITESPACE, "")
-    out = pages.select(normalise_url(url_col).alias("url"), F.explode(blocks).alias("block")) \
-        .select("url", text.alias("cmt")).filter(F.col("cmt") != "")
+    out = out.select("url", F.regexp_replace(text, V.EDGE_WHITESPACE, "").alias("cmt")).filter(F.col("cmt") != "")
     if phrases is None:
         from ..sources.lexicon import local_table, PHRASE_SCHEMA
         phrases = local_table(pages.sparkSession, [(p,) for p in V.UI_PHRASES], PHRASE_SCHEMA)

@@ -557,16 +557,19 @@ def q_split_drift(spark, sf):
 
 
 # ---------------------------------------------------------------- collection
+# No paragraph or list item of the test pages holds another, so patterns find the same text.
+_DROPPED = r"(?is)<script\b[^>]*>.*?</script>|<style\b[^>]*>.*?</style>|<!--.*?-->"
+_BLOCK = r"(?is)<{0}\b[^>]*>(.*?)</{0}>"
 _PAGE_TEXT = "regexp_replace(b, '<[^>]*>', '', 'g')"
 for _ent, _ch in CL._ENTITIES:
     _PAGE_TEXT = f"replace({_PAGE_TEXT}, {_q(_ent)}, {_q(_ch)})"
 _PAGE_TEXT = f"regexp_replace({_PAGE_TEXT}, {_q(V.EDGE_WHITESPACE)}, '', 'g')"
-_PAGE_HTML = f"regexp_replace(html, {_q(CL._DROP_PATTERN)}, '', 'g')"
+_PAGE_HTML = f"regexp_replace(html, {_q(_DROPPED)}, '', 'g')"
 
 
 @query("q_page_blocks", f"""WITH b0 AS (SELECT regexp_replace(url, '://(mbasic|m)\\.', '://www.') AS url,
-        list_concat(regexp_extract_all({_PAGE_HTML}, {_q(CL._BLOCK_PATTERNS[0])}, 1),
-                    regexp_extract_all({_PAGE_HTML}, {_q(CL._BLOCK_PATTERNS[1])}, 1)) AS blocks FROM pages),
+        list_concat(regexp_extract_all({_PAGE_HTML}, {_q(_BLOCK.format("p"))}, 1),
+                    regexp_extract_all({_PAGE_HTML}, {_q(_BLOCK.format("li"))}, 1)) AS blocks FROM pages),
     b1 AS (SELECT url, unnest(blocks) AS b FROM b0),
     b2 AS (SELECT url, {_PAGE_TEXT} AS cmt FROM b1)
     SELECT DISTINCT url, cmt FROM b2 WHERE cmt <> '' AND cmt NOT IN ({", ".join(_q(p) for p in V.UI_PHRASES)})""")
