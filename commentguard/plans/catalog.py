@@ -680,6 +680,66 @@ def q_to_payload(spark, sf):
                      .alias("payload"))
 
 
+# ------------------------------------------------------------ files in and out
+from ..sources import lexicon as LX  # noqa: E402
+from ..sources import tables as TB  # noqa: E402
+
+
+def _folder(spark, name):
+    from . import streams
+    return streams.run_dir(spark, name)
+
+
+@query("q_read_urls", "SELECT url FROM pages WHERE url IS NOT NULL")
+def q_read_urls(spark, sf):
+    """A5: a URL list with a header and another column, written from the pages' addresses."""
+    path = _folder(spark, "urls")
+    FX.table(spark, sf, "pages").where("url is not null").select("page_id", "url").write.option("header", True).csv(path)
+    return TB.read_urls(spark, path)
+
+
+@query("q_read_lines", "SELECT url AS word FROM pages WHERE trim(url) <> ''")
+def q_read_lines(spark, sf):
+    """A line file with blanks around entries and blank lines between them."""
+    path = _folder(spark, "lines")
+    lines = FX.table(spark, sf, "pages").where("trim(url) <> ''").select(F.explode(F.array(F.concat(F.lit("  "), "url", F.lit("\t ")), F.lit(" \t"), F.lit(""))))
+    lines.write.text(path)
+    return LX.read_lines(spark, path)
+
+
+@query("q_append_csv", "SELECT c_custkey AS id, c_name || ', \"' || c_mktsegment || '\"' AS name FROM customer")
+def q_append_csv(spark, sf):
+    """Two appends to one CSV folder, with commas and quotes in the values, read back."""
+    path = _folder(spark, "csv")
+    rows = FX.table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.concat("c_name", F.lit(', "'), "c_mktsegment", F.lit('"')).alias("name"))
+    for k in range(2):
+        TB.append_csv(rows.where(F.col("id") % 2 == k), path)
+    return spark.read.schema(rows.schema).option("header", True).option("escape", "\\").csv(path)
+
+
+@query("q_load_lexicon", """SELECT user_id::VARCHAR AS abbr, event_id::VARCHAR AS "full" FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id % 3 DESC, event_id DESC) = 1""")
+def q_load_lexicon(spark, sf):
+    """A lexicon in three files whose keys repeat: the later line of the later file wins."""
+    base = _folder(spark, "lexicon")
+    for k in range(3):
+        FX.table(spark, sf, "events").where(F.col("event_id") % 3 == k).select(F.col("user_id").alias("abbr"), F.col("event_id").alias("full")) \
+            .coalesce(1).sortWithinPartitions("full").write.option("header", True).csv(f"{base}/part{k}")
+    return LX.load_lexicon(spark, f"{base}/*")
+
+
+@query("q_label_vocab", """WITH v AS (SELECT row_number() OVER (ORDER BY name) - 1 AS idx, name FROM (SELECT DISTINCT event_type AS name FROM events))
+    SELECT idx::BIGINT AS idx, name, (SELECT count(*) FROM events e WHERE e.event_type = v.name) AS n FROM v""")
+def q_label_vocab(spark, sf):
+    """The vocabulary of event types, in order, written as a file, read back and counted."""
+    path, ev = _folder(spark, "vocab"), FX.table(spark, sf, "events")
+    names = [r[0] for r in ev.select("event_type").distinct().orderBy("event_type").collect()]  # a vocabulary
+    LX.write_label_vocab(spark, path, names)
+    vocab = spark.read.schema("idx long, name string").json(path)
+    counts = ev.groupBy(F.col("event_type").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    return vocab.join(counts, "name", "left").select("idx", "name", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 # ----------------------------------------------------------------- streaming
 from ..streaming import monitor as SM  # noqa: E402
 from ..streaming import session as SS  # noqa: E402
@@ -753,9 +813,9 @@ def q_live_alert(spark, sf):
 
 @query("q_stream_dedup", O.with_fx("fx_flags") + "SELECT id, timestamp, is_hate FROM fx_flags")
 def q_stream_dedup(spark, sf):
-    """Every event delivered twice; first arrival per id within a 31-day watermark."""
+    """Every event delivered again ten days later, so in another micro-batch; first arrival per id within a 31-day watermark."""
     f = FX.flags(spark, sf)
-    twice = f.unionByName(f)
+    twice = f.unionByName(f.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 10 DAYS")))
     return ST.replay(spark, twice, lambda s: SM.dedup_ids(s, ts="timestamp", delay="31 days"), "dedup", "timestamp")
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import logging
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,11 +54,17 @@ def keep_last(df: DataFrame, key: str, order: str) -> DataFrame:
     return best.select("r.*")
 
 
+def line_order() -> Column:
+    """Place of a line among those of all files read: by path, split and, within a split (one task), line."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("line"))
+
+
 def load_lexicon(spark: SparkSession, path: str | None = None, header: bool = True) -> DataFrame:
     """Abbreviation lexicon from a two-column CSV; a missing file -> empty, with a warning.
 
     Both columns are read as strings (the reference casts them); when a key
-    repeats, the later line wins (file order, then line order).
+    repeats, the later line wins (files by path, lines by place).
     """
     if not path:
         return spark.createDataFrame([], ABBREV_SCHEMA)
@@ -67,8 +73,8 @@ def load_lexicon(spark: SparkSession, path: str | None = None, header: bool = Tr
         raw = raw.select(
             raw.columns[0] if len(raw.columns) > 0 else F.lit(None),
             raw.columns[1] if len(raw.columns) > 1 else F.lit(None),
-        ).toDF("abbr", "full")
-        raw = raw.withColumn("ord", F.monotonically_increasing_id())
+            line_order(),
+        ).toDF("abbr", "full", "ord")
         raw = raw.select(
             F.coalesce(F.col("abbr"), F.lit("nan")).alias("abbr"),
             F.coalesce(F.col("full"), F.lit("nan")).alias("full"),
@@ -108,27 +114,26 @@ def compounds_from_file(spark: SparkSession, path: str) -> DataFrame:
     return read_lines(spark, path, "phrase").distinct()
 
 
-def with_line_index(df: DataFrame, col: str = "line_idx") -> DataFrame:
-    """Consecutive 0-based index in read order, computed without a single-task window.
+def with_line_index(df: DataFrame, col: str = "line_idx", files: bool = False) -> DataFrame:
+    """Consecutive 0-based index in read order, or with ``files`` (a file scan) by path and place in the file,
+    computed without a single-task window.
 
-    ``monotonically_increasing_id`` holds the partition in its upper bits and the
-    position inside the partition in the lower 33; per-partition row counts (one
-    row per partition) give each partition's offset.
+    Rows of a partition, or of a split, are numbered in their task; counts of them (one row each) give their offsets.
     """
     mid = F.monotonically_increasing_id()
-    df = df.withColumn("__mid", mid) \
-        .withColumn("__pid", F.shiftright("__mid", 33)) \
-        .withColumn("__pos", F.col("__mid").bitwiseAND((1 << 33) - 1)).drop("__mid")
-    counts = df.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    df = df.select("*", (line_order() if files else F.struct(
+        F.lit("").alias("file"), F.shiftright(mid, 33).alias("block"), mid.alias("line"))).alias("__at"))
+    split = [F.col("__at.file").alias("__file"), F.col("__at.block").alias("__block")]
+    counts = df.groupBy(*split).agg(F.count(F.lit(1)).alias("__n"), F.min("__at.line").alias("__first"))
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(
-        Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row per partition
-    return df.join(offsets.select("__pid", "__off"), "__pid") \
-        .withColumn(col, F.col("__off") + F.col("__pos")).drop("__pid", "__pos", "__off")
+        Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")  # one row per split
+    df = df.join(offsets, (F.col("__at.file") == F.col("__file")) & (F.col("__at.block") == F.col("__block")))
+    return df.withColumn(col, F.col("__off") + F.col("__at.line") - F.col("__first")).drop("__at", "__file", "__block", "__off", "__first")
 
 
 def tag_table(spark: SparkSession, path: str) -> DataFrame:
     """M13: 'raw-accented' lines -> (tag_idx, raw, accented); tag_idx is the line number from 0."""
-    df = with_line_index(spark.read.text(path), "tag_idx")
+    df = with_line_index(spark.read.text(path), "tag_idx", files=True)
     return tag_table_from(df.select("tag_idx", F.col("value").alias("name")))
 
 

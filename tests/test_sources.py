@@ -75,3 +75,14 @@ def test_tag_table_line_numbers(spark, folder):
     assert len(got) == len(lines) and got[1] == ("a", "à") and got[302] == ("x299", "y299")
     idx = LX.with_line_index(spark.range(1000).repartition(5).sortWithinPartitions("id"))
     assert sorted(r["line_idx"] for r in idx.collect()) == list(range(1000))
+
+
+def test_lines_of_several_files_keep_their_place(spark, tmp_path):
+    from commentguard.sources import lexicon as LX
+    for name, lines in (("b", ["b-1", "b-2", "k,late"]), ("a", ["a-1", "a-2", "a-3", "k,early"])):
+        (tmp_path / f"{name}.csv").write_text("abbr,full\n" + "\n".join(lines) + "\n")
+    import os
+    os.utime(tmp_path / "a.csv")  # the newer file, yet the first by path
+    got = {r["tag_idx"]: r["raw"] for r in LX.tag_table(spark, str(tmp_path)).collect()}
+    assert [got[k] for k in sorted(got)] == [None, "a", "a", "a", None, None, "b", "b", None] and sorted(got) == list(range(9))
+    assert {r["abbr"]: r["full"] for r in LX.load_lexicon(spark, str(tmp_path)).collect()}["k"] == "late"
