@@ -4,10 +4,13 @@ Equal vectors of a label form one class; only classes are compared. Two codebook
 k-means on the two halves of at most ``SAMPLE`` unit vectors (classes chosen by hash), form a
 product grid of cells; every class is indexed in the cell of its two nearest codewords. Each
 class then visits cells of its label in the order of a multi-sequence traversal (nearest sum of
-the two half distances first). How many cells are visited is calibrated: for ``CALIBRATION``
-classes all true neighbours are found by brute force over the whole index, and the visits are
-the fewest (``MIN_VISITS`` at least) that reach ``RECALL`` of them. All classes of a visited cell are verified by cosine
-in double precision.
+the two half distances first). How many cells are visited is calibrated twice over, and the greater
+number counts. For ``CALIBRATION`` classes all true neighbours are found by brute force over the whole
+index, and the visits must reach ``RECALL`` of them. Because a table may hold hardly any pair, the same
+classes also get ``PLANTED`` neighbours each, planted in random directions at a cosine of exactly the
+threshold, the hardest there are, and the visits must reach ``PLANTED_RECALL`` of those. There is no
+upper limit: where the recall asks for it, all cells of the label are visited. All classes of a visited
+cell are verified by cosine in double precision.
 
 A pair is looked for from the class with the lesser key only, so it is counted once. Cells and
 their visitors are cut into parts of at most about ``PART`` rows; each pair of parts is a group
@@ -15,7 +18,10 @@ of its own. Tasks return link counts and a spanning forest, not pairs.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components, and vectors
 with a null label, link with nothing and are components of their own; vectors of unlike
-length never link; repeated rows and ids count as vectors each; an empty table gives an empty result.
+length never link; very long vectors and components of any finite size are compared like others (each
+vector is scaled by a power of two first); cells at equal distances are visited in the order of their
+codewords; repeated rows and ids count as vectors each; an empty table gives an empty result. Only the
+columns named are read, so others may have any name.
 """
 
 from __future__ import annotations
@@ -34,6 +40,8 @@ THRESHOLD = 0.93
 SAMPLE = 20_000
 CALIBRATION = 400
 RECALL = 0.9999
+PLANTED = 8
+PLANTED_RECALL = 0.99
 MIN_VISITS = 4
 CELL_ROWS = 64  # classes per grid cell over all labels, on average
 MAX_WORDS = 256
@@ -43,6 +51,7 @@ _SMALL_ROWS = 200_000
 
 def _unit(blobs: list[bytes]) -> np.ndarray:
     x = np.frombuffer(b"".join(blobs), np.float64).reshape(len(blobs), -1)
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -90,6 +99,17 @@ class Grid:
         first = near.argsort(1, kind="stable")[:, :count]
         return np.take_along_axis(o1[:, a] * MAX_WORDS + o2[:, b], first, 1)
 
+    @staticmethod
+    def ranks(d1: np.ndarray, d2: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """How many cells each vector (a row of half distances) visits before its given cell, those at the same distance included."""
+        first, second = np.divmod(cells, MAX_WORDS)
+        out = np.empty(len(cells), np.int64)
+        for k in range(0, len(cells), 64):
+            near = d1[k:k + 64, :, None] + d2[k:k + 64, None, :]
+            own = near[np.arange(len(near)), first[k:k + 64], second[k:k + 64]]
+            out[k:k + 64] = (near <= own[:, None, None]).sum((1, 2)) - 1
+        return out
+
 
 def _by_size(batch: pa.RecordBatch, limit: int = 4096):
     """Rows of a batch by vector length, in pieces: (row numbers, unit vectors)."""
@@ -117,7 +137,7 @@ def _probe(shared, count: int):
     def go(batches):
         grid = shared.value
         for batch in batches:
-            for at, x in _by_size(batch):
+            for at, x in _by_size(batch, max(1, min(4096, (1 << 22) // count))):
                 cells = grid.visits(x, count)
                 rows = pa.array(np.repeat(at, cells.shape[1]))
                 yield pa.RecordBatch.from_arrays([batch.column("node").take(rows), batch.column("label").take(rows),
@@ -128,7 +148,7 @@ def _probe(shared, count: int):
 def _true_ranks(shared):
     """For calibration queries against all classes of the batch: how often a true neighbour's cell is visited at each rank."""
     def go(batches):
-        grid, queries, order = shared.value
+        grid, queries, halves = shared.value
         for batch in batches:
             label = np.array(batch.column("label").to_pylist(), object)
             node = np.array(batch.column("node").to_pylist(), object)
@@ -141,9 +161,9 @@ def _true_ranks(shared):
                         continue
                     i, j = np.nonzero(q @ x[mine].T >= THRESHOLD)
                     other = np.array([names[a] != node[at[mine[b]]] for a, b in zip(i, j)], bool)
-                    for a, b in zip(i[other], j[other]):
-                        r = order[key][a].get(int(cell[mine[b]]), -1)
-                        found[r] = found.get(r, 0) + 1
+                    asked, n = np.unique(np.stack([i[other], cell[mine[j[other]]]], 1), axis=0, return_counts=True)
+                    for r, times in zip(grid.ranks(*(d[asked[:, 0]] for d in halves[key]), asked[:, 1]).tolist(), n.tolist()):
+                        found[r] = found.get(r, 0) + times
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array(list(found.values()), pa.int64())], ["rank", "n"])
     return go
@@ -166,31 +186,46 @@ def fit_grid(classes: DataFrame, n: int) -> Grid:
     return Grid(books)
 
 
-def calibrate(classes: DataFrame, grid: Grid, n: int, recall: float = RECALL) -> tuple[int, float]:
-    """Fewest visits that reach the recall on a sample of queries against the whole index, and the recall reached."""
+def _planted(unit: np.ndarray, times: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Each unit vector so often, with a neighbour at a cosine of the threshold in a random direction."""
+    x = np.repeat(unit, times, 0)
+    side = rng.standard_normal(x.shape)
+    side -= (side * x).sum(1, keepdims=True) * x
+    side /= np.maximum(np.linalg.norm(side, axis=1, keepdims=True), 1e-300)
+    return x, THRESHOLD * x + math.sqrt(1 - THRESHOLD ** 2) * side
+
+
+def _fewest(count: np.ndarray, recall: float) -> int:
+    """Fewest visits that reach the recall, given how many neighbours lie at each rank."""
+    return int(np.argmax(np.cumsum(count) >= recall * count.sum())) + 1 if count.sum() else 1
+
+
+def calibrate(classes: DataFrame, grid: Grid, n: int, recall: float = RECALL, planted_recall: float = PLANTED_RECALL) -> tuple[int, float]:
+    """Fewest visits that reach both recalls on a sample of queries, and the lesser recall reached (true or planted neighbours)."""
     sc = classes.sparkSession.sparkContext
     rate = min(1.0, CALIBRATION / max(n, 1))
     rows = classes.where(F.pmod(F.xxhash64(F.lit(8), "node"), F.lit(1 << 30)) < rate * (1 << 30)).select("node", "label", "vec").collect()
     groups: dict[tuple, tuple[list, list]] = {}
-    for r in rows:
+    for r in sorted(rows, key=lambda r: bytes(r["node"])):
         names, blobs = groups.setdefault((r["label"], len(r["vec"]) // 8), ([], []))
         names.append(bytes(r["node"]))
         blobs.append(bytes(r["vec"]))
     queries = {key: (names, _unit(blobs)) for key, (names, blobs) in groups.items()}
-    most = max((len(a) * len(b) for a, b in grid.books.values()), default=1)
-    cells = min(most, 1024)
-    order = {key: [{int(c): r for r, c in enumerate(v)} for v in grid.visits(q, cells)] for key, (_, q) in queries.items()}
-    got = classes.select("node", "label", "vec").mapInArrow(_true_ranks(sc.broadcast((grid, queries, order))), "rank int, n bigint") \
+    halves = {key: grid.halves(q) for key, (_, q) in queries.items()}
+    cells = max((len(a) * len(b) for a, b in grid.books.values()), default=1)
+    true, planted = np.zeros(cells, np.int64), np.zeros(cells, np.int64)
+    got = classes.select("node", "label", "vec").mapInArrow(_true_ranks(sc.broadcast((grid, queries, halves))), "rank int, n bigint") \
         .groupBy("rank").agg(F.sum("n").alias("n")).collect()
-    count = np.zeros(cells + 1)
     for r in got:
-        count[r["rank"]] += r["n"]  # -1: beyond the cells looked at
-    if not count.sum():
-        return min(16, cells), 1.0
-    reached = np.cumsum(count[:-1]) / count.sum()
-    good = np.flatnonzero(reached >= recall)
-    visits = max(int(good[0]) + 1, min(MIN_VISITS, cells)) if len(good) else cells
-    return visits, float(reached[visits - 1])
+        true[r["rank"]] += r["n"]
+    rng = np.random.default_rng(9)
+    for _, unit in queries.values():
+        if unit.shape[1] > 1:  # in one dimension there is no direction to move in
+            x, y = _planted(unit, PLANTED, rng)
+            np.add.at(planted, grid.ranks(*grid.halves(x), grid.cell(y)), 1)
+    visits = min(cells, max(MIN_VISITS, _fewest(true, recall), _fewest(planted, planted_recall)))
+    reached = [float(c[:visits].sum() / c.sum()) for c in (true, planted) if c.sum()]
+    return visits, min(reached, default=1.0)
 
 
 def _labels(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -91,6 +91,24 @@ def test_op2_finds_planted_groups(spark):
     assert sum(r["n_links"] for r in got) >= 0.99 * sum(want.values()) and all(r["n_links"] <= want[r["vec_id"]] for r in got)
 
 
+def test_op2_finds_rare_pairs(spark):
+    """Hardly any pair in the table, and none among the calibration classes: the recall is measured on planted neighbours."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(6000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for k in range(60):
+        side = rng.normal(size=64)
+        side -= side @ x[k] * x[k]
+        c = 0.931 + 0.019 * k / 60
+        x[3000 + k] = c * x[k] + np.sqrt(1 - c * c) * side / np.linalg.norm(side)
+    df = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = embedding_dedup.near_duplicates(df).collect()
+    assert got[0]["recall"] >= embedding_dedup.PLANTED_RECALL and got[0]["visits"] > embedding_dedup.MIN_VISITS
+    linked = {r["vec_id"] for r in got if r["n_links"]}
+    assert linked <= set(range(60)) | set(range(3000, 3060)) and len(linked) >= 2 * 58
+    assert all(r["component_id"] == r["vec_id"] - 3000 for r in got if r["vec_id"] in linked and r["vec_id"] >= 3000)
+
+
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 
 

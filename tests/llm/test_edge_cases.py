@@ -206,6 +206,12 @@ def test_embedding_edges(spark):
     assert links[0] == links[1] == (3, 0) and links[11] == (3, 0)
     assert all(links[i] == (0, i) for i in (2, 3, 4, 5, 6, 7, 8, 9, 10, 12))
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
+    # components of any size, a very long vector, ties, and extra columns with clashing names
+    far = [(0, [1e200, 1e200], 1), (1, [1e-200, 1e-200], 1), (2, [1e200, -1e200], 1), (3, [1e-310, 1.1e-310], 1),
+           (4, [1.0] * 50_000, 1), (5, [1.0] * 49_999 + [1.5], 1), (6, [1e308] * 50_000, 2)]
+    df = spark.createDataFrame([(*r, "x", 7, b"y") for r in far], "vec_id long, embedding array<double>, label int, node string, cell int, vec binary")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicates(df).collect()}
+    assert got == {0: (2, 0), 1: (2, 0), 2: (0, 2), 3: (2, 0), 4: (1, 4), 5: (1, 4), 6: (0, 6)}
 
 
 def test_warc_edges(spark, tmp_path):
