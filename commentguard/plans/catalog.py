@@ -556,6 +556,18 @@ def q_split_drift(spark, sf):
     return _rnd(SP.split_drift(s), ["share"])
 
 
+@query("q_iterative_split", O.with_fx("fx_logits") + """, sets AS (SELECT id, coalesce(array_to_string(list_filter(
+        list_transform(range(len(truth)), i -> CASE WHEN truth[i + 1] = 1 THEN CAST(i AS VARCHAR) END), x -> x IS NOT NULL), ','), '') AS label_set
+        FROM fx_logits)
+    SELECT id, label_set, count(*) OVER (PARTITION BY label_set) AS set_rows, true AS even FROM sets""")
+def q_iterative_split(spark, sf):
+    """exact are the label sets and that no set's split is off its share by as many rows as there are splits."""
+    s = SP.iterative_split(FX.logits(spark, sf).select("id", "truth"))
+    counts = s.groupBy("label_set").agg(F.count(F.lit(1)).alias("set_rows"), *[F.count_if(F.col("split") == k).alias(k) for k in ("train", "dev", "test")])
+    off = [F.abs(F.col(k) - share * F.col("set_rows")) < 3 for k, share in (("train", 0.8), ("dev", 0.1), ("test", 0.1))]
+    return s.join(counts, "label_set").select("id", "label_set", "set_rows", (off[0] & off[1] & off[2]).alias("even"))
+
+
 # ---------------------------------------------------------------- collection
 # No paragraph or list item of the test pages holds another, so patterns find the same text.
 _DROPPED = r"(?is)<script\b[^>]*>.*?</script>|<style\b[^>]*>.*?</style>|<!--.*?-->"
