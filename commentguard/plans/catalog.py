@@ -556,9 +556,10 @@ def q_split_drift(spark, sf):
     return _rnd(SP.split_drift(s), ["share"])
 
 
-@query("q_iterative_split", O.with_fx("fx_logits") + """, sets AS (SELECT id, coalesce(array_to_string(list_filter(
-        list_transform(range(len(truth)), i -> CASE WHEN truth[i + 1] = 1 THEN CAST(i AS VARCHAR) END), x -> x IS NOT NULL), ','), '') AS label_set
-        FROM fx_logits)
+@query("q_iterative_split", O.with_fx("fx_logits") + """, long AS (SELECT id, unnest(truth) AS y,
+        generate_subscripts(truth, 1) - 1 AS idx FROM fx_logits),
+    carried AS (SELECT id, string_agg(CAST(idx AS VARCHAR), ',' ORDER BY idx) AS labels FROM long WHERE y = 1 GROUP BY id),
+    sets AS (SELECT x.id, coalesce(c.labels, '') AS label_set FROM fx_logits x LEFT JOIN carried c ON c.id = x.id)
     SELECT id, label_set, count(*) OVER (PARTITION BY label_set) AS set_rows, true AS even FROM sets""")
 def q_iterative_split(spark, sf):
     """exact are the label sets and that no set's split is off its share by as many rows as there are splits."""
