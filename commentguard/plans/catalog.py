@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from .. import vocab as V
 from ..functions import scores as S
 from ..functions import text as TX
-from ..operators import collect as CL
+from ..operators import accents as AC, collect as CL
 from ..operators import metrics as M
 from ..operators import monitor as MO
 from ..operators import scoring as SC
@@ -676,6 +676,28 @@ def q_restore_accents(spark, sf):
     return TG.restore_accents(FX.comments(spark, sf), text_col="cmt")
 
 
+@query("q_accent_pairs", f"""WITH base AS (SELECT doc_id AS id, {O.offline_text_sql('text')} AS t FROM documents),
+    split AS (SELECT id, unnest(string_split(t, ' ')) AS w, generate_subscripts(string_split(t, ' '), 1) AS pos FROM base),
+    toks AS (SELECT id, w, pos, row_number() OVER (PARTITION BY id ORDER BY pos DESC) AS from_end FROM split WHERE w <> ''),
+    near AS (SELECT lag(w, 1, '') OVER (PARTITION BY id ORDER BY pos) AS a, w AS b FROM toks
+        UNION ALL SELECT w, '' FROM toks WHERE from_end = 1),
+    known AS (SELECT DISTINCT translate(w, {_q(TG.FOLD_FROM)}, {_q(TG.FOLD_TO)}) AS folded FROM toks
+        WHERE translate(w, {_q(TG.FOLD_FROM)}, {_q(TG.FOLD_TO)}) <> w),
+    counts AS (SELECT translate(a, {_q(TG.FOLD_FROM)}, {_q(TG.FOLD_TO)}) AS fa,
+        translate(b, {_q(TG.FOLD_FROM)}, {_q(TG.FOLD_TO)}) AS fb, a, b, count(*) AS n FROM near GROUP BY ALL)
+    SELECT * FROM counts WHERE fa IN (SELECT folded FROM known) OR fb IN (SELECT folded FROM known)""")
+def q_accent_pairs(spark, sf):
+    """The counts that restoration in context learns."""
+    docs = FX.comments(spark, sf)
+    return AC.pair_counts(docs, AC.fit_accents(docs, "cmt").forms, "cmt")
+
+
+@query("q_restore_context")
+def q_restore_context(spark, sf):
+    """B25 in context, learned from and applied to all documents; tests/test_accents.py tries every choice of forms."""
+    return AC.restore_in_context(FX.comments(spark, sf), text_col="cmt")
+
+
 # ------------------------------------------------------------------- payload
 @query("q_parse_payload", "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
 def q_parse_payload(spark, sf):
