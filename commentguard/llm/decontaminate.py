@@ -5,7 +5,9 @@ vocabulary (0 for any other word and at document ends), and the suffixes that ca
 whole window are sorted into a suffix array. Each suffix of each benchmark item is then
 binary-searched, which gives the range of all locations where its window (``window`` words;
 a shorter item is one window) occurs. Hits that follow each other on one diagonal are the
-longest verbatim matches. Leaving out suffixes that run into a word the benchmark does not
+longest verbatim matches: those inside no other match of the same document and item. In an item
+that repeats a window, a place lies on many diagonals; there a suffix automaton of the item reads the
+document's run of hits once, so that time and memory follow the words, not their product. Leaving out suffixes that run into a word the benchmark does not
 have loses nothing: no window can occur there.
 
 The benchmark is cut into blocks of at most ``block_words`` words (an item stays whole), each
@@ -15,7 +17,8 @@ single block; for several, the rows are written once with a number each, on whic
 Defined cases: null and empty texts have no words, no hits and are clean; items without words
 occur nowhere; an item with a null id marks words but is not listed; repeated document rows
 are judged row by row; repeated items count once; empty tables give empty or clean results;
-columns of the documents pass through, the results are named ``hit_*``.
+very long texts are read whole, in slices of rows; columns of the documents pass through, whatever
+their names, the results are named ``hit_*``; matches of equal start are listed by item.
 """
 
 from __future__ import annotations
@@ -33,6 +36,8 @@ from commentguard.llm.common import ALNUM, Words, carried, materialise, own_fiel
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
+_LINES = 1 << 21  # (place, item) lines worked on at once, or one document
+_AUTOMATA = 100_000  # words of items whose automata are kept
 _MATCH = "array<struct<item:string,start:int,length:int>>"
 
 
@@ -45,6 +50,47 @@ def _item_words(batches):
                                              ["item", "n", "words"])
 
 
+class Automaton:
+    """Suffix automaton of one item's words: the states of all its passages."""
+
+    def __init__(self, words: list[int]):
+        self.next, self.link, self.size = [{}], [-1], [0]
+        last = 0
+        for x in words:
+            state, at = self._add({}, 0, self.size[last] + 1), last
+            while at >= 0 and x not in self.next[at]:
+                self.next[at][x] = state
+                at = self.link[at]
+            if at >= 0:
+                to = self.next[at][x]
+                if self.size[to] > self.size[at] + 1:  # passages of two lengths part here
+                    short = self._add(dict(self.next[to]), self.link[to], self.size[at] + 1)
+                    while at >= 0 and self.next[at].get(x) == to:
+                        self.next[at][x] = short
+                        at = self.link[at]
+                    self.link[to] = to = short
+                self.link[state] = to
+            last = state
+
+    def _add(self, moves: dict[int, int], link: int, size: int) -> int:
+        self.next.append(moves)
+        self.link.append(link)
+        self.size.append(size)
+        return len(self.next) - 1
+
+    def longest(self, words: list[int]) -> np.ndarray:
+        """Length of the longest passage of the item that ends at each word."""
+        out, state, length = np.zeros(len(words), np.int64), 0, 0
+        for i, x in enumerate(words):
+            while state > 0 and x not in self.next[state]:
+                state = self.link[state]
+                length = self.size[state]
+            if x in self.next[state]:
+                state, length = self.next[state][x], length + 1
+            out[i] = length
+        return out
+
+
 class Searcher:
     """One block of the benchmark, ready to be searched for in shards."""
 
@@ -76,12 +122,26 @@ class Searcher:
             top[np.arange(window)[None, :] >= self.len[:, None]] = 0xFFFFFFFF
             self.high = np.ascontiguousarray(top).view(f"S{4 * window}").ravel()
             order = np.argsort(inv, kind="stable")
-            self.use_at, self.use_of = np.concatenate(at)[order], np.concatenate(of)[order]
-            self.use = np.searchsorted(inv[order], np.arange(len(self.low) + 1))
+            use_at, use_of, use_win = np.concatenate(at)[order], np.concatenate(of)[order], inv[order]
+            # each item once per window
+            new = np.append(True, (np.diff(use_win) != 0) | (np.diff(use_of) != 0))
+            self.loops = np.zeros(len(items), bool)
+            self.loops[use_of[~new]] = True
+            self.use_at, self.use_of = use_at[new], use_of[new]
+            self.use = np.searchsorted(use_win[new], np.arange(len(self.low) + 1))
+            self.words, self.automata, self.kept = words, {}, 0
             self.least = int(self.len.min())
         else:
             self.low = np.zeros(0, f"S{4 * window}")
 
+    def automaton(self, item: int) -> Automaton:
+        if item not in self.automata:
+            if self.kept > _AUTOMATA:
+                self.automata, self.kept = {}, 0
+            self.automata[item] = Automaton(self.words[item].tolist())
+            self.kept += len(self.words[item])
+        return self.automata[item]
+
     def hits(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
         """(word position, searched window) of every occurrence in the shard."""
         none = np.zeros(0, np.int64)
@@ -126,6 +186,27 @@ def _scan(block, keep: list[str], window: int, text: str):
 _NEW = ["hit_words", "hit_spans", "hit_items", "hit_matches"]
 
 
+def _matches(s: Searcher, w: Words, row_of: np.ndarray, pos: np.ndarray, win: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, words, item) of the longest matches behind the hits of some documents."""
+    # one line for each item that has the window at a place
+    count = s.use[win + 1] - s.use[win]
+    at = np.repeat(s.use[win], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    p, size, item = np.repeat(pos, count), np.repeat(s.len[win], count), s.use_of[at]
+    diag = np.where(s.loops[item], 0, p - s.use_at[at])
+    order = np.lexsort((p, diag, item, row_of[p]))
+    p, size, item, diag = (x[order] for x in (p, size, item, diag))
+    new = np.append(True, (np.diff(row_of[p]) != 0) | (np.diff(item) != 0) | (np.diff(diag) != 0) | (np.diff(p) != 1))
+    head = np.flatnonzero(new)
+    start, length, item = p[head], p[np.append(head[1:], len(p)) - 1] + size[head] - p[head], item[head]
+    loops = s.loops[item]
+    out = [(start[~loops], length[~loops], item[~loops])]
+    for a, n, k in zip(start[loops], length[loops], item[loops]):
+        ending = s.automaton(int(k)).longest(w.hash[a:a + n].tolist())
+        stop = np.flatnonzero((np.append(ending[1:], 0) != ending + 1) & (ending >= s.window))
+        out.append((a + stop + 1 - ending[stop], ending[stop], np.full(len(stop), k)))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
 def _judge(s: Searcher, texts: pa.Array) -> list[pa.Array]:
     w = Words(texts, ALNUM)
     pos, win = s.hits(w)
@@ -136,25 +217,25 @@ def _judge(s: Searcher, texts: pa.Array) -> list[pa.Array]:
         np.add.at(mark, pos, 1)
         np.add.at(mark, pos + s.len[win], -1)
         row_of = w.of()
-        # one line for each window of an item that occurs at a place
-        count = s.use[win + 1] - s.use[win]
-        at = np.repeat(s.use[win], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        p, size = np.repeat(pos, count), np.repeat(s.len[win], count)
-        item, diag = s.use_of[at], p - s.use_at[at]
-        doc = row_of[p]
-        order = np.lexsort((p, diag, item, doc))
-        p, size, item, diag, doc = (x[order] for x in (p, size, item, diag, doc))
-        new = np.ones(len(p), bool)
-        new[1:] = (np.diff(doc) != 0) | (np.diff(item) != 0) | (np.diff(diag) != 0) | (np.diff(p) != 1)
-        head = np.flatnonzero(new)
-        length = p[np.append(head[1:], len(p)) - 1] + size[head] - p[head]
-        cut = np.flatnonzero(np.append(True, np.diff(doc[head]) != 0))
-        for a, b in zip(cut, np.append(cut[1:], len(head))):
-            d = doc[head[a]]
-            names = [s.items[k] for k in item[head[a:b]]]
-            items[d] = sorted({x for x in names if x is not None})
-            matches[d] = [{"item": x, "start": int(q - w.row[d]), "length": int(n)}
-                          for x, q, n in zip(names, p[head[a:b]], length[a:b])]
+        order = np.argsort(pos, kind="stable")
+        pos, win = pos[order], win[order]
+        lines = np.cumsum(s.use[win + 1] - s.use[win])
+        ends = np.append(np.flatnonzero(np.diff(row_of[pos])) + 1, len(pos))  # of each document's hits
+        at = 0
+        while at < len(pos):
+            most = _LINES + (lines[at - 1] if at else 0)
+            end = int(ends[max(np.searchsorted(ends, at, "right"), np.searchsorted(lines[ends - 1], most, "right") - 1)])
+            p, length, item = _matches(s, w, row_of, pos[at:end], win[at:end])
+            doc = row_of[p]
+            order = np.lexsort((length, item, p))
+            p, length, item, doc = (x[order] for x in (p, length, item, doc))
+            cut = np.flatnonzero(np.append(True, np.diff(doc) != 0))
+            for a, b in zip(cut, np.append(cut[1:], len(doc))):
+                d = doc[a]
+                names = [s.items[k] for k in item[a:b]]
+                items[d] = sorted({x for x in names if x is not None})
+                matches[d] = [{"item": x, "start": int(q - w.row[d]), "length": int(n)} for x, q, n in zip(names, p[a:b], length[a:b])]
+            at = end
         hit = np.cumsum(mark[:-1]) > 0
         inner = hit[1:] & hit[:-1]
         inner[np.intersect1d(w.row[1:-1] - 1, np.arange(len(inner)))] = False  # runs end with their document
