@@ -1023,6 +1023,25 @@ def q_fit_svm(spark, sf):
     return ML.fit_svm(c.filter("split = 'train'"), c.filter("split = 'test'"))
 
 
+@query("q_fit_domains", f"""WITH test AS (SELECT doc_id AS id FROM documents
+        WHERE left(sha256(CAST(doc_id AS VARCHAR) || '|42'), 4) >= '{SP.cut_hex(0.8)}'),
+    vectors AS (SELECT vec_id AS id FROM embeddings
+        WHERE left(sha256(CAST(vec_id AS VARCHAR) || '|42'), 4) >= '{SP.cut_hex(0.8)}')
+    SELECT 'levels' AS model, id, true AS in_domain FROM test UNION ALL SELECT 'types', id, true FROM test
+    UNION ALL SELECT 'svm', t.id, true FROM test t JOIN labels l ON l.doc_id = t.id UNION ALL SELECT 'head', id, true FROM vectors""")
+def q_fit_domains(spark, sf):
+    """Exact are the rows that each model predicts and that its predictions lie in its domain."""
+    level = lambda c: F.col(c).isin(*range(4))
+    parts = [
+        q_fit_levels(spark, sf).select(F.lit("levels").alias("model"), "id", (level("p_ind") & level("p_grp") & level("p_soc")).alias("in_domain")),
+        q_fit_types(spark, sf).select(F.lit("types"), "id", (F.size("probs") == len(V.TYPE_ATTACK_LABELS)) & (F.size("pred") == F.size("probs"))
+                                      & F.forall("probs", lambda p: p.between(0, 1)) & F.forall("pred", lambda p: p.isin(0, 1))),
+        q_fit_svm(spark, sf).select(F.lit("svm"), "id", F.col("predicted").isin(0, 1)),
+        q_fit_head(spark, sf).select(F.lit("head"), "id", F.col("predicted").between(0, F.lit(9))),
+    ]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])
+
+
 def _mean_logit_scorer(pdf):
     """A stand-in per-chunk scorer for J1: mean of the type logits per row."""
     import pandas as pd
