@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from .. import vocab as V
 from ..functions import scores as S
 from ..functions import text as TX
-from ..operators import accents as AC, collect as CL
+from ..operators import accents as AC, collect as CL, heads as HD
 from ..operators import metrics as M
 from ..operators import monitor as MO
 from ..operators import scoring as SC
@@ -1007,6 +1007,18 @@ def q_fit_types(spark, sf):
                         max_iter=20, num_features=1 << 16)
 
 
+@query("q_fit_heads", f"""SELECT doc_id AS id, {len(V.TYPE_ATTACK_LABELS)} AS n_labels, true AS in_domain FROM documents
+    WHERE left(sha256(CAST(doc_id AS VARCHAR) || '|42'), 4) >= '{SP.cut_hex(0.8)}'""")
+def q_fit_heads(spark, sf):
+    """All label heads in one pass per step, stopped early by a tenth of the training rows; exact are ids and domain."""
+    c = _text_corpus(spark, sf)
+    rest = SP.split(c.filter("split = 'train'").drop("split"), "id", 0.9, seed=43)
+    model = HD.fit_heads(rest.filter("split = 'train'"), len(V.TYPE_ATTACK_LABELS), dev=rest.filter("split = 'test'"), max_passes=12)
+    out = model.predict(c.filter("split = 'test'"))
+    return out.select("id", F.size("probs").alias("n_labels"),
+                      (F.forall("probs", lambda p: p.between(0, 1)) & F.forall("pred", lambda p: p.isin(0, 1))).alias("in_domain"))
+
+
 @query("q_fit_head")
 def q_fit_head(spark, sf):
     """10-class head over the fixed embeddings."""
