@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from .. import vocab as V
 from ..functions import scores as S
 from ..functions import text as TX
-from ..operators import accents as AC, collect as CL, heads as HD
+from ..operators import accents as AC, collect as CL, heads as HD, lattice as LT
 from ..operators import metrics as M
 from ..operators import monitor as MO
 from ..operators import scoring as SC
@@ -81,6 +81,36 @@ def q_segment(spark, sf):
     return clean_comments(FX.comments(spark, sf), compounds=co)
 
 
+def _lattice_sql() -> str:
+    phrases = [p.replace("_", " ").split() for p in FX.FIXTURE_COMPOUNDS]
+    one = lambda p: "SELECT id, pos, " + str(len(p)) + " AS n, " + _q(" ".join(p)) + " AS u FROM (SELECT id, pos, w, " + ", ".join(
+        f"lead(w, {k}) OVER (PARTITION BY id ORDER BY pos) AS w{k}" for k in range(1, len(p))) + " FROM toks) WHERE w = " + _q(p[0]) + "".join(
+        f" AND w{k} = {_q(w)}" for k, w in enumerate(p) if k)
+    parts = ", ".join(_q(w) for w in sorted({w for p in phrases for w in p}))
+    return f"""WITH base AS (SELECT doc_id AS id, regexp_replace({O.online_text_sql('text')}, '([^ ])\\.( |$)', '\\1 .\\2', 'g') AS t FROM documents),
+    split AS (SELECT id, unnest(string_split(t, ' ')) AS w, generate_subscripts(string_split(t, ' '), 1) AS k FROM base),
+    toks AS (SELECT id, w, row_number() OVER (PARTITION BY id ORDER BY k) AS pos FROM split WHERE w <> ''),
+    joint AS ({" UNION ALL ".join(one(p) for p in phrases)}),
+    ends AS (SELECT id, 0 AS pos, 1 AS n, '' AS u FROM toks WHERE pos = 1 UNION ALL SELECT id, max(pos) + 1, 1, '' FROM toks GROUP BY id),
+    units AS (SELECT id, pos, 1 AS n, w AS u FROM toks UNION ALL SELECT * FROM joint UNION ALL SELECT * FROM ends)
+    SELECT a.u, b.u AS v, count(*) AS n FROM units a JOIN units b ON b.id = a.id AND b.pos = a.pos + a.n
+    WHERE a.n > 1 OR b.n > 1 OR a.u IN ({parts}) OR b.u IN ({parts}) GROUP BY a.u, b.u"""
+
+
+@query("q_lattice_pairs", _lattice_sql())
+def q_lattice_pairs(spark, sf):
+    """The counts that segmentation in context learns."""
+    _, co, _ = FX.fixture_lexicons(spark)
+    return LT.pair_counts(FX.comments(spark, sf), co, "cmt")
+
+
+@query("q_segment_context")
+def q_segment_context(spark, sf):
+    """B6 in context, learned from and applied to all documents; tests/test_lattice.py tries every segmentation."""
+    _, co, _ = FX.fixture_lexicons(spark)
+    return LT.segment(FX.comments(spark, sf), co, text_col="cmt")
+
+
 @query("q_strip_author", f"""SELECT doc_id AS id,
     regexp_replace(text, {_q(V.AUTHOR_LINE_PATTERN)}, '') AS stripped FROM documents""")
 def q_strip_author(spark, sf):
