@@ -164,18 +164,22 @@ def _lattices(found: DataFrame) -> DataFrame:
 
 def pair_counts(corpus: DataFrame, compounds: DataFrame, text_col: str = "text", mode: str = "online", max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(u, v, n): places where v follows u, for pairs with a compound or a word that some compound holds; "" at a text's ends."""
+    texts = _kept(_texts(corpus, text_col, mode).where("t <> ''"), "lattice-texts")
     lexicon = phrases(compounds)
-    texts = _kept(_texts(corpus, text_col, mode), "lattice-texts")
+    return _pairs(texts, lexicon, _kept(matches(texts, lexicon, max_bytes), "lattice-matches"), max_bytes)
+
+
+def _pairs(texts: DataFrame, lexicon: DataFrame, found: DataFrame, max_bytes: int) -> DataFrame:
     ends = F.lit("")
     words = _words(F.col("t"))
-    near = texts.where("t <> ''").select("copies", F.explode(F.arrays_zip(F.concat(F.array(ends), words).alias("u"),
+    near = texts.select("copies", F.explode(F.arrays_zip(F.concat(F.array(ends), words).alias("u"),
                                                                           F.concat(words, F.array(ends)).alias("v"))).alias("p"))
     near = near.groupBy("p.u", "p.v").agg(F.sum("copies").alias("n"))
     parts = maybe_broadcast(lexicon.select(F.explode(F.split("phrase", " ")).alias("part")).distinct(), max_bytes)
     for side in ("u", "v"):
         near = near.join(parts.select(F.col("part").alias(side), F.lit(True).alias(f"in_{side}")), side, "left")
     near = near.where("in_u or in_v").select("u", "v", "n")
-    joint = _lattices(matches(texts, lexicon, max_bytes)).where("n > 1 or m > 1").groupBy("u", "v").agg(F.sum("copies").alias("n"))
+    joint = _lattices(found).where("n > 1 or m > 1").groupBy("u", "v").agg(F.sum("copies").alias("n"))
     return near.unionByName(joint)
 
 
@@ -183,11 +187,13 @@ def fit_lattice(corpus: DataFrame, compounds: DataFrame, text_col: str = "text",
     """Units and pairs counted over the whole corpus."""
     texts = _kept(_texts(corpus, text_col, mode).where("t <> ''"), "lattice-texts")
     words = texts.select("copies", F.explode(_words(F.col("t"))).alias("unit")).groupBy("unit").agg(F.sum("copies").alias("n"))
-    joint = matches(texts, phrases(compounds), max_bytes).groupBy(F.col("phrase").alias("unit")).agg(F.sum("copies").alias("n"))
+    lexicon = phrases(compounds)
+    found = _kept(matches(texts, lexicon, max_bytes), "lattice-matches")
+    joint = found.groupBy(F.col("phrase").alias("unit")).agg(F.sum("copies").alias("n"))
     begin = texts.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("n")).select(F.lit("").alias("unit"), "n")
     units = _kept(words.unionByName(joint).unionByName(begin), "lattice-units")
     total = units.where("unit <> '' and not contains(unit, ' ')").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    return LatticeModel(units, _kept(pair_counts(corpus, compounds, text_col, mode, max_bytes), "lattice-pairs"), total)
+    return LatticeModel(units, _kept(_pairs(texts, lexicon, found, max_bytes), "lattice-pairs"), total)
 
 
 def segment(docs: DataFrame, compounds: DataFrame, id_col: str = "id", text_col: str = "text", model: LatticeModel | None = None,
