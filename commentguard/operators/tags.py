@@ -13,15 +13,19 @@ import unicodedata
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sizing import BROADCAST_BYTES, fits, maybe_broadcast
-from .lookup import Replacer, slices
+from .lookup import Replacer, slices, words_of
 
 WORD_PREFIX = "▁"  # sentencepiece word-start marker
+# Frequent words whose lines of a large table are sent to the tasks: at most so many, and as fit at so many bytes each.
+HOT_WORDS, HOT_BYTES = 200_000, 256
 
 
 def merge_subwords(pred: DataFrame, prefix: str = WORD_PREFIX, id_col: str = "id") -> DataFrame:
@@ -96,6 +100,70 @@ def fold(c):
     return F.translate(col, FOLD_FROM, FOLD_TO)
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df, written to the shared folder and read again."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def word_counts(texts: DataFrame, text_col: str = "__t") -> DataFrame:
+    """(word, n): the words between single spaces, counted with partial aggregation."""
+    return texts.select(F.explode(F.split(text_col, " ")).alias("word")).filter(F.col("word") != "") \
+        .groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The rows of counts with the greatest ``n``: those of at least a power of two, as low as leaves ``most`` rows or fewer."""
+    powers = counts.groupBy(F.floor(F.log2("n")).alias("power")).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("power")).collect()  # 64 rows at most
+    least = 64
+    for r in powers:
+        most -= r["rows"]
+        if most < 0:
+            break
+        least = r["power"]
+    return counts.where(F.col("n") >= 1 << least) if least < 64 else counts.limit(0)
+
+
+def _rare_words(shared):
+    @F.arrow_udf("array<string>")
+    def rare(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = pa.array(list(shared.value), pa.string())
+        kind = pa.list_(pa.string())
+        for texts in batches:
+            out = []
+            for part in slices(texts):
+                distinct, codes, off = words_of(part)
+                fresh = ~pc.is_in(distinct, value_set=known).to_numpy(zero_copy_only=False) if len(known) else np.ones(len(distinct), bool)
+                row = np.repeat(np.arange(len(part)), np.diff(off))
+                take = fresh[codes]
+                once = np.unique(row[take] * max(len(distinct), 1) + codes[take])
+                ends = np.searchsorted(once, np.arange(len(part) + 1) * max(len(distinct), 1))
+                out.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), distinct.take(pa.array(once % max(len(distinct), 1)))))
+            yield pa.chunked_array(out, kind).combine_chunks()
+
+    return rare
+
+
+def looked_up(texts: DataFrame, table: DataFrame, counts: DataFrame | None, max_bytes: int = BROADCAST_BYTES,
+              text_col: str = "__t") -> tuple[dict, DataFrame]:
+    """Lines of a large ``table`` (word, value; unaccented words) for the words of texts.
+
+    Returns the lines of frequent words, by ``counts`` (word, n), as a dict (None: the table has no
+    such line), and (__h, found (word, value)) for the other words, by the text's xxhash64. Each text
+    asks once for each such word, so a row holds no text; texts that share a hash share their
+    lines, which hold for any text.
+    """
+    hot = {}
+    if counts is not None:
+        words = frequent(counts, min(HOT_WORDS, max_bytes // HOT_BYTES))
+        hot = {r["word"]: r["value"] for r in words.select("word").join(table, "word", "left").collect()}
+    rare = _rare_words(texts.sparkSession.sparkContext.broadcast(hot))
+    asked = texts.select(F.xxhash64(text_col).alias("__h"), rare(text_col).alias("words")) \
+        .select("__h", F.explode("words").alias("word")).where(F.col("word") == fold("word"))
+    return hot, asked.join(table, "word").groupBy("__h").agg(F.collect_set(F.struct("word", "value")).alias("found"))
+
+
 def accent_dictionary(tokens: DataFrame, word_col: str = "w") -> DataFrame:
     """B25 statistics: folded spelling -> most frequent accented form.
 
@@ -106,6 +174,10 @@ def accent_dictionary(tokens: DataFrame, word_col: str = "w") -> DataFrame:
     counts = tokens.select(fold(word_col).alias("folded"), F.col(word_col).alias("form")) \
         .filter(F.col("folded") != F.col("form")) \
         .groupBy("folded", "form").agg(F.count(F.lit(1)).alias("n"))
+    return _most_frequent(counts)
+
+
+def _most_frequent(counts: DataFrame) -> DataFrame:
     return counts.groupBy("folded").agg(F.max_by("form", F.struct("n", "form")).alias("restored"))
 
 
@@ -119,6 +191,23 @@ def _restorer(shared):
     return restore
 
 
+def _restorer_of_rest(shared):
+    """Frequent words by the shared table, others by what was found for the texts of a slice: an entry of one text holds for all."""
+    @F.arrow_udf("string")
+    def restore(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        replacer = Replacer({k: [w] for k, w in shared.value.items() if w is not None})
+        for texts, found in batches:
+            out, at = [], 0
+            for part in slices(texts):
+                entries = found.slice(at, len(part)).flatten()
+                rest = Replacer({k: [w] for k, w in zip(entries.field("word").to_pylist(), entries.field("value").to_pylist())})
+                out.append(rest.apply(replacer.apply(part)))
+                at += len(part)
+            yield pa.chunked_array(out, pa.string()).combine_chunks()
+
+    return restore
+
+
 def restore_accents(docs: DataFrame, id_col: str = "id", text_col: str = "text",
                     dictionary: DataFrame | None = None, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(id, text) -> (id, restored): every unaccented token whose spelling has an
@@ -126,24 +215,24 @@ def restore_accents(docs: DataFrame, id_col: str = "id", text_col: str = "text",
     single spaces of the lower-cased, whitespace-collapsed text.
 
     Statistics count every row, from the scan, with partial aggregation. A dictionary that is
-    proven small is sent to the tasks and applied row by row without an exchange; a larger one
-    is joined to the tokens of each distinct text, which is joined back on the text itself.
+    proven small is sent to the tasks and applied row by row without an exchange. Of a larger one,
+    the lines of the most frequent words are sent; the other words of a text meet it in a join, once
+    each and without their text, and the lines found go to the text by its hash (see ``looked_up``).
     """
     from ..functions.text import offline_text
 
     base = docs.select(id_col, offline_text(text_col).alias("__t"))
+    counts = None
     if dictionary is None:
-        tokens = base.select(F.explode(F.split("__t", " ")).alias("w")).filter(F.col("w") != "")
-        path = scratch_path(docs.sparkSession, f"accents-{uuid.uuid4().hex}")
-        accent_dictionary(tokens).write.parquet(path)  # measured and read again below
-        dictionary = docs.sparkSession.read.parquet(path)
+        counts = kept(word_counts(base), "words")  # measured and read again below
+        forms = counts.select(fold("word").alias("folded"), F.col("word").alias("form"), "n").filter(F.col("folded") != F.col("form"))
+        dictionary = kept(_most_frequent(forms), "accents")
     if fits(dictionary, max_bytes=max_bytes):
         table = {r["folded"]: r["restored"] for r in dictionary.collect()}
         restore = _restorer(docs.sparkSession.sparkContext.broadcast(table))
         return base.select(id_col, restore("__t").alias("restored"))
-    base = base.withColumn("__h", F.xxhash64("__t"))
-    words = base.select("__h", "__t").distinct().select("__h", "__t", F.posexplode(F.split("__t", " ")).alias("pos", "w"))
-    looked = words.join(dictionary.select(F.col("folded").alias("w"), "restored"), "w", "left")
-    whole = looked.groupBy("__h", "__t").agg(F.array_join(F.transform(F.filter(F.array_sort(F.collect_list(
-        F.struct("pos", F.coalesce("restored", "w").alias("w")))), lambda x: x.w != ""), lambda x: x.w), " ").alias("restored"))
-    return base.join(whole, ["__h", "__t"]).select(id_col, "restored")
+    hot, found = looked_up(base, dictionary.select(F.col("folded").alias("word"), F.col("restored").alias("value")), counts, max_bytes)
+    restore = _restorer_of_rest(docs.sparkSession.sparkContext.broadcast(hot))
+    none = F.array().cast(found.schema["found"].dataType)
+    return base.withColumn("__h", F.xxhash64("__t")).join(found, "__h", "left") \
+        .select(id_col, restore("__t", F.coalesce("found", none)).alias("restored"))
