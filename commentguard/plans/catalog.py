@@ -718,8 +718,8 @@ def q_restore_accents(spark, sf):
     SELECT * FROM counts WHERE fa IN (SELECT folded FROM known) OR fb IN (SELECT folded FROM known)""")
 def q_accent_pairs(spark, sf):
     """The counts that restoration in context learns."""
-    docs = FX.comments(spark, sf)
-    return AC.pair_counts(docs, AC.fit_accents(docs, "cmt").forms, "cmt")
+    pairs = AC.fit_accents(FX.comments(spark, sf), "cmt").pairs
+    return pairs.select("fa", "fb", F.explode("seen").alias("p")).select("fa", "fb", "p.*")
 
 
 @query("q_restore_context")

@@ -6,7 +6,7 @@ with Spark, so every registered query grows with its input tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import vocab as V
@@ -120,6 +120,8 @@ def threads(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("turn").alias("pos"), F.col("text").alias("cmt"))
 
 
+SUBWORD_TASK_BYTES = 4 << 20  # of text
+
 # Inline 4-row tag table for the sub-word fixture (tag_idx = pos % 4).
 FIXTURE_TAGS = [(0, "-"), (1, "e-é"), (2, "a-à"), (3, "ou-où")]
 
@@ -127,13 +129,15 @@ FIXTURE_TAGS = [(0, "-"), (1, "e-é"), (2, "a-à"), (3, "ou-où")]
 def subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
     """fx_subwords(id, pos, token, tag_idx): whitespace tokens of documents cut into
     3-character pieces, the first piece of each token prefixed with the word marker."""
-    d = table(spark, sf_dir, "documents")
-    toks = d.select(F.col("doc_id").alias("id"),
-                    F.posexplode(F.split(F.col("text"), V.WHITESPACE_RUN)).alias("tpos", "tok")).filter(F.col("tok") != "")
-    pieces = toks.select("id", "tpos", F.posexplode(F.expr("regexp_extract_all(tok, '(?s).{1,3}', 0)")).alias("k", "piece"))
-    w = F.row_number().over(Window.partitionBy("id").orderBy("tpos", "k")) - 1
-    out = pieces.select("id", w.alias("pos"),
-                        F.when(F.col("k") == 0, F.concat(F.lit("▁"), F.col("piece"))).otherwise(F.col("piece")).alias("token"))
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # texts are dealt by id, and cut into pieces where they are then read; so many to a task that its pieces are sorted in memory
+    whole = d.repartition(-(-size // SUBWORD_TASK_BYTES) or 1, "id").groupBy("id").agg(F.collect_list("text").alias("texts"))
+    cut = lambda tok, tpos: F.transform(F.regexp_extract_all(tok, F.lit("(?s).{1,3}"), F.lit(0)),
+                                        lambda piece, k: F.struct(tpos.alias("tpos"), k.alias("k"), piece.alias("piece")))
+    pieces = F.flatten(F.transform("texts", lambda t: F.flatten(F.transform(F.split(t, V.WHITESPACE_RUN), cut))))
+    out = whole.select("id", F.posexplode(F.array_sort(pieces)).alias("pos", "p")).select("id", "pos",
+                       F.when(F.col("p.k") == 0, F.concat(F.lit("▁"), F.col("p.piece"))).otherwise(F.col("p.piece")).alias("token"))
     return out.withColumn("tag_idx", (F.col("pos") % 4).cast("int"))
 
 

@@ -2,7 +2,7 @@
 
 import re
 
-from commentguard.operators import tags as TG
+from commentguard.operators import accents as AC, tags as TG
 
 
 def texts(spark):
@@ -32,3 +32,17 @@ def test_frequent_words_stay_within_the_limit(spark):
         got = {r["n"] for r in TG.frequent(counts, most).collect()}
         assert len(got) <= most and got == set(range(min(got, default=101), 101))
     assert TG.frequent(counts, 37).count() == 37 and TG.frequent(counts, 100).count() == 100
+
+
+def test_restore_in_context_asks_without_texts(spark):
+    docs = texts(spark)
+    want = sorted(AC.restore_in_context(docs).collect(), key=str)
+    model = AC.fit_accents(docs, max_bytes=2_000)
+    for known in (model, AC.AccentModel(model.forms, model.pairs)):  # frequent words known, and not
+        out = AC.restore_in_context(docs, model=known, max_bytes=2_000)
+        assert sorted(out.collect(), key=str) == want
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        # before, each pair of a text met the forms by a row with the text's key, place and words
+        assert not any("pos" in columns or "__key" in columns for columns in carried(out)) and "__k#" not in plan
+    flat = AC.pair_counts(docs, model.forms, counts=model.counts, max_bytes=2_000).select("fa", "fb", "a", "b", "n")
+    assert sorted(flat.collect()) == sorted(AC.pair_counts(docs, model.forms, max_bytes=0).select("fa", "fb", "a", "b", "n").collect())
