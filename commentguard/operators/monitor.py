@@ -80,18 +80,23 @@ def burst_alert(log: DataFrame, ts: str = "timestamp", flag: str = "is_hate",
     rate = toxic / (window / unit); alert when rate > threshold, with
     velocity = rate and growth = (rate - baseline) / baseline * 100, else
     0 / 0. Per-timestamp pre-aggregation absorbs bursts (hot instants) before
-    any shuffle; the range frame runs per time bucket of width ``window``,
-    with the previous bucket's rows copied in as context, so no partition ever
-    holds more than two buckets.
+    any shuffle; sums run per time bucket of width ``window``, with the previous
+    bucket's rows copied in as context, so no partition ever holds more than two
+    buckets. A context row is taken off again once the window has left it: the
+    running sum takes each row once, where a sliding frame sums all its rows anew.
     """
     w_us = int(round(window_seconds * 1_000_000))
     per_ts = log.groupBy(F.col(ts).cast("timestamp").alias("ts")).agg(
         F.sum(F.col(flag).cast("long")).alias("toxic_at"))
     per_ts = per_ts.withColumn("us", F.unix_micros("ts")).withColumn("bucket", F.floor(F.col("us") / w_us))
+    per_ts = per_ts.withColumn("known", F.col("toxic_at").isNotNull().cast("int"))  # a window without a known flag has no sum
     own = per_ts.withColumn("context", F.lit(False))
     ctx = per_ts.withColumn("bucket", F.col("bucket") + 1).withColumn("context", F.lit(True))
-    frame = Window.partitionBy("bucket").orderBy("us").rangeBetween(-w_us, 0)
-    counted = own.unionByName(ctx).withColumn("toxic_in_window", F.sum("toxic_at").over(frame)) \
+    gone = ctx.where("us is not null").withColumn("us", F.col("us") + w_us + 1).withColumn("toxic_at", -F.col("toxic_at")) \
+        .withColumn("known", -F.col("known"))
+    frame = Window.partitionBy("bucket").orderBy("us").rangeBetween(Window.unboundedPreceding, 0)
+    counted = own.unionByName(ctx).unionByName(gone) \
+        .withColumn("toxic_in_window", F.when(F.sum("known").over(frame) > 0, F.sum("toxic_at").over(frame))) \
         .filter(~F.col("context"))
     rate = F.col("toxic_in_window") / F.lit(window_seconds / rate_unit_seconds)
     alert = rate > F.lit(threshold)
