@@ -1,13 +1,19 @@
 """Spark ML re-aims of the reference's models.
 
 The transformer/GRU models are replaced by Spark ML estimators over shared
-text features (RegexTokenizer -> HashingTF -> IDF), fitted once per task on
-a cached feature frame. Training is distributed by Spark ML; nothing is
-collected to the driver.
+text features (RegexTokenizer -> HashingTF -> IDF), fitted once per task.
+Training is distributed by Spark ML; nothing is collected to the driver.
+
+Texts are read once: their term frequencies are written under the checkpoint
+folder without text and tokens, and every fit reads them there. A fit sums one
+array of all coefficients per partition and step, so the stored rows come in as
+many partitions as there are cores, whatever their number. Each fit keeps its own
+copy of the features while it runs, so fits of large features run one at a time.
 """
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -17,6 +23,10 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
+CACHED_BYTES = 1 << 30  # of features that fits running at once may keep in memory
+
 
 def text_features(text_col: str = "text", num_features: int = 1 << 18) -> Pipeline:
     """Whitespace tokens -> hashed term frequencies -> IDF weights in ``features``."""
@@ -27,10 +37,28 @@ def text_features(text_col: str = "text", num_features: int = 1 << 18) -> Pipeli
     ])
 
 
-def featurize(train: DataFrame, test: DataFrame, text_col: str = "text",
+def stored_features(train: DataFrame, keep: list[str], text_col: str = "text", num_features: int = 1 << 18) -> tuple[DataFrame, PipelineModel]:
+    """(``keep``, features) of train, stored without text and tokens, and the fitted text features; train is read once."""
+    spark = train.sparkSession
+    tokenizer, hashing, idf = text_features(text_col, num_features).getStages()
+    path = scratch_path(spark, f"features-{uuid.uuid4().hex}")
+    hashing.transform(tokenizer.transform(train)).select(*keep, "__tf").write.parquet(path)
+    rows = spark.read.parquet(path).coalesce(spark.sparkContext.defaultParallelism)
+    model = PipelineModel([tokenizer, hashing, idf.fit(rows)])
+    return model.stages[-1].transform(rows).drop("__tf"), model
+
+
+def featurize(train: DataFrame, test: DataFrame, keep: list[str], text_col: str = "text",
               num_features: int = 1 << 18) -> tuple[DataFrame, DataFrame, PipelineModel]:
-    model = text_features(text_col, num_features).fit(train)
-    return model.transform(train).cache(), model.transform(test), model
+    """Stored (``keep``, features) of train, test with features, and the fitted text features."""
+    ready, model = stored_features(train, keep, text_col, num_features)
+    return ready, model.transform(test), model
+
+
+def at_once(ready: DataFrame, parallelism: int) -> int:
+    """How many fits, each with a copy of ready's features, may run at once: ``parallelism``, or as many as keep to CACHED_BYTES."""
+    held = F.coalesce(F.sum(F.size(F.unwrap_udt("features")["indices"]).cast("long") * 12), F.lit(1))  # an int and a double each
+    return max(1, min(parallelism, CACHED_BYTES // max(ready.agg(held).first()[0], 1)))
 
 
 class TextScorer:
@@ -77,8 +105,7 @@ class TextScorer:
 def fit_scorer(train: DataFrame, levels: dict[str, str], bits_col: str | None = None, n_labels: int = 0, text_col: str = "text",
                max_iter: int = 20, num_features: int = 1 << 16, parallelism: int = 4) -> TextScorer:
     """J3 + J4 as a model to keep: ``levels`` maps head name -> label column; n_labels heads over ``bits_col``."""
-    features = text_features(text_col, num_features).fit(train)
-    ready = features.transform(train).cache()
+    ready, features = stored_features(train, [*dict.fromkeys([*levels.values(), *([bits_col] if n_labels else [])])], text_col, num_features)
     jobs = {name: (F.col(label).cast("double"), "multinomial") for name, label in levels.items()}
     jobs |= {f"label{i}": (F.element_at(F.col(bits_col), i + 1).cast("double"), "binomial") for i in range(n_labels)}
 
@@ -86,11 +113,8 @@ def fit_scorer(train: DataFrame, levels: dict[str, str], bits_col: str | None =
         label, family = job
         return LogisticRegression(featuresCol="features", labelCol="__y", family=family, maxIter=max_iter).fit(ready.withColumn("__y", label))
 
-    try:
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            fitted = list(pool.map(fit, jobs.values()))
-    finally:
-        ready.unpersist()
+    with ThreadPoolExecutor(max_workers=at_once(ready, parallelism)) as pool:
+        fitted = list(pool.map(fit, jobs.values()))
     return TextScorer(features, dict(zip(jobs, fitted)), text_col)
 
 
@@ -100,18 +124,15 @@ def fit_levels(train: DataFrame, test: DataFrame, targets: dict[str, str], text_
 
     ``targets`` maps output column -> label column. Returns (id, <output cols>) for ``test``.
     """
-    ftrain, ftest, _ = featurize(train, test, text_col, num_features)
+    ftrain, ftest, _ = featurize(train, test, [*dict.fromkeys(targets.values())], text_col, num_features)
     out = ftest.select(id_col, "features")
-    try:
-        for name, label in targets.items():
-            lr = LogisticRegression(featuresCol="features", labelCol=label, predictionCol=name,
-                                    family="multinomial", maxIter=max_iter, rawPredictionCol=f"__raw_{name}",
-                                    probabilityCol=f"__prob_{name}")
-            model = lr.fit(ftrain.withColumn(label, F.col(label).cast("double")))
-            out = model.transform(out).drop(f"__raw_{name}", f"__prob_{name}") \
-                .withColumn(name, F.col(name).cast("int"))
-    finally:
-        ftrain.unpersist()
+    for name, label in targets.items():
+        lr = LogisticRegression(featuresCol="features", labelCol=label, predictionCol=name,
+                                family="multinomial", maxIter=max_iter, rawPredictionCol=f"__raw_{name}",
+                                probabilityCol=f"__prob_{name}")
+        model = lr.fit(ftrain.withColumn(label, F.col(label).cast("double")))
+        out = model.transform(out).drop(f"__raw_{name}", f"__prob_{name}") \
+            .withColumn(name, F.col(name).cast("int"))
     return out.drop("features")
 
 
@@ -119,20 +140,17 @@ def fit_types(train: DataFrame, test: DataFrame, n_labels: int, bits_col: str =
               id_col: str = "id", threshold: float = 0.3, max_iter: int = 30, parallelism: int = 4,
               num_features: int = 1 << 18) -> DataFrame:
     """One binary logistic regression per label (fitted concurrently by a bounded
-    thread pool over one cached feature frame); returns (id, probs, pred) for ``test``,
+    thread pool over one stored feature frame); returns (id, probs, pred) for ``test``,
     pred = probs >= threshold."""
-    ftrain, ftest, _ = featurize(train, test, text_col, num_features)
+    ftrain, ftest, _ = featurize(train, test, [bits_col], text_col, num_features)
 
     def fit(i: int):
         lab = F.element_at(F.col(bits_col), i + 1).cast("double")
         lr = LogisticRegression(featuresCol="features", labelCol="__y", maxIter=max_iter)
         return lr.fit(ftrain.withColumn("__y", lab))
 
-    try:
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            models = list(pool.map(fit, range(n_labels)))
-    finally:
-        ftrain.unpersist()
+    with ThreadPoolExecutor(max_workers=at_once(ftrain, parallelism)) as pool:
+        models = list(pool.map(fit, range(n_labels)))
     out = ftest.select(id_col, "features")
     for i, m in enumerate(models):
         m.setProbabilityCol(f"__p{i}").setRawPredictionCol(f"__r{i}").setPredictionCol(f"__c{i}")
@@ -161,10 +179,7 @@ def fit_head(train: DataFrame, test: DataFrame, emb_col: str = "embedding", labe
 def fit_svm(train: DataFrame, test: DataFrame, label_col: str = "toxic", text_col: str = "text",
             id_col: str = "id", max_iter: int = 50) -> DataFrame:
     """TF-IDF + linear SVM baseline."""
-    ftrain, ftest, _ = featurize(train, test, text_col)
-    try:
-        model = LinearSVC(featuresCol="features", labelCol="__y", maxIter=max_iter) \
-            .fit(ftrain.withColumn("__y", F.col(label_col).cast("double")))
-    finally:
-        ftrain.unpersist()
+    ftrain, ftest, _ = featurize(train, test, [label_col], text_col)
+    model = LinearSVC(featuresCol="features", labelCol="__y", maxIter=max_iter) \
+        .fit(ftrain.withColumn("__y", F.col(label_col).cast("double")))
     return model.transform(ftest).select(id_col, F.col(label_col), F.col("prediction").cast("int").alias("predicted"))
