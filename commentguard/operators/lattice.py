@@ -9,7 +9,7 @@ with n(u) the places of the corpus where the words of u stand, n(u, v) those whe
 follow them, and N all words; the text's ends count as a unit each. Viterbi's recursion finds the
 best path (ties: the longer unit before). The greedy choice is ``cleaning.clean_comments``.
 
-Runs of words are cut from each distinct text and joined with the lexicon; only matches, with the word
+Matches with the lexicon are found in each distinct text; only these, with the word
 before and behind them, are grouped by text. Costs are worked out per pair of units that occurs and
 joined with the lattices' edges (broadcast where proven small), so a frequent word is looked up once
 per neighbour, not once per place. Texts come in again only to be written out.
@@ -26,14 +26,17 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from ..functions.text import offline_text, online_text
 from ..session import scratch_path
-from ..sizing import BROADCAST_BYTES, maybe_broadcast
+from ..sizing import BROADCAST_BYTES, fits, maybe_broadcast
+from .lookup import slices, words_of
 
 PRIOR = 1.0
 _PATH = StructType().add("start", IntegerType()).add("n", IntegerType())
@@ -72,8 +75,89 @@ def phrases(compounds: DataFrame) -> DataFrame:
     return compounds.select(syllables.alias("s")).where(F.size("s") >= 2).select(F.array_join("s", " ").alias("phrase"), F.size("s").alias("n")).distinct()
 
 
+class PhraseTable:
+    """Phrases as a trie of word numbers: a step is a key (state * words + word) and the state it leads to."""
+
+    def __init__(self, phrases: list[str]):
+        cut = [p.split(" ") for p in phrases]
+        self.words = sorted({w for p in cut for w in p})
+        self.longest = max((len(p) for p in cut), default=0)
+        number = {w: k for k, w in enumerate(self.words)}
+        state = {(w,): k for k, w in enumerate(self.words)}  # a first word is its own state
+        steps = {}
+        for p in cut:
+            for n in range(2, len(p) + 1):
+                to = state.setdefault(tuple(p[:n]), len(state))
+                steps[state[tuple(p[:n - 1])] * len(self.words) + number[p[n - 1]]] = to
+        self.keys = np.array(sorted(steps), np.int64)
+        self.to = np.array([steps[k] for k in sorted(steps)], np.int64)
+        self.phrase = {state[tuple(p)]: " ".join(p) for p in cut}
+        self.ends = np.array(sorted(self.phrase), np.int64)
+
+    def find(self, distinct: pa.Array, codes: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first word, words, state) of all phrases that stand in the texts, by first word and length."""
+        known = pc.index_in(distinct, pa.array(self.words, pa.string())).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        word = known[codes] if len(codes) else np.zeros(0, np.int64)
+        last = np.repeat(off[1:], np.diff(off))  # end of each word's text
+        at = np.flatnonzero(word >= 0)
+        state = word[at]
+        first, size, end = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for n in range(2, self.longest + 1):
+            go = at + n - 1 < last[at]
+            at, state = at[go], state[go]
+            go = word[at + n - 1] >= 0
+            at, state = at[go], state[go]
+            key = state * len(self.words) + word[at + n - 1]
+            k = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            go = self.keys[k] == key
+            at, state = at[go], self.to[k[go]]
+            hit = np.isin(state, self.ends)
+            first.append(at[hit])
+            size.append(np.full(int(hit.sum()), n))
+            end.append(state[hit])
+        first, size, end = np.concatenate(first), np.concatenate(size), np.concatenate(end)
+        order = np.lexsort((size, first))
+        return first[order], size[order], end[order]
+
+
+_MATCH = "array<struct<pos:int,n:int,phrase:string,before:string,after:string>>"
+_PLACES = pa.list_(pa.struct([("pos", pa.int32()), ("n", pa.int32()), ("phrase", pa.string()), ("before", pa.string()), ("after", pa.string())]))
+
+
+def _found(shared):
+    @F.arrow_udf(_MATCH)
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table = shared.value
+        for texts in batches:
+            out = []
+            for part in slices(texts):
+                distinct, codes, off = words_of(part)
+                first, size, end = table.find(distinct, codes, off)
+                row = np.searchsorted(off, first, "right") - 1
+                named = pa.array([table.phrase[s] for s in end.tolist()], pa.string())
+                before = np.where(first > off[row], codes[np.maximum(first - 1, 0)], -1) if len(first) else first
+                follow = first + size
+                after = np.where(follow < off[row + 1], codes[np.minimum(follow, len(codes) - 1)], -1) if len(first) else first
+                beside = [pc.fill_null(distinct.take(pa.array(np.maximum(x, 0), mask=x < 0)), "") for x in (before, after)]
+                places = pa.StructArray.from_arrays([pa.array(first - off[row] + 1, pa.int32()), pa.array(size, pa.int32()), named, *beside],
+                                                    ["pos", "n", "phrase", "before", "after"])
+                cuts = np.searchsorted(row, np.arange(len(part) + 1))
+                out.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), places))
+            yield pa.concat_arrays(out) if out else pa.array([], _PLACES)
+
+    return found
+
+
 def matches(texts: DataFrame, lexicon: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """(key, copies, pos, n, phrase, before, after) of the lexicon's phrases in texts (key, copies, t)."""
+    """(key, copies, pos, n, phrase, before, after) of the lexicon's phrases in texts (key, copies, t).
+
+    A lexicon that is proven small is looked up where the texts are, by whole arrays of words; runs of
+    words are only cut out, and joined, for a larger one.
+    """
+    if fits(lexicon, max_bytes=max_bytes):
+        table = PhraseTable([r["phrase"] for r in lexicon.select("phrase").collect()])
+        found = _found(texts.sparkSession.sparkContext.broadcast(table))
+        return texts.select("key", "copies", F.explode(found("t")).alias("m")).select("key", "copies", "m.*")
     sizes = sorted(r["n"] for r in lexicon.select("n").distinct().collect())  # lengths of phrases: a handful
     if not sizes:
         sizes = [2]
@@ -174,11 +258,16 @@ def _pairs(texts: DataFrame, lexicon: DataFrame, found: DataFrame, max_bytes: in
     words = _words(F.col("t"))
     near = texts.select("copies", F.explode(F.arrays_zip(F.concat(F.array(ends), words).alias("u"),
                                                                           F.concat(words, F.array(ends)).alias("v"))).alias("p"))
-    near = near.groupBy("p.u", "p.v").agg(F.sum("copies").alias("n"))
-    parts = maybe_broadcast(lexicon.select(F.explode(F.split("phrase", " ")).alias("part")).distinct(), max_bytes)
+    near = near.select("copies", "p.u", "p.v")
+    parts = lexicon.select(F.explode(F.split("phrase", " ")).alias("part")).distinct()
+    small = fits(parts, max_bytes=max_bytes)
+    # pairs of a small lexicon's words are picked before they are counted, those of a large one are joined once each
+    if not small:
+        near = near.groupBy("u", "v").agg(F.sum("copies").alias("copies"))
     for side in ("u", "v"):
-        near = near.join(parts.select(F.col("part").alias(side), F.lit(True).alias(f"in_{side}")), side, "left")
-    near = near.where("in_u or in_v").select("u", "v", "n")
+        known = parts.select(F.col("part").alias(side), F.lit(True).alias(f"in_{side}"))
+        near = near.join(F.broadcast(known) if small else known, side, "left")
+    near = near.where("in_u or in_v").groupBy("u", "v").agg(F.sum("copies").alias("n"))
     joint = _lattices(found).where("n > 1 or m > 1").groupBy("u", "v").agg(F.sum("copies").alias("n"))
     return near.unionByName(joint)
 
