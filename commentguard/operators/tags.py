@@ -35,10 +35,11 @@ def merge_subwords(pred: DataFrame, prefix: str = WORD_PREFIX, id_col: str = "id
     following unprefixed tokens are appended. Tokens before the first
     prefixed one are words on their own. ``tags`` is the sorted set of tag
     indices seen in the word; ``pieces`` keeps (pos, tag_idx) for B24. The pieces of
-    an id are put in order once, as one array that is cut into words where they start.
+    an id are put in order once, as one array that is cut into words where they start
+    (by ``sort_array``: ``array_sort`` evaluates a lambda at each comparison).
     """
     piece = F.struct("pos", "token", "tag_idx")
-    whole = pred.groupBy(id_col).agg(F.array_sort(F.collect_list(piece)).alias("__p")) \
+    whole = pred.groupBy(id_col).agg(F.sort_array(F.collect_list(piece)).alias("__p")) \
         .withColumn("__pre", F.transform("__p", lambda x: F.coalesce(x["token"].startswith(prefix), F.lit(False)))) \
         .withColumn("__first", F.coalesce(F.nullif(F.array_position("__pre", True), F.lit(0)), F.size("__p") + 1).cast("int")) \
         .withColumn("__starts", F.filter(F.sequence(F.lit(1), F.size("__p")), lambda i: (i <= F.col("__first")) | F.get("__pre", i - 1)))
@@ -81,7 +82,7 @@ def apply_tags(words: DataFrame, tag_table: DataFrame, id_col: str = "id",
         F.when(F.col("rule").isNull(), F.col("word"))
          .otherwise(F.replace(F.col("word"), F.col("rule.raw"), F.col("rule.accented"))).alias("word"))
     return fixed.groupBy(id_col).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("word_pos", "word"))), lambda x: x.word),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("word_pos", "word"))), lambda x: x.word),
                      " ").alias("text"))
 
 

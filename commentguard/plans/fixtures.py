@@ -136,7 +136,8 @@ def subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = lambda tok, tpos: F.transform(F.regexp_extract_all(tok, F.lit("(?s).{1,3}"), F.lit(0)),
                                         lambda piece, k: F.struct(tpos.alias("tpos"), k.alias("k"), piece.alias("piece")))
     pieces = F.flatten(F.transform("texts", lambda t: F.flatten(F.transform(F.split(t, V.WHITESPACE_RUN), cut))))
-    out = whole.select("id", F.posexplode(F.array_sort(pieces)).alias("pos", "p")).select("id", "pos",
+    pieces = F.when(F.size("texts") == 1, pieces).otherwise(F.sort_array(pieces))  # those of one text are in order
+    out = whole.select("id", F.posexplode(pieces).alias("pos", "p")).select("id", "pos",
                        F.when(F.col("p.k") == 0, F.concat(F.lit("▁"), F.col("p.piece"))).otherwise(F.col("p.piece")).alias("token"))
     return out.withColumn("tag_idx", (F.col("pos") % 4).cast("int"))
 
