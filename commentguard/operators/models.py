@@ -106,6 +106,7 @@ def fit_scorer(train: DataFrame, levels: dict[str, str], bits_col: str | None =
                max_iter: int = 20, num_features: int = 1 << 16, parallelism: int = 4) -> TextScorer:
     """J3 + J4 as a model to keep: ``levels`` maps head name -> label column; n_labels heads over ``bits_col``."""
     ready, features = stored_features(train, [*dict.fromkeys([*levels.values(), *([bits_col] if n_labels else [])])], text_col, num_features)
+    ready = ready.cache()  # read twice by each of many fits
     jobs = {name: (F.col(label).cast("double"), "multinomial") for name, label in levels.items()}
     jobs |= {f"label{i}": (F.element_at(F.col(bits_col), i + 1).cast("double"), "binomial") for i in range(n_labels)}
 
@@ -113,8 +114,11 @@ def fit_scorer(train: DataFrame, levels: dict[str, str], bits_col: str | None =
         label, family = job
         return LogisticRegression(featuresCol="features", labelCol="__y", family=family, maxIter=max_iter).fit(ready.withColumn("__y", label))
 
-    with ThreadPoolExecutor(max_workers=at_once(ready, parallelism)) as pool:
-        fitted = list(pool.map(fit, jobs.values()))
+    try:
+        with ThreadPoolExecutor(max_workers=at_once(ready, parallelism)) as pool:
+            fitted = list(pool.map(fit, jobs.values()))
+    finally:
+        ready.unpersist()
     return TextScorer(features, dict(zip(jobs, fitted)), text_col)
 
 
