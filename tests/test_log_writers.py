@@ -104,3 +104,36 @@ def test_few_ids_open_no_file_without_them(spark):
 
     present = [r["h"] for r in spark.range(0, 4, 2).selectExpr("xxhash64(id) AS h").collect()]
     assert scanned(absent) == 0 < scanned(present)
+
+
+def test_rows_of_a_batch_stay_where_they_are(spark, monkeypatch):
+    """What a batch adds is found by ids alone: no exchange in the plan of its rows; the same rows if ids are too many to send."""
+    from pyspark.sql import functions as F
+
+    batch = spark.createDataFrame([(k, f"text {k}") for k in [*range(40), None]], "id long, cmt string").repartition(3)
+    same = batch.union(spark.createDataFrame([(3, "a text"), (30, "z"), (None, "a")], "id long, cmt string"))
+    for rows_, want in ((batch, [(k, f"text {k}") for k in range(20, 40)]),
+                        (same, [(k, f"text {k}") for k in range(20, 40)])):
+        rows_ = rows_.persist()
+        marks = rows_.groupBy("id").agg((F.count(F.lit(1)) > 1).alias("again")).withColumn("old", F.expr("id is null or id < 20")).persist()
+        for sent in (SK.SENT, 0):
+            monkeypatch.setattr(SK, "SENT", sent)
+            out = SK._unstored(rows_, "id", F.struct("cmt"), marks)
+            assert sorted(tuple(r) for r in out.collect()) == want
+        monkeypatch.undo()
+    plan = SK._unstored(batch, "id", F.struct("cmt"), batch.select("id", F.lit(False).alias("again"), F.expr("coalesce(id < 30, true)").alias("old")))
+    assert "hashpartitioning" not in plan._jdf.queryExecution().optimizedPlan().toString()
+    joined = plan._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in joined and "SortMergeJoin" not in joined
+
+
+def test_batch_shuffles_no_texts(spark, monkeypatch):
+    """Appending wide rows of distinct ids groups their ids only, and the first of several rows of an id is kept as before."""
+    grouped = []
+    real = SK._unstored
+    monkeypatch.setattr(SK, "_unstored", lambda rows_, id_col, key, marks: grouped.append(marks.columns) or real(rows_, id_col, key, marks))
+    path = fresh(spark, "wide")
+    assert SK.idempotent_append(spark.createDataFrame([(1, 5), (1, 4), (2, 1), (2, 3), (3, 0)], "id long, v int"), 0, path) == 3
+    assert SK.idempotent_append(spark.createDataFrame([(1, 0), (4, 9), (4, 8), (5, 1)], "id long, v int"), 1, path) == 2
+    assert stored(spark, path) == [(1, 4), (2, 1), (3, 0), (4, 8), (5, 1)]
+    assert [sorted(c) for c in grouped] == [["again", "id", "old"]] * 2
