@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -86,9 +86,16 @@ class Descent:
         self.trial = self.x + self.step * way
 
 
-def row_scores(indices: np.ndarray, values: np.ndarray, row: np.ndarray, n: int, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Logits (heads x rows) of n rows whose features lie one after the other."""
-    return np.stack([np.bincount(row, w[indices] * values, n) + b for w, b in zip(weights, bias)]) if len(bias) else np.zeros((0, n))
+def row_scores(indices: np.ndarray, values: np.ndarray, lengths: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Logits (heads x rows) of rows of so many features each, which lie one after the other."""
+    out = np.zeros((len(bias), len(lengths)))
+    full = np.flatnonzero(lengths)
+    starts = (np.cumsum(lengths) - lengths)[full]
+    for k in range(len(bias)):
+        if len(full):
+            out[k, full] = np.add.reduceat(weights[k][indices] * values, starts)
+        out[k] += bias[k]
+    return out
 
 
 def _cuts(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -113,9 +120,8 @@ def _pass(shared, n_labels: int, n_features: int, threshold: float):
             bits = batch.column("bits").flatten().to_numpy(zero_copy_only=False).reshape(-1, n_labels).T
             dev = batch.column("dev").to_numpy(zero_copy_only=False)
             for lo, hi in _cuts(lengths):
-                i, v = indices[off[lo]:off[hi]], values[off[lo]:off[hi]]
-                row = np.repeat(np.arange(hi - lo), lengths[lo:hi])
-                z = row_scores(i, v, row, hi - lo, weights, bias)
+                i, v = indices[off[lo]:off[hi]].astype(np.intp), values[off[lo]:off[hi]]
+                z = row_scores(i, v, lengths[lo:hi], weights, bias)
                 y, known, held = bits[:, lo:hi] == 1, bits[:, lo:hi] >= 0, dev[lo:hi]
                 p = 0.5 * (1 + np.tanh(z / 2))
                 learn, said = known & ~held, p >= threshold
@@ -124,7 +130,7 @@ def _pass(shared, n_labels: int, n_features: int, threshold: float):
                          (said & y & held & known).sum(1), (said & ~y & held & known).sum(1), (~said & y & held & known).sum(1)]
                 if learn.any():
                     for k in range(n_labels):
-                        grad[k] += np.bincount(i, v * wrong[k][row], n_features)
+                        grad[k] += np.bincount(i, v * np.repeat(wrong[k], lengths[lo:hi]), n_features)
         task = TaskContext.get().partitionId()
         blocks, parts = [-1], [sums.tobytes()]
         for k, at in enumerate(range(0, n_features, BLOCK)):
@@ -192,11 +198,10 @@ class LabelHeads:
             weights, bias = shared.value
             lengths = indices.value_lengths().to_numpy()
             off = np.append(0, np.cumsum(lengths))
-            i, v = indices.flatten().to_numpy(), values.flatten().to_numpy()
+            i, v = indices.flatten().to_numpy().astype(np.intp), values.flatten().to_numpy()
             out = np.zeros((len(lengths), len(bias)))
             for lo, hi in _cuts(lengths):
-                row = np.repeat(np.arange(hi - lo), lengths[lo:hi])
-                out[lo:hi] = row_scores(i[off[lo]:off[hi]], v[off[lo]:off[hi]], row, hi - lo, weights, bias).T
+                out[lo:hi] = row_scores(i[off[lo]:off[hi]], v[off[lo]:off[hi]], lengths[lo:hi], weights, bias).T
             return pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1) * len(bias), pa.int32()), pa.array(out.ravel()))
 
         rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
@@ -222,14 +227,14 @@ class LabelHeads:
                    rows[0]["threshold"] if rows else THRESHOLD)
 
 
-def feature_rows(features: PipelineModel, parts: list[tuple[DataFrame, bool]], n_labels: int, bits_col: str, text_col: str) -> DataFrame:
-    """(indices, values, bits, dev) of the labelled rows of the parts; a bit is 1, 0 or, if null, -1."""
+def feature_rows(hashed: Callable[[DataFrame], DataFrame], parts: list[tuple[DataFrame, bool]], n_labels: int, bits_col: str,
+                 text_col: str) -> DataFrame:
+    """(__tf, bits, dev) of the rows of the parts: a bit is 1, 0 or, if null, -1; bits are null in a row without all labels."""
     out = None
     for df, dev in parts:
         bits = F.transform(bits_col, lambda b: F.when(b.isNull(), -1).when(b.cast("int") == 1, 1).otherwise(0).cast("int"))
-        rows = df.where(F.size(bits_col) == n_labels).select(F.coalesce(F.col(text_col), F.lit("")).alias("__text"), bits.alias("bits"))
-        vector = F.unwrap_udt("features")
-        rows = features.transform(rows).select(vector["indices"].alias("indices"), vector["values"].alias("values"), "bits", F.lit(dev).alias("dev"))
+        rows = df.select(F.coalesce(F.col(text_col), F.lit("")).alias("__text"), F.when(F.size(bits_col) == n_labels, bits).alias("bits"))
+        rows = hashed(rows).select("__tf", "bits", F.lit(dev).alias("dev"))
         out = rows if out is None else out.unionByName(rows)
     return out
 
@@ -239,15 +244,26 @@ def fit_heads(train: DataFrame, n_labels: int, dev: DataFrame | None = None, bit
               num_features: int = 1 << 16) -> LabelHeads:
     """n_labels logistic regressions (mean loss plus reg / 2 times the squared weights, bias free) over ``bits_col``.
 
-    Features are learned from train alone, written once under the checkpoint folder and read once per pass.
+    Texts are read and hashed once, and their features written under the checkpoint folder and read once per pass, in as
+    many tasks as there are cores, as each hands on an array of all weights. Features are learned from train alone: what
+    they weigh is taken into the weights that a pass sends out and into the gradient it gets.
     """
     spark = train.sparkSession
-    texts = train.select(F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
-    features = text_features("__text", num_features).fit(texts) if not train.isEmpty() else text_features("__text", num_features).fit(
-        spark.createDataFrame([("",)], "__text string"))
+    tokenizer, hashing, idf = text_features("__text", num_features).getStages()
+
+    def hashed(df: DataFrame) -> DataFrame:
+        return hashing.transform(tokenizer.transform(df))
+
     path = scratch_path(spark, f"heads-{uuid.uuid4().hex}")
-    feature_rows(features, [(train, False)] + ([(dev, True)] if dev is not None else []), n_labels, bits_col, text_col).write.parquet(path)
-    rows = spark.read.schema("indices array<int>, values array<double>, bits array<int>, dev boolean").parquet(path)
+    written = feature_rows(hashed, [(train, False)] + ([(dev, True)] if dev is not None else []), n_labels, bits_col, text_col)
+    written.write.parquet(path)
+    stored = spark.read.schema(written.schema).parquet(path)
+    learned = stored.where("not dev")
+    fitted = idf.fit(hashed(spark.createDataFrame([("",)], "__text string")) if learned.isEmpty() else learned)
+    features, weight = PipelineModel([tokenizer, hashing, fitted]), fitted.idf.toArray()
+    vector = F.unwrap_udt("__tf")
+    rows = stored.where("bits is not null").select(vector["indices"].alias("indices"), vector["values"].alias("values"), "bits", "dev") \
+        .coalesce(spark.sparkContext.defaultParallelism)
     n_tasks = rows.rdd.getNumPartitions()
     heads = [Descent(num_features + 1, tol) for _ in range(n_labels)]
     counts = np.zeros((3, n_labels))
@@ -255,12 +271,12 @@ def fit_heads(train: DataFrame, n_labels: int, dev: DataFrame | None = None, bit
     best, waited = (-math.inf, [h.x for h in heads]), 0
     for _ in range(max_passes):
         at = np.array([h.trial for h in heads]).reshape(n_labels, num_features + 1)
-        grad, sums = _evaluate(rows, n_tasks, at[:, :-1], at[:, -1], threshold)
+        grad, sums = _evaluate(rows, n_tasks, at[:, :-1] * weight, at[:, -1], threshold)
         moved = False
         for k, head in enumerate(heads):
             n = max(sums[1, k], 1.0)
             w = at[k, :-1]
-            g = np.append(grad[k] / n + reg * w, sums[2, k] / n)
+            g = np.append(weight * grad[k] / n + reg * w, sums[2, k] / n)
             if head.told(sums[0, k] / n + reg / 2 * float(w @ w), g):
                 counts[:, k], moved = sums[3:, k], True
         score = micro_f1(*counts)

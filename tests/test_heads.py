@@ -70,6 +70,26 @@ def test_learns_and_hands_over(spark):
     assert sorted(map(str, again.predict(test).collect())) == sorted(map(str, model.predict(test).collect()))
 
 
+def test_texts_are_read_once_and_tasks_bounded(spark, monkeypatch):
+    rows, n = labelled(spark), spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        n.add(1)
+        return text
+
+    tasks = []
+    monkeypatch.setattr(HD, "_evaluate", lambda rows, n_tasks, *more, run=HD._evaluate: tasks.append(n_tasks) or run(rows, n_tasks, *more))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        read = rows.withColumn("text", seen.asNondeterministic()("text"))
+        HD.fit_heads(read.repartition(60, "id"), 4, num_features=64, max_passes=2)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert n.value == rows.count()
+    assert len(tasks) == 2 and max(tasks) <= spark.sparkContext.defaultParallelism
+
+
 def test_edges(spark):
     kind = "id long, text string, truth array<int>, features int, bits int, dev int"
     rows = [(1, "good day", [1, 0], 1, 2, 3), (2, None, [0, None], 1, 2, 3), (3, "", [0, 1], 1, 2, 3), (4, "bad day", None, 1, 2, 3),
