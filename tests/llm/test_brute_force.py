@@ -271,6 +271,37 @@ def test_op10_repeat_behind_common_seeds(spark):
     assert not any(got[k]["n_passages"] for k in range(2, 402))
 
 
+def test_op10_edited_passage_behind_common_seeds(spark):
+    # an edited passage of two texts: each of its seeds also occurs in many others, which share too little to count
+    rng = np.random.default_rng(11)
+    filler = lambda n: " ".join(f"f{x}" for x in rng.integers(0, 10**9, n))
+    passage = [f"p{x}" for x in rng.integers(0, 10**9, 80)]
+    changed = list(passage)
+    changed[20], changed[41], changed[62] = "other", "words", "here"
+    docs = [(0, f"{filler(40)} {' '.join(passage)} {filler(30)}"), (1, f"{filler(25)} {' '.join(changed)} {filler(45)}")]
+    for k, at in enumerate(rng.integers(0, 64, 800).tolist(), 2):
+        docs.append((k, f"{filler(50)} {' '.join((passage, changed)[k % 2][at:at + 17])} {filler(20)}"))
+    got = {r["doc_id"]: r for r in passages.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for k, at in ((0, 40), (1, 25)):
+        assert [(s["start"], s["end"]) for s in got[k]["passages"]] == [(at, at + 80)] and got[k]["partners"] == [1 - k]
+    assert not any(got[k]["n_passages"] for k in range(2, 802))
+
+
+def test_op10_links_all_texts_of_a_passage(spark):
+    # an edited passage of twelve texts: each is linked with all others, not only with the ends of a seed's list
+    rng = np.random.default_rng(12)
+    passage = [f"p{x}" for x in rng.integers(0, 10**9, 80)]
+    docs = []
+    for k in range(12):
+        own = list(passage)
+        own[30 + k] = f"o{k}"
+        docs.append((k, " ".join([*(f"f{x}" for x in rng.integers(0, 10**9, 30)), *own])))
+    got = {r["doc_id"]: r for r in passages.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for k in range(12):
+        assert [(s["start"], s["end"]) for s in got[k]["passages"]] == [(30, 110)]
+        assert got[k]["partners"] == [x for x in range(12) if x != k]
+
+
 def test_chain_against_quadratic():
     rng = np.random.default_rng(6)
     start = rng.integers(0, 400, 60)
