@@ -931,7 +931,7 @@ def q_stream_log(spark, sf):
     -> clean -> score -> assemble -> idempotent append, micro-batch by micro-batch."""
     msgs, lg = _stream_log_source(spark, sf)
     twice = F.array("timestamp", F.col("timestamp") + F.expr("INTERVAL 40 DAYS"))
-    out = ST.replay(spark, msgs.withColumn("timestamp", F.explode(twice)), lambda s: s, "log", "timestamp", sink_fn=_log_sink(spark, lg))
+    out = ST.replay(spark, msgs.withColumn("timestamp", F.explode(twice)), lambda s: s, "log", "timestamp", sink_fn=_log_sink(spark, lg), codec="zstd")
     return out.drop("timestamp", "log_date", *SK.OWN)
 
 
