@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from commentguard.llm.common import ALNUM, Words, carried, materialise, own_fields, own_names, read_table, row_slices, shown
+from commentguard.llm.common import ALNUM, PART_BYTES, Words, carried, materialise, own_fields, own_names, read_table, row_slices, shown
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
@@ -43,7 +43,7 @@ _MATCH = "array<struct<item:string,start:int,length:int>>"
 
 def _item_words(batches):
     for batch in batches:
-        for part in row_slices(batch, "text"):
+        for part in row_slices(batch, "text", PART_BYTES):
             w = Words(part.column("text"), ALNUM)
             blobs = [w.hash[a:b].tobytes() for a, b in zip(w.row[:-1], w.row[1:])]
             yield pa.RecordBatch.from_arrays([part.column("item"), pa.array(w.counts(), pa.int64()), pa.array(blobs, pa.binary())],
@@ -178,7 +178,7 @@ def _scan(block, keep: list[str], window: int, text: str):
         items, words = block.value
         searcher = Searcher(items, [np.frombuffer(x, np.uint64) for x in words], window)
         for batch in batches:
-            for part in row_slices(batch, text):
+            for part in row_slices(batch, text, 2 * PART_BYTES):
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + _judge(searcher, part.column(text)), names=keep + _NEW)
     return go
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from commentguard.llm.common import LOWER, carried, materialise, own_fields, own_names, read_table, row_slices, shown, text_bytes
+from commentguard.llm.common import LOWER, PART_BYTES, carried, materialise, own_fields, own_names, read_table, row_slices, shown, text_bytes
 from commentguard.sizing import maybe_broadcast
 
 SAMPLE_ROWS = 20_000
@@ -80,7 +80,7 @@ def _count(languages: list[str], dense: int = _DENSE):
     def go(batches):
         total = np.zeros(len(languages) * _BUCKETS, np.int64) if len(languages) <= dense else None
         for batch in batches:
-            for part in row_slices(batch, "text", 1 << 20):
+            for part in row_slices(batch, "text", PART_BYTES):
                 bucket, row, _ = _trigrams(*text_bytes(part.column("text")))
                 k = np.array([place[x] for x in part.column("lang").to_pylist()], np.int64)
                 cells = k[row] * _BUCKETS + bucket
@@ -138,7 +138,7 @@ def _score(shared, keep: list[str], text: str):
         model = shared.value
         k = len(model.languages)
         for batch in batches:
-            for part in row_slices(batch, text, 1 << 20):
+            for part in row_slices(batch, text, PART_BYTES):
                 bucket, row, letters = _trigrams(*text_bytes(part.column(text)))
                 n = np.bincount(row, minlength=part.num_rows)
                 ll = np.stack([np.bincount(row, model.logp[j][bucket], minlength=part.num_rows) for j in range(k)], 1) \

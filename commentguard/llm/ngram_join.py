@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commentguard.llm.common import ALNUM, Words, materialise, mix64, own_columns, read_table, row_slices, shown, small, windows
+from commentguard.llm.common import ALNUM, PART_BYTES, Words, materialise, mix64, own_columns, read_table, row_slices, shown, small, windows
 from commentguard.llm.components import components
 
 GRAM = 5
@@ -73,7 +73,7 @@ def gram_sets(w: Words, n: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
 def _slices(batches, column: str):
     for batch in batches:
         for at in range(0, batch.num_rows, 1 << 15):
-            yield from row_slices(batch.slice(at, 1 << 15), column)
+            yield from row_slices(batch.slice(at, 1 << 15), column, PART_BYTES)
 
 
 def _set_keys(grams: np.ndarray, off: np.ndarray) -> np.ndarray:

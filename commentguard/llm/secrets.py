@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from commentguard.llm.common import carried, mix64, own_fields, own_names, read_table, row_slices, shown, text_bytes
+from commentguard.llm.common import PART_BYTES, carried, mix64, own_fields, own_names, read_table, row_slices, shown, text_bytes
 
 KINDS = ("assign", "access", "hex", "random")
 RATE = 0.01
@@ -193,7 +193,7 @@ def _ordinary(buf: np.ndarray, off: np.ndarray, start: np.ndarray, end: np.ndarr
 def _count(batches):
     for batch in batches:
         total = np.zeros((2, len(ALPHABETS), len(LENGTHS), BINS), np.int64)
-        for part in row_slices(batch, "secret_text", 1 << 20):
+        for part in row_slices(batch, "secret_text", PART_BYTES):
             buf, off = text_bytes(part.column("secret_text"))
             if not len(buf):
                 continue
@@ -281,7 +281,7 @@ def _scan(cut: np.ndarray, keep: list[str], text: str, redact: str | None):
     def go(batches):
         span = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
         for batch in batches:
-            for part in row_slices(batch, text):
+            for part in row_slices(batch, text, PART_BYTES):
                 buf, off = text_bytes(part.column(text))
                 spans = find_spans(buf, off, cut)
                 point = np.append(0, np.cumsum((buf & 0xC0) != 0x80))  # code points before a byte
