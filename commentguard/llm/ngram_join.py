@@ -117,13 +117,17 @@ def prune_table(threshold: float, hashes: int, step: int, tolerance: float) -> n
     """Fewest matches after step, 2*step, ... values for which the posterior of reaching the threshold is at least the tolerance."""
     j = (np.arange(20_000) + 0.5) / 20_000
     p = j + (1 - j) / 256  # a byte also agrees by chance
+    log_p, log_q = np.log(p), np.log1p(-p)
     least = []
     for n in range(step, hashes + 1, step):
-        m = np.arange(n + 1)[:, None]
-        like = m * np.log(p)[None, :] + (n - m) * np.log1p(-p)[None, :]
-        like = np.exp(like - like.max(axis=1, keepdims=True))
-        tail = like[:, j >= threshold].sum(1) / like.sum(1)
-        least.append(int(np.argmax(tail >= tolerance)))
+        for m in range(n + 1):  # one row after another: every worker that loads this module makes the table
+            like = m * log_p + (n - m) * log_q
+            like = np.exp(like - like.max())
+            if like[j >= threshold].sum() / like.sum() >= tolerance:
+                break
+        else:
+            m = 0
+        least.append(m)
     return np.array(least)
 
 

@@ -45,3 +45,12 @@ def test_arrays_of_a_batch(batch, step):
     tracemalloc.stop()
     assert peak < MOST, peak
     assert rows == batch.num_rows or step == "secrets count"
+
+
+def test_arrays_of_the_prune_table():
+    # every worker that loads the module makes it
+    tracemalloc.start()
+    ngram_join.prune_table(0.8, ngram_join.HASHES, ngram_join.STEP, ngram_join.TOLERANCE)
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert peak < 10, peak
