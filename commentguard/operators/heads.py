@@ -26,20 +26,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .models import text_features
+from .regressions import ONE_LEVEL, cuts, row_scores, sent, summed
 
 THRESHOLD = 0.3
 PATIENCE = 5
 MEMORY = 6  # pairs of steps and gradient changes a descent keeps
-BLOCK = 1024  # features of a block of sums
-SLICE = 1 << 20  # feature values worked on at once
-ONE_LEVEL = 64  # tasks whose sums meet at once
 
 
 class Descent:
@@ -86,27 +83,6 @@ class Descent:
         self.trial = self.x + self.step * way
 
 
-def row_scores(indices: np.ndarray, values: np.ndarray, lengths: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Logits (heads x rows) of rows of so many features each, which lie one after the other."""
-    out = np.zeros((len(bias), len(lengths)))
-    full = np.flatnonzero(lengths)
-    starts = (np.cumsum(lengths) - lengths)[full]
-    for k in range(len(bias)):
-        if len(full):
-            out[k, full] = np.add.reduceat(weights[k][indices] * values, starts)
-        out[k] += bias[k]
-    return out
-
-
-def _cuts(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with at most SLICE feature values, or one row."""
-    ends, at, base = np.cumsum(lengths), 0, 0
-    while at < len(lengths):
-        end = max(at + 1, int(np.searchsorted(ends, base + SLICE, "right")))
-        yield at, end
-        at, base = end, int(ends[end - 1])
-
-
 def _pass(shared, n_labels: int, n_features: int, threshold: float):
     """Sums of a task: blocks of the gradient, and under block -1 loss, rows, gradient of the bias, hits, false hits, misses."""
 
@@ -119,7 +95,7 @@ def _pass(shared, n_labels: int, n_features: int, threshold: float):
             indices, values = batch.column("indices").flatten().to_numpy(), batch.column("values").flatten().to_numpy()
             bits = batch.column("bits").flatten().to_numpy(zero_copy_only=False).reshape(-1, n_labels).T
             dev = batch.column("dev").to_numpy(zero_copy_only=False)
-            for lo, hi in _cuts(lengths):
+            for lo, hi in cuts(lengths):
                 i, v = indices[off[lo]:off[hi]].astype(np.intp), values[off[lo]:off[hi]]
                 z = row_scores(i, v, lengths[lo:hi], weights, bias)
                 y, known, held = bits[:, lo:hi] == 1, bits[:, lo:hi] >= 0, dev[lo:hi]
@@ -131,45 +107,16 @@ def _pass(shared, n_labels: int, n_features: int, threshold: float):
                 if learn.any():
                     for k in range(n_labels):
                         grad[k] += np.bincount(i, v * np.repeat(wrong[k], lengths[lo:hi]), n_features)
-        task = TaskContext.get().partitionId()
-        blocks, parts = [-1], [sums.tobytes()]
-        for k, at in enumerate(range(0, n_features, BLOCK)):
-            part = grad[:, at:at + BLOCK]
-            if part.any():
-                blocks.append(k)
-                parts.append(part.tobytes())
-        for k in range(0, len(blocks), 64):
-            yield pa.RecordBatch.from_arrays([pa.array(blocks[k:k + 64], pa.int32()), pa.array([task] * len(blocks[k:k + 64]), pa.int32()),
-                                              pa.array(parts[k:k + 64], pa.binary())], ["block", "task", "part"])
+        yield from sent(grad, sums)
 
     return run
 
 
-def _added(group: pa.Table) -> pa.Table:
-    """Parts of a block added up in the order of their tasks."""
-    group = group.sort_by("task")
-    total = np.zeros(0)
-    for part in group.column("part"):
-        total = np.frombuffer(part.as_buffer()) + (total if len(total) else 0.0)
-    return pa.table({"block": group.column("block")[:1], "task": group.column("task")[:1], "part": pa.array([total.tobytes()], pa.binary())})
-
-
 def _evaluate(rows: DataFrame, n_tasks: int, weights: np.ndarray, bias: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """One pass: (gradient sums, the six rows of sums) at the given weights."""
     n_labels, n_features = weights.shape
     shared = rows.sparkSession.sparkContext.broadcast((weights, bias))
-    kind = "block int, task int, part binary"
-    parts = rows.mapInArrow(_pass(shared, n_labels, n_features, threshold), kind)
-    if n_tasks > ONE_LEVEL:
-        span = math.isqrt(n_tasks) + 1
-        parts = parts.groupBy("block", F.floor(F.col("task") / span)).applyInArrow(_added, kind)
-    grad, sums = np.zeros((n_labels, n_features)), np.zeros((6, n_labels))
-    for r in parts.groupBy("block").applyInArrow(_added, kind).collect():  # one row per block of features
-        part = np.frombuffer(r["part"])
-        if r["block"] < 0:
-            sums = part.reshape(6, n_labels)
-        else:
-            grad[:, r["block"] * BLOCK:(r["block"] + 1) * BLOCK] = part.reshape(n_labels, -1)
+    grad, sums = summed(rows, _pass(shared, n_labels, n_features, threshold), n_tasks, n_labels, n_features, 6, ONE_LEVEL)
     shared.unpersist()
     return grad, sums
 
@@ -200,7 +147,7 @@ class LabelHeads:
             off = np.append(0, np.cumsum(lengths))
             i, v = indices.flatten().to_numpy().astype(np.intp), values.flatten().to_numpy()
             out = np.zeros((len(lengths), len(bias)))
-            for lo, hi in _cuts(lengths):
+            for lo, hi in cuts(lengths):
                 out[lo:hi] = row_scores(i[off[lo]:off[hi]], v[off[lo]:off[hi]], lengths[lo:hi], weights, bias).T
             return pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1) * len(bias), pa.int32()), pa.array(out.ravel()))
 

@@ -7,23 +7,26 @@ Training is distributed by Spark ML; nothing is collected to the driver.
 Texts are read once: their term frequencies are written under the checkpoint
 folder without text and tokens, and every fit reads them there. A fit sums one
 array of all coefficients per partition and step, so the stored rows come in as
-many partitions as there are cores, whatever their number. Each fit keeps its own
-copy of the features while it runs, so fits of large features run one at a time.
+many partitions as there are cores, whatever their number. The regressions of
+several labels take their steps in the same passes (``regressions``); a fit of
+Spark ML keeps its own copy of the features while it runs, so with large features
+such fits should run one at a time (``at_once``).
 """
 
 from __future__ import annotations
 
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression, LogisticRegressionModel
+from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import scores as S
 from ..session import scratch_path
+from . import regressions as R
 
 CACHED_BYTES = 1 << 30  # of features that fits running at once may keep in memory
 
@@ -37,14 +40,19 @@ def text_features(text_col: str = "text", num_features: int = 1 << 18) -> Pipeli
     ])
 
 
-def stored_features(train: DataFrame, keep: list[str], text_col: str = "text", num_features: int = 1 << 18) -> tuple[DataFrame, PipelineModel]:
-    """(``keep``, features) of train, stored without text and tokens, and the fitted text features; train is read once."""
+def stored_frequencies(train: DataFrame, keep: list[str], text_col: str = "text", num_features: int = 1 << 18) -> tuple[DataFrame, PipelineModel]:
+    """(``keep``, __tf) of train, stored without text and tokens, and the fitted text features; train is read once."""
     spark = train.sparkSession
     tokenizer, hashing, idf = text_features(text_col, num_features).getStages()
     path = scratch_path(spark, f"features-{uuid.uuid4().hex}")
     hashing.transform(tokenizer.transform(train)).select(*keep, "__tf").write.parquet(path)
     rows = spark.read.parquet(path).coalesce(spark.sparkContext.defaultParallelism)
-    model = PipelineModel([tokenizer, hashing, idf.fit(rows)])
+    return rows, PipelineModel([tokenizer, hashing, idf.fit(rows)])
+
+
+def stored_features(train: DataFrame, keep: list[str], text_col: str = "text", num_features: int = 1 << 18) -> tuple[DataFrame, PipelineModel]:
+    """(``keep``, features) of train, stored without text and tokens, and the fitted text features; train is read once."""
+    rows, model = stored_frequencies(train, keep, text_col, num_features)
     return model.stages[-1].transform(rows).drop("__tf"), model
 
 
@@ -68,20 +76,17 @@ class TextScorer:
     and (if there are label heads ``label0`` ...) one array of label logits.
     """
 
-    def __init__(self, features: PipelineModel, heads: dict[str, LogisticRegressionModel], text_col: str = "text"):
+    def __init__(self, features: PipelineModel, heads: dict[str, R.Regression], text_col: str = "text"):
         self.features, self.heads, self.text_col = features, heads, text_col
 
     def logits(self, df: DataFrame, labels_col: str = "typ") -> DataFrame:
-        out = self.features.transform(df)
+        out = R.logits(self.features.transform(df), list(self.heads.values()), "__tf", "__z")
         names, bits = [], []
-        for name, head in self.heads.items():
-            raw = f"__raw_{name}"
-            head = head.copy().setRawPredictionCol(raw).setProbabilityCol("__p").setPredictionCol("__c")
-            out = head.transform(out).drop("__p", "__c")
+        for name, own in zip(self.heads, R.own_logits(list(self.heads.values()), "__z")):
             if name.startswith("label"):
-                bits.append(vector_to_array(F.col(raw))[1])
+                bits.append(own[0])
             else:
-                names.append(vector_to_array(F.col(raw)).alias(name))
+                names.append(own.alias(name))
         if bits:
             names.append(F.array(*bits).alias(labels_col))
         return out.select(*df.columns, *names)
@@ -89,79 +94,47 @@ class TextScorer:
     def save(self, path: str) -> None:
         """Write everything under path, replacing what was there."""
         self.features.write().overwrite().save(f"{path}/features")
-        for name, head in self.heads.items():
-            head.write().overwrite().save(f"{path}/heads/{name}")
         spark = SparkSession.getActiveSession()
-        rows = [(i, name, self.text_col) for i, name in enumerate(self.heads)]
-        spark.createDataFrame(rows, "i int, name string, text_col string").coalesce(1).write.mode("overwrite").json(f"{path}/order")
+        R.save(spark, f"{path}/heads", self.heads)
+        spark.createDataFrame([(self.text_col,)], "text_col string").coalesce(1).write.mode("overwrite").json(f"{path}/order")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> TextScorer:
-        rows = spark.read.schema("i int, name string, text_col string").json(f"{path}/order").orderBy("i").collect()  # one row per head
-        heads = {r["name"]: LogisticRegressionModel.load(f"{path}/heads/{r['name']}") for r in rows}
-        return cls(PipelineModel.load(f"{path}/features"), heads, rows[0]["text_col"])
+        text_col = spark.read.schema("text_col string").json(f"{path}/order").first()["text_col"]
+        return cls(PipelineModel.load(f"{path}/features"), R.load(spark, f"{path}/heads"), text_col)
 
 
 def fit_scorer(train: DataFrame, levels: dict[str, str], bits_col: str | None = None, n_labels: int = 0, text_col: str = "text",
-               max_iter: int = 20, num_features: int = 1 << 16, parallelism: int = 4) -> TextScorer:
+               max_iter: int = 20, num_features: int = 1 << 16) -> TextScorer:
     """J3 + J4 as a model to keep: ``levels`` maps head name -> label column; n_labels heads over ``bits_col``."""
-    ready, features = stored_features(train, [*dict.fromkeys([*levels.values(), *([bits_col] if n_labels else [])])], text_col, num_features)
-    ready = ready.cache()  # read twice by each of many fits
-    jobs = {name: (F.col(label).cast("double"), "multinomial") for name, label in levels.items()}
-    jobs |= {f"label{i}": (F.element_at(F.col(bits_col), i + 1).cast("double"), "binomial") for i in range(n_labels)}
-
-    def fit(job):
-        label, family = job
-        return LogisticRegression(featuresCol="features", labelCol="__y", family=family, maxIter=max_iter).fit(ready.withColumn("__y", label))
-
-    try:
-        with ThreadPoolExecutor(max_workers=at_once(ready, parallelism)) as pool:
-            fitted = list(pool.map(fit, jobs.values()))
-    finally:
-        ready.unpersist()
+    rows, features = stored_frequencies(train, [*dict.fromkeys([*levels.values(), *([bits_col] if n_labels else [])])], text_col, num_features)
+    jobs = {name: (F.col(label), "multinomial") for name, label in levels.items()}
+    jobs |= {f"label{i}": (F.element_at(F.col(bits_col), i + 1), "binomial") for i in range(n_labels)}
+    fitted = R.fit(rows, list(jobs.values()), features.stages[-1].idf.toArray(), max_iter)
     return TextScorer(features, dict(zip(jobs, fitted)), text_col)
 
 
 def fit_levels(train: DataFrame, test: DataFrame, targets: dict[str, str], text_col: str = "text",
                id_col: str = "id", max_iter: int = 50, num_features: int = 1 << 18) -> DataFrame:
-    """One multinomial logistic regression per severity head on shared features.
+    """One multinomial logistic regression per severity head on shared features, all fitted together.
 
     ``targets`` maps output column -> label column. Returns (id, <output cols>) for ``test``.
     """
-    ftrain, ftest, _ = featurize(train, test, [*dict.fromkeys(targets.values())], text_col, num_features)
-    out = ftest.select(id_col, "features")
-    for name, label in targets.items():
-        lr = LogisticRegression(featuresCol="features", labelCol=label, predictionCol=name,
-                                family="multinomial", maxIter=max_iter, rawPredictionCol=f"__raw_{name}",
-                                probabilityCol=f"__prob_{name}")
-        model = lr.fit(ftrain.withColumn(label, F.col(label).cast("double")))
-        out = model.transform(out).drop(f"__raw_{name}", f"__prob_{name}") \
-            .withColumn(name, F.col(name).cast("int"))
-    return out.drop("features")
+    rows, features = stored_frequencies(train, [*dict.fromkeys(targets.values())], text_col, num_features)
+    fitted = R.fit(rows, [(F.col(label), "multinomial") for label in targets.values()], features.stages[-1].idf.toArray(), max_iter)
+    out = R.logits(features.transform(test), fitted, "__tf", "__z")
+    return out.select(id_col, *[S.argmax(own).alias(name) for name, own in zip(targets, R.own_logits(fitted, "__z"))])
 
 
 def fit_types(train: DataFrame, test: DataFrame, n_labels: int, bits_col: str = "truth", text_col: str = "text",
-              id_col: str = "id", threshold: float = 0.3, max_iter: int = 30, parallelism: int = 4,
+              id_col: str = "id", threshold: float = 0.3, max_iter: int = 30,
               num_features: int = 1 << 18) -> DataFrame:
-    """One binary logistic regression per label (fitted concurrently by a bounded
-    thread pool over one stored feature frame); returns (id, probs, pred) for ``test``,
-    pred = probs >= threshold."""
-    ftrain, ftest, _ = featurize(train, test, [bits_col], text_col, num_features)
-
-    def fit(i: int):
-        lab = F.element_at(F.col(bits_col), i + 1).cast("double")
-        lr = LogisticRegression(featuresCol="features", labelCol="__y", maxIter=max_iter)
-        return lr.fit(ftrain.withColumn("__y", lab))
-
-    with ThreadPoolExecutor(max_workers=at_once(ftrain, parallelism)) as pool:
-        models = list(pool.map(fit, range(n_labels)))
-    out = ftest.select(id_col, "features")
-    for i, m in enumerate(models):
-        m.setProbabilityCol(f"__p{i}").setRawPredictionCol(f"__r{i}").setPredictionCol(f"__c{i}")
-        out = m.transform(out).withColumn(f"__p{i}", vector_to_array(F.col(f"__p{i}"))[1]) \
-            .drop(f"__r{i}", f"__c{i}")
-    probs = F.array(*[F.col(f"__p{i}") for i in range(n_labels)])
-    out = out.select(id_col, probs.alias("probs"))
+    """One binary logistic regression per label, all fitted together over the stored
+    term frequencies; returns (id, probs, pred) for ``test``, pred = probs >= threshold."""
+    rows, features = stored_frequencies(train, [bits_col], text_col, num_features)
+    fitted = R.fit(rows, [(F.element_at(F.col(bits_col), i + 1), "binomial") for i in range(n_labels)], features.stages[-1].idf.toArray(), max_iter)
+    out = R.logits(features.transform(test), fitted, "__tf", "__z")
+    out = out.select(id_col, F.transform("__z", lambda z: 1 / (1 + F.exp(-z))).alias("probs"))
     return out.withColumn("pred", F.transform("probs", lambda p: F.when(p >= threshold, 1).otherwise(0)))
 
 
