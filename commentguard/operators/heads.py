@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .models import text_features
-from .regressions import ONE_LEVEL, cuts, row_scores, sent, summed
+from .regressions import BLOCK, ONE_LEVEL, cuts, row_scores, sent, summed
 
 THRESHOLD = 0.3
 PATIENCE = 5
@@ -107,7 +107,7 @@ def _pass(shared, n_labels: int, n_features: int, threshold: float):
                 if learn.any():
                     for k in range(n_labels):
                         grad[k] += np.bincount(i, v * np.repeat(wrong[k], lengths[lo:hi]), n_features)
-        yield from sent(grad, sums)
+        yield from sent(grad, sums, BLOCK)
 
     return run
 
@@ -116,7 +116,7 @@ def _evaluate(rows: DataFrame, n_tasks: int, weights: np.ndarray, bias: np.ndarr
     """One pass: (gradient sums, the six rows of sums) at the given weights."""
     n_labels, n_features = weights.shape
     shared = rows.sparkSession.sparkContext.broadcast((weights, bias))
-    grad, sums = summed(rows, _pass(shared, n_labels, n_features, threshold), n_tasks, n_labels, n_features, 6, ONE_LEVEL)
+    grad, sums = summed(rows, _pass(shared, n_labels, n_features, threshold), n_tasks, n_labels, n_features, 6, BLOCK, ONE_LEVEL)
     shared.unpersist()
     return grad, sums
 

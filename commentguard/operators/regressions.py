@@ -54,12 +54,12 @@ def cuts(lengths: np.ndarray, size: int = SLICE) -> Iterator[tuple[int, int]]:
         at, base = end, int(ends[end - 1])
 
 
-def sent(grad: np.ndarray, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
+def sent(grad: np.ndarray, sums: np.ndarray, size: int = BLOCK) -> Iterator[pa.RecordBatch]:
     """A task's sums: blocks of the gradient, and the others as block -1."""
     task = TaskContext.get().partitionId()
     blocks, parts = [-1], [sums.tobytes()]
-    for k, at in enumerate(range(0, grad.shape[1], BLOCK)):
-        part = grad[:, at:at + BLOCK]
+    for k, at in enumerate(range(0, grad.shape[1], size)):
+        part = grad[:, at:at + size]
         if part.any():
             blocks.append(k)
             parts.append(part.tobytes())
@@ -78,7 +78,7 @@ def _added(group: pa.Table) -> pa.Table:
 
 
 def summed(rows: DataFrame, run, n_tasks: int, n_rows: int, n_features: int, n_sums: int,
-           one_level: int = ONE_LEVEL) -> tuple[np.ndarray, np.ndarray]:
+           size: int = BLOCK, one_level: int = ONE_LEVEL) -> tuple[np.ndarray, np.ndarray]:
     """Over all tasks of ``run``: the gradient (n_rows x n_features) and the other sums (n_sums x n_rows)."""
     kind = "block int, task int, part binary"
     parts = rows.mapInArrow(run, kind)
@@ -91,7 +91,7 @@ def summed(rows: DataFrame, run, n_tasks: int, n_rows: int, n_features: int, n_s
         if r["block"] < 0:
             sums = part.reshape(n_sums, n_rows)
         else:
-            grad[:, r["block"] * BLOCK:(r["block"] + 1) * BLOCK] = part.reshape(n_rows, -1)
+            grad[:, r["block"] * size:(r["block"] + 1) * size] = part.reshape(n_rows, -1)
     return grad, sums
 
 
