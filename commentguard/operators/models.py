@@ -130,11 +130,12 @@ def fit_types(train: DataFrame, test: DataFrame, n_labels: int, bits_col: str =
               id_col: str = "id", threshold: float = 0.3, max_iter: int = 30,
               num_features: int = 1 << 18) -> DataFrame:
     """One binary logistic regression per label, all fitted together over the stored
-    term frequencies; returns (id, probs, pred) for ``test``, pred = probs >= threshold."""
+    term frequencies; returns (id, probs, pred) for ``test``, pred = probs >= threshold. A
+    probability is 1 less that of the other class, as in Spark ML."""
     rows, features = stored_frequencies(train, [bits_col], text_col, num_features)
     fitted = R.fit(rows, [(F.element_at(F.col(bits_col), i + 1), "binomial") for i in range(n_labels)], features.stages[-1].idf.toArray(), max_iter)
     out = R.logits(features.transform(test), fitted, "__tf", "__z")
-    out = out.select(id_col, F.transform("__z", lambda z: 1 / (1 + F.exp(-z))).alias("probs"))
+    out = out.select(id_col, F.transform("__z", lambda z: 1 - 1 / (1 + F.exp(z))).alias("probs"))
     return out.withColumn("pred", F.transform("probs", lambda p: F.when(p >= threshold, 1).otherwise(0)))
 
 
